@@ -1,0 +1,39 @@
+"""Scoring with an ONNX model file supplied from outside."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame
+
+
+def score_onnx(df: DataFrame, path: str, features: Sequence[str], name: str = "predicted") -> DataFrame:
+    """Add `predicted` by the model at `path`; columns in the given order, as float32.
+
+    The file is shipped to the executors and opened once per task; rows stream through in Arrow
+    batches.
+    """
+    spark = df.sparkSession
+    spark.sparkContext.addFile(path)
+    file_name = path.rsplit("/", 1)[-1]
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import onnxruntime
+
+        session = onnxruntime.InferenceSession(
+            SparkFiles.get(file_name), providers=["CPUExecutionProvider"]
+        )
+        source, result = session.get_inputs()[0].name, session.get_outputs()[0].name
+        for batch in batches:
+            if len(batch):
+                x = batch[list(features)].to_numpy(np.float32)
+                batch[name] = session.run([result], {source: x})[0].reshape(-1).astype(float)
+            else:
+                batch[name] = np.empty(0)
+            yield batch
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+    return df.mapInPandas(score, f"{schema}, `{name}` double")
