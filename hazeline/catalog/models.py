@@ -8,7 +8,7 @@ from hazeline.catalog.registry import query
 from hazeline.catalog.series import DAY, hourly
 from hazeline.operators import features, fit, model, ranges
 from hazeline.operators.aggregate import regression_metrics
-from hazeline.session import work_dir
+from hazeline.session import stage_table, work_dir
 from hazeline.sources.tables import append_log
 
 VAL_START, TEST_START = "2024-01-18", "2024-01-24"
@@ -85,7 +85,9 @@ FEATURES = list(features.DAILY_FEATURES)
 
 
 def daily_features(spark, sf_dir):
-    return features.build_daily_features(tables.daily_readings(spark, sf_dir))
+    """The features of all stations, written once for the passes of the training jobs."""
+    wide = features.build_daily_features(tables.daily_readings(spark, sf_dir))
+    return stage_table(wide, "daily-features")
 
 
 def train_and_test(df):
@@ -127,9 +129,7 @@ def fit_ridge(spark, sf_dir):
 
 
 def tree_metrics(spark, sf_dir, learn, name, **params):
-    path = work_dir(spark, "tree-features")
-    daily_features(spark, sf_dir).write.partitionBy("station").parquet(path)
-    train, test = train_and_test(spark.read.parquet(path))
+    train, test = train_and_test(daily_features(spark, sf_dir))
     models = fit.fit_per_station(
         train, tables.PRIORITIES, lambda rows: learn(rows, FEATURES, "pm25", **params)
     )
@@ -154,7 +154,7 @@ def fit_gbt(spark, sf_dir):
 @query("l8_ridge_grid_search")
 def ridge_grid_search(spark, sf_dir):
     train, _ = train_and_test(daily_features(spark, sf_dir))
-    blocked = model.time_folds(train, 3, "date", every="YEAR")
+    blocked = stage_table(model.time_folds(train, 3, "date", every="YEAR"), "folds")
     return fit.ridge_grid_search(blocked, FEATURES, "pm25", fit.RIDGE_ALPHAS).drop("weights")
 
 
@@ -206,8 +206,12 @@ promoted AS (
   FROM champion c LEFT JOIN production p ON p.station = c.station)"""
 
 
+def staged_metrics(spark, sf_dir):
+    return stage_table(model.score_candidates(scored_test(spark, sf_dir)), "metrics")
+
+
 def promoted_models(spark, sf_dir):
-    metrics = model.score_candidates(scored_test(spark, sf_dir))
+    metrics = staged_metrics(spark, sf_dir)
     production = metrics.filter((F.col("model") == "same_hour") & (F.col("station") != "view"))
     return model.promote(model.champion(metrics), production)
 
@@ -226,7 +230,7 @@ def promote(spark, sf_dir):
     QUALIFY row_number() OVER (PARTITION BY station ORDER BY version DESC) = 1""",
 )
 def active_models(spark, sf_dir):
-    metrics = model.score_candidates(scored_test(spark, sf_dir))
+    metrics = staged_metrics(spark, sf_dir)
     production = metrics.filter((F.col("model") == "same_hour") & (F.col("station") != "view"))
     first = production.select("station", F.col("model").alias("model_key"), "rmse", "mae", F.lit(1).alias("version"))
     promoted = model.promote(model.champion(metrics), production)

@@ -7,6 +7,7 @@ from hazeline.catalog import sql
 from hazeline.catalog.registry import query
 from hazeline.catalog.series import hourly, log_pairs
 from hazeline.operators import drift, features, quality
+from hazeline.session import stage_table
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -144,7 +145,7 @@ PSI_FEATURES = ("pm25_lag_1", "pm25_rolling_mean_24h", "pm25_rolling_std_6h", "p
     CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.2 THEN 'moderate' ELSE 'significant' END AS status FROM psi_result""",
 )
 def feature_psi(spark, sf_dir):
-    wide = features.build_hourly_features(hourly(spark, sf_dir))
+    wide = stage_table(features.build_hourly_features(hourly(spark, sf_dir)), "psi-features")
     recent = F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")
     return drift.feature_psi(wide.filter(~recent), wide.filter(recent), PSI_FEATURES)
 
@@ -285,7 +286,7 @@ def retrain_decision(spark, sf_dir):
       SELECT station, date_trunc('year', date) AS m, false AS is_actual, predicted AS value FROM pairs UNION ALL
       SELECT station, date_trunc('year', date), true, actual FROM pairs),
     {sql.psi(keys="station, m")},
-    err AS (SELECT station, date_trunc('year', date) AS m, round(avg(abs(predicted - actual)), 6) AS mae FROM pairs GROUP BY ALL)
+    err AS (SELECT station, date_trunc('year', date) AS m, round(avg(abs(predicted - actual)), 2) AS mae FROM pairs GROUP BY ALL)
     SELECT station, CAST(CAST(m AS DATE) AS VARCHAR) AS checked_at, mae, 6.0::DOUBLE AS mae_threshold, psi,
     CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.2 THEN 'moderate' ELSE 'significant' END AS psi_status,
     mae > 6 OR psi > 0.2 AS retrain_event FROM err JOIN psi_result USING (station, m)""",
@@ -293,6 +294,7 @@ def retrain_decision(spark, sf_dir):
 def monitoring_trend(spark, sf_dir):
     pairs = log_pairs(spark, sf_dir).withColumn("checked_at", F.trunc("date", "year"))
     keys = ["station", "checked_at"]
-    mae = pairs.groupBy(*keys).agg(F.avg(F.abs(F.col("predicted") - F.col("actual"))).alias("mae"))
-    index = drift.psi(drift.wide_samples(pairs, "predicted", "actual", keys), keys=keys, bounded=True)
+    error = F.abs(F.col("predicted") - F.col("actual"))
+    mae = pairs.groupBy(*keys).agg(F.round(F.avg(error), 2).alias("mae"))
+    index = drift.window_health(pairs, keys).select(*keys, "psi")  # one year of days per group
     return drift.monitoring_trend(mae.join(index, keys))

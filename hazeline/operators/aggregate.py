@@ -12,6 +12,7 @@ from hazeline.functions.scalar import aq_band, regime, round_half_up
 from hazeline.operators.features import CORRELATION_LAGS, lag_columns
 from hazeline.plans.quantiles import exact_percentiles
 from hazeline.plans.series import KEYS, over_chunks, positioned
+from hazeline.session import stage_table
 
 DRY_MONTHS = (1, 2, 3, 4, 11, 12)  # fixed value: November to April
 
@@ -65,16 +66,19 @@ def regression_metrics(
         F.avg(error * error).alias("_mse"),
         F.var_pop(actual).alias("_var"),
     )
-    r2 = F.when(F.col("_var") == 0, F.when(F.col("_mse") == 0, 1.0).otherwise(0.0)).otherwise(
-        1 - F.try_divide(F.col("_mse"), F.col("_var"))
+    return sums.select(*by, "n", *metric_columns(F.col("_mae"), F.col("_mse"), F.col("_var")))
+
+
+def metric_columns(mae: Column, mse: Column, variance: Column) -> list[Column]:
+    """MAE, RMSE and R2 from mean errors and the population variance of the actuals."""
+    r2 = F.when(variance == 0, F.when(mse == 0, 1.0).otherwise(0.0)).otherwise(
+        1 - F.try_divide(mse, variance)
     )
-    return sums.select(
-        *by,
-        "n",
-        F.round("_mae", 4).alias("mae"),
-        F.round(F.sqrt("_mse"), 4).alias("rmse"),
+    return [
+        F.round(mae, 4).alias("mae"),
+        F.round(F.sqrt(mse), 4).alias("rmse"),
         F.round(r2, 4).alias("r2"),
-    )
+    ]
 
 
 def mape(pairs: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
@@ -129,7 +133,9 @@ def histogram(
     df: DataFrame, bins: int = 30, value: str = "pm25", keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """Equal-width counts over min..max per station; the last bin is closed; empty bins stay."""
-    spans = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    spans = stage_table(
+        df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi")), "spans"
+    )
     width = (F.col("_hi") - F.col("_lo")) / bins
     slots = spans.select(
         *keys,
@@ -162,11 +168,12 @@ def box_by_month(daily: DataFrame, value: str = "pm25", keys: Sequence[str] = KE
     """Quartiles per calendar month and the outermost values within 1.5 IQR of the box."""
     rows = daily.filter(F.col(value).isNotNull()).withColumn("month", F.month("date"))
     group = [*keys, "month"]
-    quartiles = exact_percentiles(rows, value, [0.25, 0.5, 0.75], group).select(
-        *group,
-        F.col("q")[0].alias("q1"),
-        F.col("q")[1].alias("median"),
-        F.col("q")[2].alias("q3"),
+    q = F.col("q")
+    quartiles = stage_table(
+        exact_percentiles(rows, value, [0.25, 0.5, 0.75], group).select(
+            *group, q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3")
+        ),
+        "quartiles",
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)

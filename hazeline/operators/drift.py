@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.functions.scalar import psi_status
-from hazeline.operators.aggregate import regression_metrics
+from hazeline.operators.aggregate import metric_columns
 from hazeline.operators.features import (
     HORIZON_HOURS,
     HOURLY_FEATURES,
@@ -18,8 +18,9 @@ from hazeline.operators.features import (
 )
 from hazeline.operators.gaps import hourly_series
 from hazeline.operators.pairs import pair_predictions
-from hazeline.plans.quantiles import bounded_percentiles, exact_percentiles
+from hazeline.plans.quantiles import exact_percentiles
 from hazeline.plans.series import KEYS, hour_index
+from hazeline.session import stage_table
 
 # Share that replaces an empty bin, and the monitors' thresholds.
 EMPTY_SHARE = 1e-4
@@ -54,48 +55,101 @@ def wide_samples(
     return pairs.select(*keys, F.explode(both).alias("_s")).select(*keys, "_s.*")
 
 
-def _index(shares: DataFrame, keys: Sequence[str], enough: Column) -> DataFrame:
-    """Sum of (a - e) ln(a / e) over bins from per-bin counts `_e`, `_a` and totals `_ne`, `_na`."""
-    share = lambda n, total: F.when(n == 0, F.lit(EMPTY_SHARE)).otherwise(F.try_divide(n, total))
-    e = share(F.col("_e"), F.col("_ne"))
-    a = share(F.col("_a"), F.col("_na"))
-    total = F.sum((a - e) * F.ln(F.try_divide(a, e)))
-    index = F.when(F.first(enough), F.round(total, 4)).otherwise(F.lit(0.0))
-    return shares.groupBy(*keys).agg(index.alias("psi"))
+def _index(counted: DataFrame, keys: Sequence[str], enough: Column) -> DataFrame:
+    """Sum of (a - e) ln(a / e) over bins from the per-bin counts `_e` and `_a`."""
+    bins = counted.groupBy(*keys, enough.alias("_enough")).agg(
+        F.sum("_e").alias("_ne"),
+        F.sum("_a").alias("_na"),
+        F.collect_list(F.struct(F.col("_e").alias("e"), F.col("_a").alias("a"))).alias("_bins"),
+    )
+    terms = F.transform(
+        "_bins", lambda b: _term(_share(b["e"], F.col("_ne")), _share(b["a"], F.col("_na")))
+    )
+    total = F.round(F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t), 4)
+    return bins.select(*keys, F.when(F.col("_enough"), total).otherwise(F.lit(0.0)).alias("psi"))
 
 
-def psi(
-    samples: DataFrame, bins: int = 10, keys: Sequence[str] = KEYS, bounded: bool = False
-) -> DataFrame:
+def _share(count: Column, total: Column) -> Column:
+    return F.when(count == 0, F.lit(EMPTY_SHARE)).otherwise(F.try_divide(count, total))
+
+
+def _term(e: Column, a: Column) -> Column:
+    return (a - e) * F.ln(F.try_divide(a, e))
+
+
+def _edges(percentiles: Column) -> Column:
+    return F.array_distinct(F.transform(percentiles, lambda e: F.round(e, EDGE_PLACES)))
+
+
+def psi(samples: DataFrame, bins: int = 10, keys: Sequence[str] = KEYS) -> DataFrame:
     """Stability index per key over quantile bins of both samples pooled.
 
     Edges are rounded and deduplicated; the outer edges are open; fewer than three distinct edges
-    give 0. `bounded` takes the built-in percentile when a time window bounds each group.
+    give 0. Groups may be of any size.
     """
     rows = samples.filter(F.col("value").isNotNull())
     probs = [i / bins for i in range(bins + 1)]
-    percentiles = bounded_percentiles if bounded else exact_percentiles
-    edges = percentiles(rows, "value", probs, keys).select(
-        *keys,
-        F.array_distinct(F.transform("q", lambda e: F.round(e, EDGE_PLACES))).alias("_edges"),
-    )
-    totals = rows.groupBy(*keys).agg(
-        F.count_if(~F.col("is_actual")).alias("_ne"), F.count_if("is_actual").alias("_na")
-    )
-    inner = F.slice("_edges", 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
-    cut = edges.join(totals, list(keys)).select(
-        *keys, "_ne", "_na", (F.size("_edges") >= 3).alias("_enough"), inner.alias("_inner")
+    edges = exact_percentiles(rows, "value", probs, keys).select(*keys, _edges(F.col("q")).alias("_all"))
+    inner = F.slice("_all", 2, F.greatest(F.size("_all") - 2, F.lit(0)))
+    cut = stage_table(
+        edges.select(*keys, (F.size("_all") >= 3).alias("_enough"), inner.alias("_inner")), "edges"
     )
     bin_of = F.size(F.filter("_inner", lambda e: e <= F.col("value")))
-    # the two samples of a key meet in one row per bin before any shuffle of raw values
     counted = (
         rows.join(cut, list(keys))
-        .groupBy(*keys, "_ne", "_na", "_enough", bin_of.alias("_bin"))
+        .groupBy(*keys, "_enough", bin_of.alias("_bin"))
         .agg(F.count_if(~F.col("is_actual")).alias("_e"), F.count_if("is_actual").alias("_a"))
     )
     return _index(counted, keys, F.col("_enough"))
 
 
+def psi_of_arrays(percentiles: Column, expected: Column, actual: Column) -> Column:
+    """The same index inside one row, for two short arrays and their pooled percentiles."""
+    edges = _edges(percentiles)
+    inner = F.slice(edges, 2, F.greatest(F.size(edges) - 2, F.lit(0)))
+    infinity = F.lit(float("inf"))
+
+    def inside(values: Column, low: Column, high: Column) -> Column:
+        return _share(F.size(F.filter(values, lambda v: (v >= low) & (v < high))), F.size(values))
+
+    terms = F.zip_with(
+        F.concat(F.array(-infinity), inner),
+        F.concat(inner, F.array(infinity)),
+        lambda low, high: _term(inside(expected, low, high), inside(actual, low, high)),
+    )
+    total = F.round(F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t), 4)
+    return F.when(F.size(edges) < 3, F.lit(0.0)).otherwise(total)
+
+
+def window_health(pairs: DataFrame, keys: Sequence[str] = KEYS, bins: int = 10) -> DataFrame:
+    """n, MAE, RMSE, R2 and PSI of (predicted, actual) pairs per key, in one aggregate.
+
+    For keys whose rows a time window bounds (two weeks of hours, a month of days): the values of
+    a key are gathered in its row.
+    """
+    error = F.col("actual") - F.col("predicted")
+    side = lambda flag, value, err: F.struct(
+        F.lit(flag).alias("is_actual"), F.col(value).alias("value"), err.alias("error")
+    )
+    both = F.array(
+        side(False, "predicted", error), side(True, "actual", F.lit(None).cast("double"))
+    )
+    rows = pairs.filter(error.isNotNull()).select(*keys, F.explode(both).alias("s")).select(*keys, "s.*")
+    value = F.col("value")
+    gathered = rows.groupBy(*keys).agg(
+        F.count("error").alias("n"),
+        F.avg(F.abs("error")).alias("_mae"),
+        F.avg(F.col("error") * F.col("error")).alias("_mse"),
+        F.var_pop(F.when(F.col("is_actual"), value)).alias("_var"),
+        F.percentile("value", [i / bins for i in range(bins + 1)]).alias("_q"),
+        F.collect_list(F.when(~F.col("is_actual"), value)).alias("_e"),
+        F.collect_list(F.when(F.col("is_actual"), value)).alias("_a"),
+    )
+    metrics = metric_columns(F.col("_mae"), F.col("_mse"), F.col("_var"))
+    index = psi_of_arrays(F.col("_q"), F.col("_e"), F.col("_a"))
+    return gathered.select(*keys, "n", *metrics, index.alias("psi"))
+
+
 def psi_equal_width(
     samples: DataFrame, bins: int = 10, keys: Sequence[str] = KEYS, own_range: bool = False
 ) -> DataFrame:
@@ -107,12 +161,12 @@ def psi_equal_width(
     rows = samples.filter(F.col("value").isNotNull())
     part = [*keys, "is_actual"] if own_range else list(keys)
     ranged = F.lit(True) if own_range else ~F.col("is_actual")
-    spans = rows.groupBy(*part).agg(
-        F.min(F.when(ranged, F.col("value"))).alias("_lo"),
-        F.max(F.when(ranged, F.col("value"))).alias("_hi"),
-    )
-    totals = rows.groupBy(*keys).agg(
-        F.count_if(~F.col("is_actual")).alias("_ne"), F.count_if("is_actual").alias("_na")
+    spans = stage_table(
+        rows.groupBy(*part).agg(
+            F.min(F.when(ranged, F.col("value"))).alias("_lo"),
+            F.max(F.when(ranged, F.col("value"))).alias("_hi"),
+        ),
+        "spans",
     )
     place = F.try_divide((F.col("value") - F.col("_lo")) * bins, F.col("_hi") - F.col("_lo"))
     bin_of = F.least(F.greatest(F.coalesce(F.floor(place), F.lit(0)), F.lit(0)), F.lit(bins - 1))
@@ -120,7 +174,6 @@ def psi_equal_width(
         rows.join(spans, part)
         .groupBy(*keys, bin_of.alias("_bin"))
         .agg(F.count_if(~F.col("is_actual")).alias("_e"), F.count_if("is_actual").alias("_a"))
-        .join(totals, list(keys))
     )
     return _index(counted, keys, F.lit(True))
 
@@ -151,17 +204,11 @@ def daily_monitor(
     """
     pairs = pair_predictions(predictions, actuals, order)
     recent = trailing_window(pairs, int(config["window_days"]), "date")
-    error = recent.groupBy("station").agg(
-        F.count("*").alias("evaluated_pairs"),
-        F.round(F.avg(F.abs(F.col("predicted") - F.col("actual"))), 4).alias("_mae"),
+    health = window_health(recent, bins=int(config["bins"])).select(
+        "station", "n", F.col("mae").alias("_mae"), F.col("psi").alias("_psi")
     )
-    shift = psi(
-        wide_samples(recent, "predicted", "actual"), int(config["bins"]), bounded=True
-    ).withColumnRenamed("psi", "_psi")
-    joined = (
-        stations.select("station").distinct().join(error, "station", "left").join(shift, "station", "left")
-    )
-    count = F.coalesce("evaluated_pairs", F.lit(0)).cast("bigint")
+    joined = stations.select("station").distinct().join(health, "station", "left")
+    count = F.coalesce("n", F.lit(0)).cast("bigint")
     enough = count >= int(config["min_pairs"])
     mae, index = F.when(enough, F.col("_mae")), F.when(enough, F.col("_psi"))
     mae_bad = F.coalesce(mae > config["mae"], F.lit(False))
@@ -196,23 +243,20 @@ def forecast_monitor(
     day = F.lit(as_of).cast("timestamp_ntz").cast("date")
     since = F.date_sub(day, int(config["lookback_days"])).cast("timestamp_ntz")
     recent = readings.filter((F.col("ts") >= since) & F.col("pm25").isNotNull())
-    hours = recent.groupBy("station").agg(
-        (F.max(hour_index(F.col("ts"))) - F.min(hour_index(F.col("ts"))) + 1).alias("_hours")
-    )
-    features = build_hourly_features(hourly_series(recent))
-    window = trailing_window(features, int(config["window_days"]))
-    scored = score(window).select(
-        "station", "predicted", F.col(HOURLY_TARGET).alias("actual")
-    )
-    metrics = regression_metrics(scored).withColumnRenamed("n", "_rows")
-    shift = psi(wide_samples(scored, "predicted", "actual"), int(config["bins"]), bounded=True)
+    hour = hour_index(F.col("ts"))
+    hours = recent.groupBy("station").agg((F.max(hour) - F.min(hour) + 1).alias("_hours"))
+    # the last feature row is one horizon before the station's last reading
+    features = build_hourly_features(hourly_series(recent, last="_last"), keep=["_last"])
+    reach = HORIZON_HOURS + 24 * int(config["window_days"])
+    window = features.filter(hour >= F.col("_last") - reach).drop("_last")
+    scored = score(window).select("station", "predicted", F.col(HOURLY_TARGET).alias("actual"))
+    health = window_health(scored, bins=int(config["bins"])).withColumnRenamed("n", "_rows")
     joined = (
         stations.select("station")
         .distinct()
         .join(registry, "station", "left")
         .join(hours, "station", "left")
-        .join(metrics, "station", "left")
-        .join(shift, "station", "left")
+        .join(health, "station", "left")
     )
     rows = F.coalesce("_rows", F.lit(0))
     blocked = (

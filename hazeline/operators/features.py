@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from hazeline.operators.validate import drop_incomplete
 from hazeline.plans.series import KEYS, over_chunks, positioned
+from hazeline.session import stage_table
 
 # Lags and window lengths of the daily and hourly models, and the forecast horizon.
 DAILY_LAGS = (1, 2, 3, 5, 7)
@@ -72,7 +73,10 @@ def lagged_diff(w: WindowSpec, step: int, value: str = "pm25") -> Column:
 
 def lagged_pct_change(w: WindowSpec, value: str = "pm25") -> Column:
     """Relative change of the previous row; x/0 is an infinity (kept), 0/0 is NaN (dropped)."""
-    new, old = F.lag(value, 1).over(w), F.lag(value, 2).over(w)
+    return pct_change(F.lag(value, 1).over(w), F.lag(value, 2).over(w))
+
+
+def pct_change(new: Column, old: Column) -> Column:
     infinity = F.lit(float("inf"))
     by_zero = F.when(new == 0, F.lit(float("nan"))).when(new > 0, infinity).otherwise(-infinity)
     return F.when(old.isNull() | new.isNull(), None).when(old == 0, by_zero).otherwise(
@@ -101,14 +105,10 @@ def build_daily_features(
     lags: Sequence[int] = DAILY_LAGS,
     windows: Sequence[int] = DAILY_WINDOWS,
     keys: Sequence[str] = KEYS,
-    required: Sequence[str] | None = None,
-    bounded: bool = False,
 ) -> DataFrame:
     """(keys, date, pm25, 17 features); rows with a missing feature are dropped.
 
     `min_rows=1` is the training rule (n-7 rows stay), `None` the serving rule (n-14 stay).
-    `required` names the columns that must be present (default all). `bounded` says that every
-    key holds a short history by construction (a request), so a plain window per key is enough.
     """
 
     def columns(w):
@@ -120,21 +120,19 @@ def build_daily_features(
             "pm25_pct_change_1": lagged_pct_change(w),
         }
 
-    if bounded:
-        added = columns(Window.partitionBy(*keys).orderBy("date"))
-        return drop_incomplete(df.select("*", *[c.alias(n) for n, c in added.items()]), required)
     numbered = positioned(df, "date", keys, pos="_pos")
     reach = max(*lags, *windows, 2)
     wide = over_chunks(numbered, columns, "_pos", back=reach, keys=keys)
-    return drop_incomplete(wide.drop("_pos"), required)
+    return drop_incomplete(wide.drop("_pos"))
 
 
 def build_hourly_features(
-    series: DataFrame, target: bool = True, keys: Sequence[str] = KEYS
+    series: DataFrame, target: bool = True, keys: Sequence[str] = KEYS, keep: Sequence[str] = ()
 ) -> DataFrame:
     """(keys, hour, ts, pm25, 19 features[, pm25_h24]) of a gap-free hourly series (n-49 rows).
 
-    Calendar columns read `ts` as it is; the hourly path keeps UTC.
+    Calendar columns read `ts` as it is; the hourly path keeps UTC. `keep` names further columns to
+    carry along.
     """
 
     def columns(w):
@@ -146,7 +144,7 @@ def build_hourly_features(
         }
         return {**named, HOURLY_TARGET: lead_target(w)} if target else named
 
-    base = series.select(*keys, F.col("hour").alias("_hour"), "ts", "pm25")
+    base = series.select(*keys, F.col("hour").alias("_hour"), "ts", "pm25", *keep)
     # lags reach 25 rows back; a row number without holes follows from the regular grid
     wide = over_chunks(
         base, columns, "_hour", back=25, ahead=HORIZON_HOURS if target else 0, keys=keys
@@ -154,7 +152,30 @@ def build_hourly_features(
     calendar = calendar_columns(F.col("ts"), hourly=True)
     wide = wide.drop("_hour").withColumns(calendar)
     ordered = [*HOURLY_FEATURES, *([HOURLY_TARGET] if target else [])]
-    return drop_incomplete(wide.select(*keys, "ts", "pm25", *ordered), ordered)
+    return drop_incomplete(wide.select(*keys, "ts", "pm25", *ordered, *keep), ordered)
+
+
+def history_features(values: Column, date: Column) -> dict[str, Column]:
+    """The 17 daily features of `date` from an array of the readings before it, oldest first.
+
+    Works inside one row: a request's features need no explode, window or shuffle.
+    """
+    back = lambda n: F.element_at(values, -n)
+    columns = {f"pm25_lag_{n}": back(n) for n in DAILY_LAGS}
+    for n in DAILY_WINDOWS:
+        tail = F.slice(values, -n, n)
+        mean = F.aggregate(tail, F.lit(0.0), lambda acc, v: acc + v) / n
+        squares = F.transform(tail, lambda v: (v - mean) * (v - mean))
+        columns[f"pm25_rolling_mean_{n}"] = mean
+        columns[f"pm25_rolling_std_{n}"] = F.sqrt(
+            F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v) / (n - 1)
+        )
+    return {
+        **columns,
+        **calendar_columns(date),
+        "pm25_diff_1": back(1) - back(2),
+        "pm25_pct_change_1": pct_change(back(1), back(2)),
+    }
 
 
 def build_guide_features(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -193,7 +214,7 @@ def trailing_window(
     df: DataFrame, days: int, order: str = "ts", keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """Rows from `days` days before a station's last row, both ends included."""
-    last = df.groupBy(*keys).agg(F.max(order).alias("_last"))
+    last = stage_table(df.groupBy(*keys).agg(F.max(order).alias("_last")), "last")
     since = F.col("_last") - F.make_dt_interval(days=F.lit(days))
     return df.join(last, list(keys)).filter(F.col(order) >= since).drop("_last")
 

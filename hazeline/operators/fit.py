@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from hazeline.operators.aggregate import regression_metrics
 from hazeline.plans.series import KEYS
+from hazeline.session import stage_table
 
 # Parameter grids of the daily and the hourly searches, in MLlib's names. An
 # unlimited tree depth becomes 30, the deepest tree MLlib builds.
@@ -138,6 +139,7 @@ def predict_linear(
     df: DataFrame, weights: DataFrame, features: Sequence[str], keys: Sequence[str] = KEYS, name: str = "predicted"
 ) -> DataFrame:
     """Join the small weight table and score as a column expression."""
+    weights = stage_table(weights, "weights")
     score = F.col("weights")[0]
     for i, feature in enumerate(features, start=1):
         score = score + F.col("weights")[i] * F.col(feature)
@@ -157,11 +159,13 @@ def ridge_grid_search(
     Score of an alpha is the mean of the folds' MAE; the first lowest alpha has rank 1. `weights`
     is the refit on all rows.
     """
-    fits = fit_ridge(product_sums(blocked, features, target, keys), len(features), alphas, k, keys)
+    sums = product_sums(blocked, features, target, keys)
+    fits = stage_table(fit_ridge(sums, len(features), alphas, k, keys), "fits")
     trained = fits.filter(F.col("fold") > 0).groupBy(*keys, F.col("fold").alias("block")).agg(
         F.array_sort(F.collect_list(F.struct("alpha", "weights"))).alias("_fits")
     )
     # one row per test row; the few fits of its fold are scored side by side
+    trained = stage_table(trained, "fold-fits")
     tested = blocked.filter(F.col("block") > 0).join(trained, [*keys, "block"])
     scored = [F.col("_fits")[i]["weights"][0] for i in range(len(alphas))]
     for j, feature in enumerate(features, start=1):

@@ -21,30 +21,42 @@ from hazeline.plans.series import (
 
 
 def hourly_grid(
-    readings: DataFrame, keys: Sequence[str] = KEYS, fill: bool = False, every: str = "MONTH"
+    readings: DataFrame,
+    keys: Sequence[str] = KEYS,
+    fill: bool = False,
+    every: str = "MONTH",
+    last: str | None = None,
 ) -> DataFrame:
     """All hours between a station's first and last reading: (keys, hour, ts, pm25, observed).
 
     `readings` is unique per (keys, hour). Each reading emits its own hour and the empty hours up
     to the next reading, so grid, left join and forward fill cost one shuffle on (keys, segment).
-    With `fill`, the empty hours carry the reading's value; otherwise they are null.
+    With `fill`, the empty hours carry the reading's value; otherwise they are null. `last` names
+    an extra column with the station's last hour.
     """
     seen = readings.filter(F.col("pm25").isNotNull()).select(
         *keys, "ts", hour_index(F.col("ts")).alias("_at"), "pm25"
     ).withColumn("_seg", segment_of(F.col("ts"), every))
-    firsts = seen.groupBy(*keys, "_seg").agg(F.min("_at").alias("_first"))
-    following = firsts.select(
+    # taking the value along gives both uses of `seen` the same columns, so Spark reuses its shuffle
+    ends = seen.groupBy(*keys, "_seg").agg(
+        F.min(F.struct("_at", "pm25"))["_at"].alias("_first"), F.max("_at").alias("_end")
+    )
+    by_key = Window.partitionBy(*keys)
+    following = ends.select(
         *keys,
         "_seg",
-        F.lead("_first").over(Window.partitionBy(*keys).orderBy("_seg")).alias("_after"),
+        F.lead("_first").over(by_key.orderBy("_seg")).alias("_after"),
+        *([F.max("_end").over(by_key).alias(last)] if last else []),
     )
     within = Window.partitionBy(*keys, "_seg").orderBy("_at")
     until = F.coalesce(F.lead("_at").over(within), F.col("_after"), F.col("_at") + 1)
     spans = seen.join(following, [*keys, "_seg"]).withColumn("_until", until)
+    extra = [last] if last else []
     hours = spans.select(
         *keys,
         "_at",
         "pm25",
+        *extra,
         F.explode(F.sequence(F.col("_at"), F.col("_until") - 1)).alias("hour"),
     )
     observed = F.col("hour") == F.col("_at")
@@ -54,6 +66,7 @@ def hourly_grid(
         hour_start(F.col("hour")).alias("ts"),
         (F.col("pm25") if fill else F.when(observed, F.col("pm25"))).alias("pm25"),
         observed.alias("observed"),
+        *extra,
     )
 
 
@@ -61,10 +74,11 @@ def hourly_series(
     readings: DataFrame,
     keys: Sequence[str] = KEYS,
     bounds: tuple[float, float] = (0.0, 500.0),
+    last: str | None = None,
 ) -> DataFrame:
     """Gap-free hourly series: grid, forward fill, clip. The grid starts at a reading, so no
     leading gap can remain."""
-    filled = hourly_grid(readings, keys, fill=True)
+    filled = hourly_grid(readings, keys, fill=True, last=last)
     return filled.withColumn("pm25", clip(F.col("pm25"), *bounds))
 
 

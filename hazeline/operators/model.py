@@ -4,23 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeline.functions.parsing import LOCAL_TZ
 from hazeline.functions.scalar import valid_history
 from hazeline.operators.aggregate import daily_local_mean, regression_metrics
 from hazeline.operators.features import (
-    DAILY_FEATURES,
     HORIZON_HOURS,
-    build_daily_features,
     build_hourly_features,
+    history_features,
     latest,
     latest_report,
 )
-from hazeline.operators.gaps import fill_flagged
 from hazeline.operators.upsert import dedupe_first, replace_predictions
-from hazeline.plans.series import KEYS, over_chunks, positioned
+from hazeline.plans.series import KEYS, positioned
 
 # Split lengths in months, history and buffer lengths in days, forecast inputs.
 SPLIT_MONTHS = {"data_start": 42, "val_start": 6, "test_start": 3}
@@ -174,19 +172,23 @@ def forecast_next_day(
 ) -> DataFrame:
     """(request, prediction_date, predicted) from histories of at least 15 days.
 
-    A placeholder row for the next day makes lag 1 the last reading. `compat` scores the last
-    history row instead and labels it with the next day.
+    The features are those of the day after the last reading, so lag 1 is that reading. `compat`
+    takes the features of the last history day instead and labels the score with the next day.
+    All features come from the request's own array, so this is a map without any shuffle.
     """
-    rows = explode_history(requests, key)
-    if not compat:
-        following = rows.groupBy(key).agg(F.date_add(F.max("date"), 1).alias("date"))
-        rows = rows.unionByName(following.withColumn("pm25", F.lit(None).cast("double")))
-    features = build_daily_features(
-        rows, min_rows=None, keys=[key], required=DAILY_FEATURES, bounded=True
+    good = requests.filter(valid_history(F.col("history")))
+    ordered = good.select(key, F.array_sort("history").alias("_h"))
+    last = F.element_at("_h", -1)["date"]
+    readings = F.transform("_h", lambda h: h["pm25"])
+    day = last if compat else F.date_add(last, 1)
+    used = F.slice(readings, 1, F.size(readings) - 1) if compat else readings
+    prepared = ordered.select(key, used.alias("_values"), day.alias("_day"))
+    rows = prepared.select(
+        key,
+        (F.date_add("_day", 1) if compat else F.col("_day")).alias("prediction_date"),
+        *[c.alias(n) for n, c in history_features(F.col("_values"), F.col("_day")).items()],
     )
-    last = latest_report(features, "date", [key])
-    date = F.date_add("date", 1) if compat else F.col("date")
-    return last.select(key, date.alias("prediction_date"), F.round(score, places).alias("predicted"))
+    return rows.select(key, "prediction_date", F.round(score, places).alias("predicted"))
 
 
 def prediction_jobs(
@@ -211,55 +213,58 @@ def prediction_jobs(
         first = F.date_sub(day(today), HISTORY_DAYS + FILL_LOOKBACK_DAYS + SCHEDULE_BUFFER_DAYS)
         last = day(today)
     means = daily_local_mean(readings, tz=tz).filter(F.col("date").between(first, last))
-    daily = stations.select("station").distinct().join(means, "station", "left_semi").select("station")
-    # one day past the range, because the target may be the day after it
-    days = F.explode(F.sequence(first, F.date_add(last, 1)))
-    calendar = daily.withColumn("date", days).join(means.select("station", "date", "pm25"), ["station", "date"], "left")
-    filled = fill_flagged(calendar).withColumn("_pos", F.unix_date("date").cast("bigint"))
-
-    def columns(w):
-        back = w.rowsBetween(-HISTORY_DAYS, -1)
-        reading = F.struct("date", "pm25")
-        return {
-            "history": F.collect_list(reading).over(back),
-            "_missing": F.sum(F.col("pm25").isNull().cast("int")).over(back),
-            "filled_history_days": F.sum(F.col("was_filled").cast("int")).over(back),
-        }
-
-    windows = over_chunks(filled, columns, "_pos", back=HISTORY_DAYS).drop("_pos")
-    newest = means.groupBy("station").agg(F.max("date").alias("_latest"))
-    known = stations.select("station").distinct().join(newest, "station", "left")
+    # at most one row per station and day of the requested range, so a plain window is bounded
+    series = Window.partitionBy("station")
+    by_date = series.orderBy("date")
+    spans = means.select(
+        "station",
+        "date",
+        "pm25",
+        F.when(F.lag("date").over(by_date).isNull(), first).otherwise(F.col("date")).alias("_from"),
+        # one day past the range, because the target may be the day after it
+        F.coalesce(F.date_sub(F.lead("date").over(by_date), 1), F.date_add(last, 1)).alias("_to"),
+        F.max("date").over(series).alias("_latest"),
+    )
+    days = spans.withColumn("day", F.explode(F.sequence("_from", "_to"))).select(
+        "station",
+        "_latest",
+        "day",
+        F.when(F.col("day") >= F.col("date"), F.col("pm25")).alias("pm25"),
+        (F.col("day") > F.col("date")).alias("_filled"),
+    )
+    back = series.orderBy("day").rowsBetween(-HISTORY_DAYS, -1)
+    windows = days.select(
+        "station",
+        "_latest",
+        "day",
+        F.collect_list(F.struct(F.col("day").alias("date"), "pm25")).over(back).alias("history"),
+        F.count_if(F.col("pm25").isNull()).over(back).alias("_missing"),
+        F.count_if("_filled").over(back).alias("filled_history_days"),
+    )
     next_day = F.date_add("_latest", 1)
     if manual:
         from_day, to_day = day(start), F.least(day(end), next_day)
-        early = F.when(from_day > next_day, "requested_start_beyond_latest_history")
+        early = from_day > next_day
     else:
-        from_day = to_day = next_day
-        early = F.lit(None).cast("string")
-    target = F.when(
-        F.col("_latest").isNotNull() & (from_day <= to_day), F.sequence(from_day, to_day)
-    )
-    targets = known.select(
-        "station",
-        F.when(F.col("_latest").isNull(), "no_daily_data").otherwise(early).alias("_early"),
-        F.explode_outer(target).alias("date"),
-    )
-    joined = targets.join(windows.select("station", "date", "history", "_missing", "filled_history_days"), ["station", "date"], "left")
-    rows = F.coalesce(F.size("history"), F.lit(0))
-    reason = F.coalesce(
-        F.col("_early"),
-        F.when(rows != HISTORY_DAYS, "insufficient_history_window").when(
-            F.col("_missing") > 0, "history_contains_missing_pm25"
-        ),
+        from_day, to_day, early = next_day, next_day, F.lit(False)
+    target = F.col("day").between(from_day, to_day)
+    # a station whose start is too late keeps one row to carry the reason
+    kept = windows.filter(target | (early & (F.col("day") == F.col("_latest"))))
+    reason = (
+        F.when(F.col("_latest").isNull(), "no_daily_data")
+        .when(early, "requested_start_beyond_latest_history")
+        .when(F.size("history") != HISTORY_DAYS, "insufficient_history_window")
+        .when(F.col("_missing") > 0, "history_contains_missing_pm25")
     )
+    joined = stations.select("station").distinct().join(kept, "station", "left")
     ready = reason.isNull()
     return joined.select(
         "station",
-        F.col("date").alias("target_date"),
+        F.when(F.col("_latest").isNotNull() & ~early, F.col("day")).alias("target_date"),
         reason.alias("skip_reason"),
-        F.when(ready, F.date_sub("date", HISTORY_DAYS)).alias("history_start_date"),
-        F.when(ready, F.date_sub("date", 1)).alias("history_end_date"),
-        F.when(ready, F.col("filled_history_days")).cast("bigint").alias("filled_history_days"),
+        F.when(ready, F.date_sub("day", HISTORY_DAYS)).alias("history_start_date"),
+        F.when(ready, F.date_sub("day", 1)).alias("history_end_date"),
+        F.when(ready, F.col("filled_history_days")).alias("filled_history_days"),
         F.when(ready, F.col("history")).alias("history"),
     )
 
@@ -267,26 +272,17 @@ def prediction_jobs(
 def job_predictions(jobs: DataFrame, score: Column, model: str, run_type: str, generated_at: Column) -> DataFrame:
     """Forecasts of the ready jobs with their lineage columns."""
     ready = jobs.filter(F.col("skip_reason").isNull())
-    requests = ready.select(F.struct("station", "target_date").alias("request"), "history")
-    forecasts = forecast_next_day(requests, score).select(
-        F.col("request.station").alias("station"),
-        F.col("request.target_date").alias("prediction_date"),
+    lineage = ["station", "target_date", "history_start_date", "history_end_date", "filled_history_days"]
+    forecasts = forecast_next_day(ready.select(F.struct(*lineage).alias("request"), "history"), score)
+    return forecasts.select(
+        "request.station",
+        "prediction_date",
         F.col("predicted").alias("predicted_pm25"),
-    )
-    lineage = ready.select(
-        "station",
-        F.col("target_date").alias("prediction_date"),
         F.lit(HISTORY_DAYS).alias("history_days"),
-        "history_start_date",
-        "history_end_date",
-        "filled_history_days",
-    )
-    return forecasts.join(lineage, ["station", "prediction_date"]).withColumns(
-        {
-            "model": F.lit(model),
-            "run_type": F.lit(run_type),
-            "prediction_generated_at": generated_at,
-        }
+        *[f"request.{name}" for name in lineage[2:]],
+        F.lit(model).alias("model"),
+        F.lit(run_type).alias("run_type"),
+        generated_at.alias("prediction_generated_at"),
     )
 
 
@@ -300,13 +296,10 @@ def forecast_latest(
     series: DataFrame, score: Callable[[DataFrame], DataFrame], places: int = 2
 ) -> DataFrame:
     """Forecast 24 hours ahead for every station from its last 48 hours (at least 30)."""
-    recent = latest(series, FORECAST_HOURS, "hour").drop("recency")
-    enough = recent.groupBy("station").agg(F.count("*").alias("_n")).filter(
-        F.col("_n") >= FORECAST_MIN_HOURS
-    )
-    features = build_hourly_features(
-        recent.join(enough, "station", "left_semi"), target=False
-    )
+    count = F.count("*").over(Window.partitionBy("station"))  # at most 48 rows are left
+    recent = latest(series, FORECAST_HOURS, "hour").withColumn("_n", count)
+    enough = recent.filter(F.col("_n") >= FORECAST_MIN_HOURS).drop("recency", "_n")
+    features = build_hourly_features(enough, target=False)
     last = score(latest_report(features, "ts"))
     return last.select(
         "station",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazeline.session import stage_table
+
 
 def _hours(n: int) -> Column:
     return F.make_dt_interval(hours=F.lit(n))
@@ -18,11 +20,14 @@ def recent_quality(
     Every station of `stations` appears; one without rows reports NO_DATA.
     """
     recent = readings.filter((F.col("ts") > as_of - _hours(hours)) & (F.col("ts") <= as_of))
-    stats = recent.groupBy("station").agg(
-        F.count("*").alias("records_count"),
-        F.count("pm25").alias("_present"),
-        F.avg("pm25").alias("_mean"),
-        F.coalesce(F.stddev_samp("pm25"), F.lit(0.0)).alias("_std"),
+    stats = stage_table(
+        recent.groupBy("station").agg(
+            F.count("*").alias("records_count"),
+            F.count("pm25").alias("_present"),
+            F.avg("pm25").alias("_mean"),
+            F.coalesce(F.stddev_samp("pm25"), F.lit(0.0)).alias("_std"),
+        ),
+        "stats",
     )
     # a mean of zero counts as "no mean" in the checks, as it does where these rules come from
     outliers = (

@@ -151,10 +151,13 @@ def replace_predictions(
     stations: Sequence | None = None,
     keys: Sequence[str] = PREDICTION_KEYS,
 ) -> DataFrame:
-    """With a batch, its exact keys are replaced; without one, the date range is deleted."""
+    """With a batch, its exact keys are replaced; without one, the date range is deleted.
+
+    The upsert drops the old rows of the batch's keys itself, so no separate delete runs.
+    """
     if batch is None:
         return delete_date_range(target, first, last, stations)
-    return upsert(delete_keys(target, batch, keys), batch, order, keys)
+    return upsert(target, batch, order, keys)
 
 
 def key_exists(batch: DataFrame, target: DataFrame, keys: Sequence[str] = READING_KEYS) -> DataFrame:

@@ -14,13 +14,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazeline.session import stage_table
+
 SKETCH_ACCURACY = 10_000
 
 
 def exact_percentiles(
     df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str]
 ) -> DataFrame:
-    """One row per key: `q`, the percentiles in the order of `probs`, and `n`, the value count."""
+    """One row per key: `q`, the percentiles in the order of `probs`, and `n`, the value count.
+
+    The first pass (the sketch) runs when this is called.
+    """
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     margin = 3.0 / SKETCH_ACCURACY  # sketch error is at most 1 / SKETCH_ACCURACY
     lows = [max(p - margin, 0.0) for p in probs]
@@ -35,11 +40,24 @@ def exact_percentiles(
     # groups no larger than the sketch, and brackets at the ends, open to the true extremes
     small = F.col("n") <= SKETCH_ACCURACY
     spots = range(len(probs))
-    brackets = sketch.select(
-        *keys,
-        "n",
-        *[F.when(small | F.lit(lows[i] <= 0), F.col("_min")).otherwise(F.col("_low")[i]).alias(f"_l{i}") for i in spots],
-        *[F.when(small | F.lit(highs[i] >= 1), F.col("_max")).otherwise(F.col("_high")[i]).alias(f"_h{i}") for i in spots],
+    brackets = stage_table(
+        sketch.select(
+            *keys,
+            "n",
+            *[
+                F.when(small | F.lit(lows[i] <= 0), F.col("_min"))
+                .otherwise(F.col("_low")[i])
+                .alias(f"_l{i}")
+                for i in spots
+            ],
+            *[
+                F.when(small | F.lit(highs[i] >= 1), F.col("_max"))
+                .otherwise(F.col("_high")[i])
+                .alias(f"_h{i}")
+                for i in spots
+            ],
+        ),
+        "brackets",
     )
     started = reduce(lambda a, b: a + b, [(F.col("_v") >= F.col(f"_l{i}")).cast("int") for i in spots])
     ended = reduce(lambda a, b: a + b, [(F.col("_v") > F.col(f"_h{i}")).cast("int") for i in spots])
@@ -68,10 +86,10 @@ def exact_percentiles(
         .orderBy("_at")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = (
-        counted.filter(F.col("_at").isNotNull())
-        .join(offsets, [*keys, "_cell"])
-        .withColumn("_end", F.col("_before") + F.sum("_c").over(by_value))
+    # a cell outside the brackets is one row without a value; leaving it in keeps both uses of
+    # `counted` identical, so Spark reuses the shuffle
+    ranked = counted.join(offsets, [*keys, "_cell"]).withColumn(
+        "_end", F.col("_before") + F.sum("_c").over(by_value)
     )
     begin, end = F.col("_end") - F.col("_c"), F.col("_end")
 
@@ -90,12 +108,3 @@ def exact_percentiles(
         missing = F.raise_error(F.lit("rank outside its bracket")).cast("double")
         q.append(F.when(exact.isNull(), missing).otherwise(exact))
     return picked.select(*keys, F.array(*q).alias("q"), "n")
-
-
-def bounded_percentiles(
-    df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str]
-) -> DataFrame:
-    """Same result by the built-in aggregate; for groups whose size a time window bounds."""
-    return df.groupBy(*keys).agg(
-        F.percentile(value, list(probs)).alias("q"), F.count(value).alias("n")
-    )

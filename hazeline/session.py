@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "hazeline", **conf: str) -> SparkSession:
@@ -15,6 +15,8 @@ def build_session(master: str | None = None, app: str = "hazeline", **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # grids and windows grow after a shuffle, so small shuffles stay spread over the cores
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if master:
@@ -36,3 +38,16 @@ def work_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="hazeline-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stage_table(df: DataFrame, label: str) -> DataFrame:
+    """Write a result once to the shared folder and read it back.
+
+    Three uses: it cuts the lineage where several jobs read a result; the copy survives lost
+    executors; and Spark knows the true size of the copy, so a join with it is a broadcast only
+    below the broadcast threshold and a sort-merge join with skew handling beyond it. Without the
+    copy, Spark would shuffle a large table by station just to meet one row per station.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
