@@ -11,6 +11,7 @@ from hazeline.functions.scalar import clip
 from hazeline.operators.validate import remove_outliers
 from hazeline.plans.series import (
     KEYS,
+    alongside,
     hour_index,
     hour_start,
     over_chunks,
@@ -37,9 +38,8 @@ def hourly_grid(
     seen = readings.filter(F.col("pm25").isNotNull()).select(
         *keys, "ts", hour_index(F.col("ts")).alias("_at"), "pm25"
     ).withColumn("_seg", segment_of(F.col("ts"), every))
-    # taking the value along gives both uses of `seen` the same columns, so Spark reuses its shuffle
     ends = seen.groupBy(*keys, "_seg").agg(
-        F.min(F.struct("_at", "pm25"))["_at"].alias("_first"), F.max("_at").alias("_end")
+        F.min("_at").alias("_first"), F.max("_at").alias("_end")
     )
     by_key = Window.partitionBy(*keys)
     following = ends.select(
@@ -50,7 +50,7 @@ def hourly_grid(
     )
     within = Window.partitionBy(*keys, "_seg").orderBy("_at")
     until = F.coalesce(F.lead("_at").over(within), F.col("_after"), F.col("_at") + 1)
-    spans = seen.join(following, [*keys, "_seg"]).withColumn("_until", until)
+    spans = seen.join(alongside(following), [*keys, "_seg"]).withColumn("_until", until)
     extra = [last] if last else []
     hours = spans.select(
         *keys,
@@ -92,7 +92,8 @@ def join_calendar(daily: DataFrame, start: str, end: str, keys: Sequence[str] =
 def _with_edges(df, value, order, keys, every, payload):
     """The rows with their segment and the nearest non-null payload outside the segment."""
     tagged = df.withColumn("_seg", segment_of(F.col(order), every))
-    return tagged.join(segment_edges(tagged, value, order, keys, payload), [*keys, "_seg"])
+    edges = segment_edges(tagged, value, order, keys, payload)
+    return tagged.join(alongside(edges), [*keys, "_seg"])
 
 
 def fill_series(

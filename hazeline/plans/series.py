@@ -89,12 +89,18 @@ def positioned(
     )
     local = F.row_number().over(Window.partitionBy(*keys, "_seg").orderBy(order, *ties))
     return (
-        tagged.join(offsets, [*keys, "_seg"])
+        tagged.join(alongside(offsets), [*keys, "_seg"])
         .withColumn(pos, F.col("_before") + local)
         .select(*df.columns, pos, *([total] if total else []))
     )
 
 
+def alongside(per_segment: DataFrame) -> DataFrame:
+    """Mark a per-segment table for a merge join: the rows are shuffled by (keys, segment) for the
+    window that follows, so the join rides on that shuffle and neither side is broadcast."""
+    return per_segment.hint("merge")
+
+
 def segment_of(order: Column, every: str) -> Column:
     """Calendar segment number of a date or timestamp column."""
     if every == "YEAR":

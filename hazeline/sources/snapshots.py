@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.functions.parsing import LOCAL_TZ, coerce_float, parse_buddhist_ts
@@ -59,32 +59,34 @@ def decode_snapshots(
         "p.arrParameter",
         lambda a: a["Alias"].isNotNull() & a["MeasIndex"].isNotNull() & a["ShortName"].isin(*fields),
     )
-    # a repeated alias keeps its last entry
-    kind = "map<string,struct<station:int,field:string>>"
-    aliases = F.aggregate(
-        usable,
-        F.create_map().cast(kind),
-        lambda acc, a: F.map_concat(
-            F.map_filter(acc, lambda k, _: k != a["Alias"]),
-            F.create_map(a["Alias"], F.struct(a["MeasIndex"], names[a["ShortName"]])).cast(kind),
-        ).cast(kind),
+    # newest first, so the first match of a repeated alias is its last entry
+    listed = parsed.select(payload_id, "p.arrData", F.reverse(usable).alias("_known")).select(
+        payload_id, "arrData", "_known", F.transform("_known", lambda a: a["Alias"]).alias("_aliases")
     )
-    rows = parsed.select(payload_id, aliases.alias("_aliases"), F.posexplode("p.arrData").alias("_at", "_row"))
-    melted = (
-        rows.filter(F.coalesce(F.col("_row")[TIME_KEY], F.lit("")) != "")
-        .select(
-            payload_id,
-            "_aliases",
-            "_at",
-            parse_buddhist_ts(F.col("_row")[TIME_KEY], tz).alias("ts"),
-            F.explode("_row").alias("_alias", "_text"),
-        )
-        .withColumn("_meta", F.col("_aliases")[F.col("_alias")])
-        .filter(F.col("_meta").isNotNull())
-        .select(
-            payload_id, "_at", "ts", F.col("_meta.station").alias("station_id"), F.col("_meta.field").alias("_field"),
-            F.struct("_at", coerce_float(F.col("_text")).alias("v")).alias("_reading"),
+
+    def cells(row: Column, at: Column) -> Column:
+        return F.transform(
+            F.map_entries(row),
+            lambda cell: F.struct(
+                at.alias("at"),
+                row[TIME_KEY].alias("time"),
+                F.get("_known", F.array_position("_aliases", cell["key"]).cast("int") - 1).alias("meta"),
+                cell["value"].alias("text"),
+            ),
         )
+
+    # aliases are matched before exploding, so no exploded row carries the alias list
+    matched = F.filter(
+        F.flatten(F.transform("arrData", cells)),
+        lambda c: c["meta"].isNotNull() & (F.coalesce(c["time"], F.lit("")) != ""),
+    )
+    cell = listed.select(payload_id, F.explode(matched).alias("c"))
+    melted = cell.select(
+        payload_id,
+        parse_buddhist_ts(F.col("c.time"), tz).alias("ts"),
+        F.col("c.meta.MeasIndex").alias("station_id"),
+        names[F.col("c.meta.ShortName")].alias("_field"),
+        F.struct(F.col("c.at").alias("at"), coerce_float(F.col("c.text")).alias("v")).alias("_reading"),
     )
     if stations is not None:
         melted = melted.join(stations.select("station_id"), "station_id", "left_semi")
