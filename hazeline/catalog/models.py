@@ -1,5 +1,7 @@
 """Splits, training, selection and forecast queries over the test tables."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from hazeline import tables
@@ -7,7 +9,8 @@ from hazeline.catalog import sql
 from hazeline.catalog.registry import query
 from hazeline.catalog.series import DAY, hourly
 from hazeline.operators import features, fit, model, ranges
-from hazeline.operators.aggregate import regression_metrics
+from hazeline.operators.aggregate import daily_local_mean, regression_metrics
+from hazeline.operators.onnx_scoring import score_onnx
 from hazeline.session import stage_table, work_dir
 from hazeline.sources.tables import append_log
 
@@ -61,6 +64,17 @@ def purged_split(spark, sf_dir):
     return purged.groupBy("station", "split").agg(F.count("*").alias("rows"))
 
 
+@query(
+    "l2_fixed_split",
+    f"""WITH {sql.DAILY} SELECT station, {DAY}, CASE WHEN date < DATE '1999-11-01' THEN 'train'
+    WHEN date < DATE '2000-01-01' THEN 'val' ELSE 'test' END AS split FROM daily WHERE date >= DATE '1996-07-01'""",
+)
+def fixed_split(spark, sf_dir):
+    val, test, first = (F.lit(t).cast("date") for t in ("1999-11-01", "2000-01-01", "1996-07-01"))
+    daily = tables.daily_readings(spark, sf_dir)
+    return model.assign_split(daily, val, test, first, "date").select("station", "date", "split")
+
+
 FOLDS = """numbered AS (
   SELECT station, date, row_number() OVER (PARTITION BY station ORDER BY date) - 1 AS i, count(*) OVER (PARTITION BY station) AS n FROM daily),
 blocks AS (
@@ -246,6 +260,22 @@ def score_batch(spark, sf_dir):
     return scored_test(spark, sf_dir)
 
 
+# an outside model file that returns the value 24 hours ago, as float32
+SAME_HOUR_MODEL = str(Path(__file__).parents[2] / "tests" / "fixtures" / "same_hour.onnx")
+
+
+@query(
+    "l14_score_onnx",
+    f"""WITH {sql.HOURLY_WIDE} SELECT station, CAST(ts AS VARCHAR) AS ts,
+    round(CAST(CAST(pm25_lag_24 AS FLOAT) AS DOUBLE), 4) AS predicted FROM features""",
+)
+def score_onnx_file(spark, sf_dir):
+    names = features.HOURLY_FEATURES
+    wide = hourly_features(spark, sf_dir).select("station", "ts", *names)
+    scored = score_onnx(wide, SAME_HOUR_MODEL, names)
+    return scored.select("station", "ts", F.round("predicted", 4).alias("predicted"))
+
+
 @query(
     "o2_leaderboard",
     f"""WITH {CANDIDATES}, overall AS (SELECT model, round(avg(mae), 6) AS mae, round(avg(rmse), 6) AS rmse FROM metrics GROUP BY model)
@@ -375,8 +405,6 @@ def store_predictions(spark, sf_dir):
     jobs = manual_jobs(spark, sf_dir)
     score = model.linear_score(NEXT_DAY_WEIGHTS)
     fresh = model.job_predictions(jobs, score, "blend", "manual", time("2024-02-10"))
-    from hazeline.operators.aggregate import daily_local_mean
-
     means = daily_local_mean(tables.hourly_readings(spark, sf_dir), "2023-12-25", "2024-02-04")
     empty = {
         name: F.lit(None).cast(kind)

@@ -58,9 +58,15 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def save_features(df: DataFrame, path: str, by: Sequence[str] = ("station", "split")) -> None:
-    """Feature table partitioned for the readers, which take one split of some stations."""
-    df.repartition(*by).write.mode("overwrite").partitionBy(*by).parquet(path)
+def save_features(
+    df: DataFrame, path: str, by: Sequence[str] = ("station", "split"), order: str = "ts"
+) -> None:
+    """Feature table partitioned for the readers, which take one split of some stations.
+
+    Rows are ranged by time inside a partition, so a hot station is written by many tasks.
+    """
+    ranged = df.repartitionByRange(*by, order)
+    ranged.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def load_features(spark: SparkSession, path: str, split: str, stations: Sequence[str] | None = None) -> DataFrame:
@@ -68,10 +74,19 @@ def load_features(spark: SparkSession, path: str, split: str, stations: Sequence
     return rows if stations is None else rows.filter(F.col("station").isin(list(stations)))
 
 
-def write_by_day(df: DataFrame, path: str, mode: str = "append", order: str = "ts") -> None:
-    """Append to or overwrite the day partitions that `df` touches."""
+def write_by_day(
+    df: DataFrame, path: str, mode: str = "append", order: str = "ts", keys: Sequence[str] = ("station",)
+) -> None:
+    """Append to or overwrite the day partitions that `df` touches.
+
+    Ranging by day, station and time gives few files per day, splits hot days and stations over
+    tasks, and keeps each file sorted for row-group skipping.
+    """
+    layout = ["day", *keys, order]
     (
         df.withColumn("day", F.col(order).cast("date"))
+        .repartitionByRange(*layout)
+        .sortWithinPartitions(*layout)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")

@@ -74,12 +74,13 @@ def run_ingest(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        checked = validate(batch)
+        checked = validate(batch).persist()  # read by the day range, the insert and the rejects
         plain = checked.filter("is_valid").select(*batch.columns)
         insert_ignore_table(batch.sparkSession, path, plain, order)
         if rejected:
             target = f"{rejected}/batch={batch_id}"
             checked.filter(~F.col("is_valid")).write.mode("overwrite").parquet(target)
+        checked.unpersist()
 
     (
         stream.writeStream.foreachBatch(store)
@@ -95,8 +96,9 @@ def decode_stream(payloads: DataFrame, dim: DataFrame, path: str, checkpoint: st
 
     def store(batch: DataFrame, _: int) -> None:
         readings = decode_snapshots(batch, dim).withColumnRenamed("station_id", "station")
-        valid = validate(readings).filter("is_valid").select(*readings.columns)
+        valid = validate(readings).filter("is_valid").select(*readings.columns).persist()
         insert_ignore_table(batch.sparkSession, path, valid, ["payload_id"])
+        valid.unpersist()
 
     (
         payloads.writeStream.foreachBatch(store)

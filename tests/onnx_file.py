@@ -1,0 +1,51 @@
+"""Bytes of a tiny linear ONNX model, for tests that need a model file."""
+
+import struct
+
+
+def _varint(n):
+    out = b""
+    while True:
+        n, low = n >> 7, n & 0x7F
+        out += bytes([low | (0x80 if n else 0)])
+        if not n:
+            return out
+
+
+def _number(field, n):
+    return _varint(field << 3) + _varint(n)
+
+
+def _bytes(field, data):
+    data = data.encode() if isinstance(data, str) else data
+    return _varint(field << 3 | 2) + _varint(len(data)) + data
+
+
+def _tensor(name, values, dims):
+    packed = struct.pack(f"<{len(values)}f", *values)
+    shape = b"".join(_number(1, d) for d in dims)
+    return shape + _number(2, 1) + _bytes(8, name) + _bytes(9, packed)
+
+
+def _value(name, width):
+    dims = _bytes(1, _bytes(2, "n")) + _bytes(1, _number(1, width))
+    return _bytes(1, name) + _bytes(2, _bytes(1, _number(1, 1) + _bytes(2, dims)))
+
+
+def _node(kind, inputs, output):
+    return b"".join(_bytes(1, i) for i in inputs) + _bytes(2, output) + _bytes(4, kind)
+
+
+def linear_model(weights, bias):
+    """y = x w + b with float32 rows of len(weights) columns."""
+    graph = (
+        _bytes(1, _node("MatMul", ["x", "w"], "xw"))
+        + _bytes(1, _node("Add", ["xw", "b"], "y"))
+        + _bytes(2, "linear")
+        + _bytes(5, _tensor("w", weights, [len(weights), 1]))
+        + _bytes(5, _tensor("b", [bias], [1]))
+        + _bytes(11, _value("x", len(weights)))
+        + _bytes(12, _value("y", 1))
+    )
+    opset = _bytes(1, "") + _number(2, 13)
+    return _number(1, 8) + _bytes(7, graph) + _bytes(8, opset)
