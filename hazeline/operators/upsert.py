@@ -61,9 +61,8 @@ def upsert(
     keys: Sequence[str] = PREDICTION_KEYS,
 ) -> DataFrame:
     """Batch rows replace target rows of the same key; inside a batch the latest wins."""
-    newest = dedupe_latest(batch, keys, order)
-    kept = target.join(newest.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(newest)
+    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
+    return kept.unionByName(dedupe_latest(batch, keys, order))
 
 
 def _of_stations(stations: Sequence | None, column: str) -> Column:
