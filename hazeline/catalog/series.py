@@ -398,12 +398,12 @@ def bias_of_raw_pairs(spark, sf_dir):
     "a8_metrics_by_regime",
     f"""WITH {sql.PAIRS}, banded AS (
       SELECT *, CASE WHEN actual < 35 THEN 'low' WHEN actual <= 75 THEN 'moderate' ELSE 'high' END AS regime FROM pairs),
-    {sql.metrics("banded", "station, regime")},
+    {sql.metrics("banded", "station, regime", 6)},
     tail AS (SELECT station, regime, quantile_cont(abs(actual - predicted), 0.95) AS p95 FROM banded GROUP BY ALL)
     SELECT m.*, round(p95, 6) AS p95_error FROM metrics m JOIN tail t USING (station, regime)""",
 )
 def metrics_by_regime(spark, sf_dir):
-    return aggregate.metrics_by_regime(log_pairs(spark, sf_dir))
+    return aggregate.metrics_by_regime(log_pairs(spark, sf_dir), places=6)
 
 
 @query(

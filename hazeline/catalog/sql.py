@@ -109,7 +109,7 @@ totals AS (
   SELECT {keys}, count(*) FILTER (NOT is_actual) AS ne, count(*) FILTER (is_actual) AS na
   FROM {samples} GROUP BY {keys}),
 binned AS (
-  SELECT {keys}, len(list_filter(e[2:-2], lambda x: x <= value)) AS bin, is_actual
+  SELECT {keys}, len(list_filter(e[2:-2], lambda x: x <= round(value, 9))) AS bin, is_actual
   FROM {samples} JOIN edges {using}),
 shares AS (
   SELECT {keys}, bin, count(*) FILTER (NOT is_actual) AS ce, count(*) FILTER (is_actual) AS ca
@@ -124,10 +124,12 @@ psi_result AS (
   FROM filled JOIN edges {using} GROUP BY {keys})"""
 
 
-def metrics(source, by):
+def metrics(source, by, places=4):
     """CTE `metrics` (by, n, mae, rmse, r2)."""
     return f"""metrics AS (
-  SELECT {by}, count(*) AS n, round(avg(abs(actual - predicted)), 4) AS mae,
-         round(sqrt(avg((actual - predicted) ** 2)), 4) AS rmse,
-         round(1 - avg((actual - predicted) ** 2) / var_pop(actual), 4) AS r2
+  SELECT {by}, count(*) AS n, round(avg(abs(actual - predicted)), {places}) AS mae,
+         round(sqrt(avg((actual - predicted) ** 2)), {places}) AS rmse,
+         CASE WHEN count(*) < 2 THEN NULL
+              WHEN var_pop(actual) = 0 THEN CASE WHEN avg((actual - predicted) ** 2) = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+              ELSE round(1 - avg((actual - predicted) ** 2) / var_pop(actual), {places}) END AS r2
   FROM {source} GROUP BY ALL)"""

@@ -54,10 +54,14 @@ def coverage(df: DataFrame, order: str = "ts", keys: Sequence[str] = KEYS) -> Da
 
 
 def regression_metrics(
-    pairs: DataFrame, by: Sequence[str] = KEYS, actual: str = "actual", predicted: str = "predicted"
+    pairs: DataFrame,
+    by: Sequence[str] = KEYS,
+    actual: str = "actual",
+    predicted: str = "predicted",
+    places: int = 4,
 ) -> DataFrame:
-    """n, MAE, RMSE and R2 rounded to 4. SST comes from the population variance, which Spark
-    merges in a numerically stable way; constant actuals give R2 1 or 0 like the usual scorers."""
+    """n, MAE, RMSE and R2, rounded. SST comes from the population variance, which Spark
+    merges in a numerically stable way."""
     rows = pairs.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
     error = F.col(actual) - F.col(predicted)
     sums = rows.groupBy(*by).agg(
@@ -66,18 +70,23 @@ def regression_metrics(
         F.avg(error * error).alias("_mse"),
         F.var_pop(actual).alias("_var"),
     )
-    return sums.select(*by, "n", *metric_columns(F.col("_mae"), F.col("_mse"), F.col("_var")))
+    metrics = metric_columns(F.col("n"), F.col("_mae"), F.col("_mse"), F.col("_var"), places)
+    return sums.select(*by, "n", *metrics)
 
 
-def metric_columns(mae: Column, mse: Column, variance: Column) -> list[Column]:
-    """MAE, RMSE and R2 from mean errors and the population variance of the actuals."""
-    r2 = F.when(variance == 0, F.when(mse == 0, 1.0).otherwise(0.0)).otherwise(
-        1 - F.try_divide(mse, variance)
-    )
+def metric_columns(
+    n: Column, mae: Column, mse: Column, variance: Column, places: int = 4
+) -> list[Column]:
+    """MAE, RMSE and R2 from mean errors and the population variance of the actuals.
+
+    R2 needs two rows; constant actuals give 1 for a perfect fit and 0 otherwise.
+    """
+    flat = F.when(mse == 0, 1.0).otherwise(0.0)
+    r2 = F.when(n >= 2, F.when(variance == 0, flat).otherwise(1 - F.try_divide(mse, variance)))
     return [
-        F.round(mae, 4).alias("mae"),
-        F.round(F.sqrt(mse), 4).alias("rmse"),
-        F.round(r2, 4).alias("r2"),
+        F.round(mae, places).alias("mae"),
+        F.round(F.sqrt(mse), places).alias("rmse"),
+        F.round(r2, places).alias("r2"),
     ]
 
 
@@ -102,14 +111,16 @@ def bias_of_raw_pairs(raw: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
     )
 
 
-def metrics_by_regime(pairs: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
+def metrics_by_regime(
+    pairs: DataFrame, by: Sequence[str] = KEYS, places: int = 4
+) -> DataFrame:
     """Metrics and the 95th percentile of the absolute error per pollution regime."""
     rows = pairs.withColumn("regime", regime(F.col("actual"))).withColumn(
         "_abs", F.abs(F.col("actual") - F.col("predicted"))
     )
     keys = [*by, "regime"]
     tail = exact_percentiles(rows, "_abs", [0.95], keys)
-    return regression_metrics(rows, keys).join(
+    return regression_metrics(rows, keys, places=places).join(
         tail.select(*keys, F.col("q")[0].alias("p95_error")), keys
     )
 

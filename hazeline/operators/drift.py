@@ -85,10 +85,12 @@ def _edges(percentiles: Column) -> Column:
 def psi(samples: DataFrame, bins: int = 10, keys: Sequence[str] = KEYS) -> DataFrame:
     """Stability index per key over quantile bins of both samples pooled.
 
-    Edges are rounded and deduplicated; the outer edges are open; fewer than three distinct edges
-    give 0. Groups may be of any size.
+    Values and edges are rounded alike, so a value on an edge is never moved by float noise; edges
+    are deduplicated; the outer edges are open; fewer than three distinct edges give 0. Groups may
+    be of any size.
     """
-    rows = samples.filter(F.col("value").isNotNull())
+    rounded = F.round("value", EDGE_PLACES).alias("value")
+    rows = samples.filter(F.col("value").isNotNull()).select(*keys, "is_actual", rounded)
     probs = [i / bins for i in range(bins + 1)]
     edges = exact_percentiles(rows, "value", probs, keys).select(*keys, _edges(F.col("q")).alias("_all"))
     inner = F.slice("_all", 2, F.greatest(F.size("_all") - 2, F.lit(0)))
@@ -139,16 +141,17 @@ def window_health(pairs: DataFrame, keys: Sequence[str] = KEYS, bins: int = 10)
     )
     rows = pairs.filter(error.isNotNull()).select(*keys, F.explode(both).alias("s")).select(*keys, "s.*")
     value = F.col("value")
+    rounded = F.round(value, EDGE_PLACES)
     gathered = rows.groupBy(*keys).agg(
         F.count("error").alias("n"),
         F.avg(F.abs("error")).alias("_mae"),
         F.avg(F.col("error") * F.col("error")).alias("_mse"),
         F.var_pop(F.when(F.col("is_actual"), value)).alias("_var"),
-        F.percentile("value", [i / bins for i in range(bins + 1)]).alias("_q"),
-        F.collect_list(F.when(~F.col("is_actual"), value)).alias("_e"),
-        F.collect_list(F.when(F.col("is_actual"), value)).alias("_a"),
+        F.percentile(rounded, [i / bins for i in range(bins + 1)]).alias("_q"),
+        F.collect_list(F.when(~F.col("is_actual"), rounded)).alias("_e"),
+        F.collect_list(F.when(F.col("is_actual"), rounded)).alias("_a"),
     )
-    metrics = metric_columns(F.col("_mae"), F.col("_mse"), F.col("_var"))
+    metrics = metric_columns(F.col("n"), F.col("_mae"), F.col("_mse"), F.col("_var"))
     index = psi_of_arrays(F.col("_q"), F.col("_e"), F.col("_a"))
     return gathered.select(*keys, "n", *metrics, index.alias("psi"))
 
