@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The provider's local zone, its Buddhist-era offset, and its blank markers.
+# The provider's local zone and its Buddhist-era offset.
 LOCAL_TZ = "Asia/Bangkok"
 BUDDHIST_OFFSET = 543
-BLANK_MARKERS = ("", "-", "None", "nan", "NaN")
 
 # Accepted date layouts of the forecast job and of the backfill job.
 JOB_DATE_FORMATS = ("yyyy-M-d", "d/M/yyyy", "d-M-yyyy", "yyyy-M-d H:m:s")
@@ -54,10 +53,14 @@ def format_local(utc: Column, tz: str = LOCAL_TZ) -> Column:
 
 
 def coerce_float(text: Column) -> Column:
-    """Lenient number: commas and blanks ignored, blank markers and bad text become null."""
+    """Lenient number: blanks around it and commas are ignored, anything else is null.
+
+    The provider's blank markers fail the cast or give NaN, so they need no list. A type suffix
+    such as `1d`, which the cast would accept, is not a number here.
+    """
     cleaned = F.replace(F.trim(text.cast("string")), F.lit(","), F.lit(""))
-    number = F.when(~cleaned.isin(*BLANK_MARKERS), cleaned.try_cast("double"))
-    return F.when(~F.isnan(number), number)
+    number = F.when(~cleaned.rlike("[0-9.][dDfF]$"), cleaned.try_cast("double"))
+    return F.nanvl(number, F.lit(None).cast("double"))
 
 
 def parse_date_multi(

@@ -39,6 +39,22 @@ def resolve_stations(dim: DataFrame, requested: Sequence[int]) -> DataFrame:
     return wanted.join(dim.select("station_id"), "station_id", "left_semi")
 
 
+def _merged_rows() -> Column:
+    """The data rows of a payload with a time; rows of the same time become one, later cells win."""
+    timed = F.filter("arrData", lambda r: F.coalesce(r[TIME_KEY], F.lit("")) != "")
+    time_of = lambda r: F.trim(r[TIME_KEY])
+    times = F.transform(timed, time_of)
+    fold = lambda acc, r: F.map_concat(
+        F.map_filter(acc, lambda k, _: ~F.map_contains_key(r, k)), r
+    )
+    empty = F.create_map().cast("map<string,string>")
+    merged = F.transform(
+        F.array_distinct(times),
+        lambda t: F.aggregate(F.filter(timed, lambda r: time_of(r) == t), empty, fold),
+    )
+    return F.when(F.size(F.array_distinct(times)) == F.size(times), timed).otherwise(merged)
+
+
 def decode_snapshots(
     payloads: DataFrame,
     dim: DataFrame,
@@ -49,55 +65,73 @@ def decode_snapshots(
 ) -> DataFrame:
     """Typed readings of JSON payloads: (payload_id, station_id, names, ts, six measures).
 
-    Aliases are resolved inside their own payload, so melting needs no join; the pivot merges rows
-    of one payload before its shuffle. Later rows of a payload overwrite earlier ones per measure.
-    Rows whose measures are all null are dropped.
+    Melt, alias lookup and pivot all happen inside the payload's own row, so decoding is a map
+    without a shuffle; only the name table is joined (give it as a stored table, so Spark knows its
+    size). Rows whose measures are all null are dropped.
     """
-    names = F.create_map(*[F.lit(x) for pair in fields.items() for x in pair])
-    parsed = payloads.select(payload_id, F.from_json("body", PAYLOAD_SCHEMA).alias("p"))
     usable = F.filter(
         "p.arrParameter",
         lambda a: a["Alias"].isNotNull() & a["MeasIndex"].isNotNull() & a["ShortName"].isin(*fields),
     )
-    # newest first, so the first match of a repeated alias is its last entry
-    listed = parsed.select(payload_id, "p.arrData", F.reverse(usable).alias("_known")).select(
-        payload_id, "arrData", "_known", F.transform("_known", lambda a: a["Alias"]).alias("_aliases")
+    slot = lambda station, name: F.concat_ws("|", station.cast("string"), name)
+    parsed = (
+        payloads.select(payload_id, F.from_json("body", PAYLOAD_SCHEMA).alias("p"))
+        # newest first, so the first entry of a repeated alias is the one that counts
+        .select(payload_id, "p.arrData", F.reverse(usable).alias("_listed"))
+        .select("*", F.transform("_listed", lambda a: a["Alias"]).alias("_names"))
+        .select(
+            payload_id,
+            "arrData",
+            F.filter(
+                "_listed", lambda a, i: F.array_position("_names", a["Alias"]) == i + 1
+            ).alias("_known"),
+        )
+        .select("*", F.transform("_known", lambda a: slot(a["MeasIndex"], a["ShortName"])).alias("_slots"))
+    )
+    # normally every (station, parameter) has one alias, and a map finds it
+    unique = F.size(F.array_distinct("_slots")) == F.size("_slots")
+    aliases = F.map_from_arrays("_slots", F.transform("_known", lambda a: a["Alias"]))
+    prepared = parsed.select(
+        payload_id,
+        "_known",
+        F.when(unique, aliases).alias("_alias_of"),
+        F.array_distinct(F.transform("_known", lambda a: a["MeasIndex"])).alias("_stations"),
+        _merged_rows().alias("_rows"),
     )
 
-    def cells(row: Column, at: Column) -> Column:
-        return F.transform(
+    def measure(row: Column, station: Column, name: str) -> Column:
+        wanted = slot(station, F.lit(name))
+        # several aliases for one measure: the last cell of the row counts
+        cells = F.filter(
             F.map_entries(row),
-            lambda cell: F.struct(
-                at.alias("at"),
-                row[TIME_KEY].alias("time"),
-                F.get("_known", F.array_position("_aliases", cell["key"]).cast("int") - 1).alias("meta"),
-                cell["value"].alias("text"),
+            lambda c: F.exists(
+                "_known",
+                lambda a: (a["Alias"] == c["key"]) & (slot(a["MeasIndex"], a["ShortName"]) == wanted),
             ),
         )
+        last = F.get(F.reverse(cells), F.lit(0))["value"]
+        return F.when(F.col("_alias_of").isNotNull(), row[F.col("_alias_of")[wanted]]).otherwise(last)
 
-    # aliases are matched before exploding, so no exploded row carries the alias list
-    matched = F.filter(
-        F.flatten(F.transform("arrData", cells)),
-        lambda c: c["meta"].isNotNull() & (F.coalesce(c["time"], F.lit("")) != ""),
-    )
-    cell = listed.select(payload_id, F.explode(matched).alias("c"))
-    melted = cell.select(
-        payload_id,
-        parse_buddhist_ts(F.col("c.time"), tz).alias("ts"),
-        F.col("c.meta.MeasIndex").alias("station_id"),
-        names[F.col("c.meta.ShortName")].alias("_field"),
-        F.struct(F.col("c.at").alias("at"), coerce_float(F.col("c.text")).alias("v")).alias("_reading"),
+    def record(row: Column, station: Column) -> Column:
+        texts = [measure(row, station, name).alias(field) for name, field in fields.items()]
+        return F.struct(station.alias("station_id"), row[TIME_KEY].alias("time"), *texts)
+
+    records = F.flatten(
+        F.transform("_rows", lambda row: F.transform("_stations", lambda s: record(row, s)))
     )
-    if stations is not None:
-        melted = melted.join(stations.select("station_id"), "station_id", "left_semi")
     measures = list(fields.values())
-    wide = melted.groupBy(payload_id, "station_id", "ts").agg(
-        *[
-            F.max(F.when(F.col("_field") == f, F.col("_reading")))["v"].alias(f)
-            for f in measures
-        ]
+    readings = (
+        prepared.select(payload_id, F.explode(records).alias("r"))
+        .select(
+            payload_id,
+            "r.station_id",
+            parse_buddhist_ts(F.col("r.time"), tz).alias("ts"),
+            *[coerce_float(F.col(f"r.{f}")).alias(f) for f in measures],
+        )
+        .filter(F.coalesce(*measures).isNotNull())
     )
-    some = F.coalesce(*[F.col(f) for f in measures]).isNotNull()
-    return wide.filter(some).join(dim, "station_id", "left").select(
+    if stations is not None:
+        readings = readings.join(stations.select("station_id"), "station_id", "left_semi")
+    return readings.join(dim, "station_id", "left").select(
         payload_id, "station_id", "station_name", "station_name_en", "ts", *measures
     )

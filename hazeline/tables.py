@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.plans.series import hour_floor, over_chunks, positioned
+from hazeline.session import stage_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,14 +81,16 @@ def actual_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def station_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(station_id, station_name, station_name_en) from suppliers and their nations."""
+    """(station_id, station_name, station_name_en) from suppliers and their nations, as a stored
+    table: its size is known, so joins with it are broadcast only while it is small."""
     supplier = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")
-    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
+    names = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
         F.col("s_suppkey").alias("station_id"),
         F.col("s_name").alias("station_name"),
         F.col("n_name").alias("station_name_en"),
     )
+    return stage_table(names, "station-names")
 
 
 def long_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,7 +76,7 @@ def test_validate_reasons(spark):
 
 @pytest.mark.parametrize(
     "text, number",
-    [("1,234.5", 1234.5), ("-", None), ("", None), ("None", None), ("nan", None), ("abc", None), (" 7 ", 7.0), ("NAN", None)],
+    [("1,234.5", 1234.5), ("-", None), ("", None), ("None", None), ("nan", None), ("abc", None), (" 7 ", 7.0), ("NAN", None), ("1d", None), ("2.f", None), ("-1e2", -100.0)],
 )
 def test_coerce_float(spark, text, number):
     assert one(spark, parsing.coerce_float(F.lit(text))) == number
@@ -221,6 +221,21 @@ def test_snapshot(spark):
     assert rows[0]["station_name_en"] == "N"
 
 
+def test_snapshot_with_repeated_aliases(spark):
+    body = """{"arrParameter": [
+        {"Alias": "a", "MeasIndex": 1, "ShortName": "RH"}, {"Alias": "b", "MeasIndex": 1, "ShortName": "PM2.5"},
+        {"Alias": "c", "MeasIndex": 1, "ShortName": "PM2.5"}, {"Alias": "a", "MeasIndex": 2, "ShortName": "WS"}],
+      "arrData": [{"Date_Time": "01/01/2567 00:00", "c": "7", "b": "8", "a": "9"},
+                  {"Date_Time": "01/01/2567 01:00", "b": "5"}, {"Date_Time": "01/01/2567 02:00", "a": "-", "b": "-"}]}"""
+    payloads = spark.createDataFrame([(1, body), (2, "broken")], "payload_id int, body string")
+    dim = spark.createDataFrame([(1, "n", "N")], "station_id int, station_name string, station_name_en string")
+    rows = snapshots.decode_snapshots(payloads, dim).orderBy("ts", "station_id").collect()
+    assert [(r["station_id"], r["pm25"], r["rh"], r["ws"]) for r in rows] == [
+        (1, 8.0, None, None), (2, None, None, 9.0), (1, 5.0, None, None),
+    ]
+    assert rows[1]["station_name"] is None
+
+
 def test_fold_sizes(spark):
     df = daily(spark, [1.0] * 103)
     folds = model.fold_sizes(model.time_folds(df, 3, "date"), 3, "date").collect()
