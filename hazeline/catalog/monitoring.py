@@ -95,7 +95,8 @@ TWO_SIDES = """samples AS (
 
 @query("m5_psi", f"WITH {sql.PAIRS}, {TWO_SIDES}, {sql.psi()} SELECT station, psi FROM psi_result")
 def psi(spark, sf_dir):
-    return drift.psi(drift.wide_samples(log_pairs(spark, sf_dir), "predicted", "actual"))
+    pairs = stage_table(log_pairs(spark, sf_dir), "pairs")
+    return drift.psi(drift.wide_samples(pairs, "predicted", "actual"))
 
 
 HALVES = sql.RAW + """,

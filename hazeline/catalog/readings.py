@@ -428,6 +428,18 @@ def size_gate(spark, sf_dir):
     return validate.size_gate(rows, {"train": 200, "test": 150})
 
 
+@query(
+    "f8_keep_sized",
+    f"""WITH {sql.HOURLY} SELECT station, CAST(ts AS VARCHAR) AS ts, pm25 FROM readings
+    QUALIFY count(*) FILTER (ts >= TIMESTAMP '2024-01-24') OVER (PARTITION BY station) >= 158""",
+)
+def keep_sized(spark, sf_dir):
+    rows = tables.hourly_readings(spark, sf_dir)
+    late = F.when(F.col("ts") >= F.lit("2024-01-24").cast("timestamp_ntz"), "test")
+    gate = validate.size_gate(rows.withColumn("split", late), {"test": 158})
+    return validate.keep_sized(rows, gate)
+
+
 # upserts: the target holds the events before the 20th, the batch those from the 10th on
 
 

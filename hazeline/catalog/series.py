@@ -11,6 +11,7 @@ from hazeline.operators import aggregate, features, gaps, pairs, ranges
 from hazeline.operators.upsert import dedupe_first
 from hazeline.operators.validate import drop_incomplete
 from hazeline.plans.series import over_chunks, positioned
+from hazeline.session import stage_table
 
 DAY = "CAST(date AS VARCHAR) AS date"
 AT = "CAST(ts AS VARCHAR) AS ts"
@@ -274,16 +275,16 @@ def guide_features(spark, sf_dir):
 
 @query(
     "w12_feature_columns",
-    "SELECT * FROM (VALUES "
-    + ", ".join(f"({i}, '{n}')" for i, n in enumerate(features.HOURLY_FEATURES))
-    + ") v(position, feature)",
+    f"""WITH {sql.HOURLY_WIDE} SELECT feature, CAST(position AS INTEGER) AS position, (SELECT count(*) FROM features) AS present
+    FROM (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(features.HOURLY_FEATURES))}) v(position, feature)""",
 )
 def feature_columns(spark, sf_dir):
     wide = features.build_hourly_features(hourly(spark, sf_dir))
     names = features.feature_columns(wide)
-    listed = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("feature")) for i, n in enumerate(names)])
-    # the names come from the plan's schema; one aggregated row carries them
-    return wide.agg(F.count("*").alias("n")).select(F.explode(listed).alias("f")).select("f.*")
+    counts = wide.agg(*[F.count(n).alias(n) for n in names])
+    listed = counts.unpivot([], names, "feature", "present")
+    position = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("feature"))
+    return listed.withColumn("position", (position - 1).cast("int"))
 
 
 @query(
@@ -403,7 +404,8 @@ def bias_of_raw_pairs(spark, sf_dir):
     SELECT m.*, round(p95, 6) AS p95_error FROM metrics m JOIN tail t USING (station, regime)""",
 )
 def metrics_by_regime(spark, sf_dir):
-    return aggregate.metrics_by_regime(log_pairs(spark, sf_dir), places=6)
+    pairs_once = stage_table(log_pairs(spark, sf_dir), "pairs")
+    return aggregate.metrics_by_regime(pairs_once, places=6)
 
 
 @query(
@@ -444,7 +446,7 @@ def histogram(spark, sf_dir):
     count(*) FILTER (NOT inside) AS outliers FROM fenced GROUP BY station, month, q1, median, q3""",
 )
 def box_by_month(spark, sf_dir):
-    return aggregate.box_by_month(tables.daily_readings(spark, sf_dir))
+    return aggregate.box_by_month(stage_table(tables.daily_readings(spark, sf_dir), "daily"))
 
 
 @query(

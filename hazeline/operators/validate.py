@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazeline.session import stage_table
+
 # Accepted range per measure.
 RANGE_RULES: Mapping[str, tuple[int, int]] = {
     "pm25": (0, 500),
@@ -114,4 +116,5 @@ def size_gate(
 
 def keep_sized(df: DataFrame, gate: DataFrame, keys: Sequence[str] = ("station",)) -> DataFrame:
     """Rows of the stations that passed a `size_gate`."""
-    return df.join(gate.filter(F.col("status") == "ok").select(*keys), list(keys), "left_semi")
+    passed = stage_table(gate.filter(F.col("status") == "ok").select(*keys), "passed")
+    return df.join(passed, list(keys), "left_semi")

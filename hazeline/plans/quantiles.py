@@ -24,7 +24,8 @@ def exact_percentiles(
 ) -> DataFrame:
     """One row per key: `q`, the percentiles in the order of `probs`, and `n`, the value count.
 
-    The first pass (the sketch) runs when this is called.
+    The first pass (the sketch) runs when this is called. `df` is read twice, so give a stored table
+    where its plan is expensive.
     """
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     margin = 3.0 / SKETCH_ACCURACY  # sketch error is at most 1 / SKETCH_ACCURACY

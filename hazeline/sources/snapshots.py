@@ -40,19 +40,20 @@ def resolve_stations(dim: DataFrame, requested: Sequence[int]) -> DataFrame:
 
 
 def _merged_rows() -> Column:
-    """The data rows of a payload with a time; rows of the same time become one, later cells win."""
-    timed = F.filter("arrData", lambda r: F.coalesce(r[TIME_KEY], F.lit("")) != "")
-    time_of = lambda r: F.trim(r[TIME_KEY])
-    times = F.transform(timed, time_of)
+    """The data rows `_timed`, where rows of one time (`_times`) become one; later cells win."""
     fold = lambda acc, r: F.map_concat(
         F.map_filter(acc, lambda k, _: ~F.map_contains_key(r, k)), r
     )
     empty = F.create_map().cast("map<string,string>")
     merged = F.transform(
-        F.array_distinct(times),
-        lambda t: F.aggregate(F.filter(timed, lambda r: time_of(r) == t), empty, fold),
+        F.array_distinct("_times"),
+        lambda t: F.aggregate(F.filter("_timed", lambda r: F.trim(r[TIME_KEY]) == t), empty, fold),
     )
-    return F.when(F.size(F.array_distinct(times)) == F.size(times), timed).otherwise(merged)
+    return F.when(_all_distinct("_times"), F.col("_timed")).otherwise(merged)
+
+
+def _all_distinct(array: str) -> Column:
+    return F.size(F.array_distinct(array)) == F.size(array)
 
 
 def decode_snapshots(
@@ -73,42 +74,36 @@ def decode_snapshots(
         "p.arrParameter",
         lambda a: a["Alias"].isNotNull() & a["MeasIndex"].isNotNull() & a["ShortName"].isin(*fields),
     )
+    timed = F.filter("p.arrData", lambda r: F.coalesce(r[TIME_KEY], F.lit("")) != "")
     slot = lambda station, name: F.concat_ws("|", station.cast("string"), name)
+    slot_of = lambda a: slot(a["MeasIndex"], a["ShortName"])
     parsed = (
         payloads.select(payload_id, F.from_json("body", PAYLOAD_SCHEMA).alias("p"))
-        # newest first, so the first entry of a repeated alias is the one that counts
-        .select(payload_id, "p.arrData", F.reverse(usable).alias("_listed"))
-        .select("*", F.transform("_listed", lambda a: a["Alias"]).alias("_names"))
+        .select(payload_id, usable.alias("_known"), timed.alias("_timed"))
         .select(
-            payload_id,
-            "arrData",
-            F.filter(
-                "_listed", lambda a, i: F.array_position("_names", a["Alias"]) == i + 1
-            ).alias("_known"),
+            "*",
+            F.transform("_known", lambda a: a["Alias"]).alias("_names"),
+            F.transform("_known", slot_of).alias("_slots"),
+            F.transform("_timed", lambda r: F.trim(r[TIME_KEY])).alias("_times"),
         )
-        .select("*", F.transform("_known", lambda a: slot(a["MeasIndex"], a["ShortName"])).alias("_slots"))
     )
-    # normally every (station, parameter) has one alias, and a map finds it
-    unique = F.size(F.array_distinct("_slots")) == F.size("_slots")
-    aliases = F.map_from_arrays("_slots", F.transform("_known", lambda a: a["Alias"]))
+    # normally every alias and every (station, parameter) is listed once, and a map finds the cell
+    plain = _all_distinct("_names") & _all_distinct("_slots")
     prepared = parsed.select(
         payload_id,
         "_known",
-        F.when(unique, aliases).alias("_alias_of"),
+        F.when(plain, F.map_from_arrays("_slots", "_names")).alias("_alias_of"),
         F.array_distinct(F.transform("_known", lambda a: a["MeasIndex"])).alias("_stations"),
         _merged_rows().alias("_rows"),
     )
 
     def measure(row: Column, station: Column, name: str) -> Column:
         wanted = slot(station, F.lit(name))
-        # several aliases for one measure: the last cell of the row counts
-        cells = F.filter(
-            F.map_entries(row),
-            lambda c: F.exists(
-                "_known",
-                lambda a: (a["Alias"] == c["key"]) & (slot(a["MeasIndex"], a["ShortName"]) == wanted),
-            ),
+        # otherwise the last entry of an alias and the last cell of a measure count
+        entry = lambda c: F.get(
+            F.reverse(F.filter("_known", lambda a: a["Alias"] == c["key"])), F.lit(0)
         )
+        cells = F.filter(F.map_entries(row), lambda c: slot_of(entry(c)) == wanted)
         last = F.get(F.reverse(cells), F.lit(0))["value"]
         return F.when(F.col("_alias_of").isNotNull(), row[F.col("_alias_of")[wanted]]).otherwise(last)
 
