@@ -11,6 +11,7 @@ from hazeline.catalog.series import DAY, hourly
 from hazeline.operators import features, fit, model, ranges
 from hazeline.operators.aggregate import daily_local_mean, regression_metrics
 from hazeline.operators.onnx_scoring import score_onnx
+from hazeline.operators.training import train_linear_models
 from hazeline.session import stage_table, work_dir
 from hazeline.sources.tables import append_log
 
@@ -260,6 +261,15 @@ def score_batch(spark, sf_dir):
     return scored_test(spark, sf_dir)
 
 
+@query("l11_train_and_promote")
+def train_and_promote(spark, sf_dir):
+    """Linear and ridge trained on the hourly features against the same_hour forecaster."""
+    split = stage_table(split_features(spark, sf_dir), "split-features")
+    test = split.filter(F.col("split") == "test")
+    production = regression_metrics(test, actual=features.HOURLY_TARGET, predicted="pm25_lag_24")
+    return train_linear_models(split, production)[0]
+
+
 # an outside model file that returns the value 24 hours ago, as float32
 SAME_HOUR_MODEL = str(Path(__file__).parents[2] / "tests" / "fixtures" / "same_hour.onnx")
 

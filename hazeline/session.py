@@ -18,6 +18,11 @@ def build_session(master: str | None = None, app: str = "hazeline", **conf: str)
         # grids and windows grow after a shuffle, so small shuffles stay spread over the cores
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # stream state (open windows, recent keys) lives on disk, not on the executor heap
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if master:
         builder = builder.master(master)

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hazeline.operators import aggregate, drift, features, fit, gaps, model
+from hazeline.operators.training import train_linear_models
 from hazeline.plans import quantiles
 from hazeline.plans.series import over_chunks, positioned
 
@@ -203,3 +204,27 @@ def test_tree_grid_search(training):
     ranked = results.orderBy("rank").collect()
     assert [r["rank"] for r in ranked] == [1, 2] and "'maxDepth': 4" in ranked[0]["params"]
     assert fit.predict_trees(best, blocked, FEATURES, "y").count() == blocked.count()
+
+
+def test_training_run(spark, training):
+    """The better of linear and ridge per station, and no small stations."""
+    df, frames = training
+    few = df.filter("station = 'b'").withColumn("station", F.lit("few")).limit(30)
+    split = F.when(F.col("date") < F.lit("2020-04-10"), "train").otherwise("test")
+    rows = df.unionByName(few).withColumns({"split": split, "ts": F.col("date").cast("timestamp_ntz")})
+    production = spark.createDataFrame([("a", 0.0, 0.0)], "station string, rmse double, mae double")
+    result, weights = train_linear_models(
+        rows, production, FEATURES, "y", [0.1, 1000.0], {"train": 90, "test": 10}
+    )
+    found = {r["station"]: r for r in result.collect()}
+    assert set(found) == {"a", "b"} == {r["station"] for r in weights.collect()}
+    assert found["a"]["status"] == "NOT_DEPLOYED" and found["b"]["status"] == "DEPLOYED"
+    for station, frame in frames.items():
+        train = frame[frame.date < dt.date(2020, 4, 10)]
+        test = frame[frame.date >= dt.date(2020, 4, 10)]
+        errors = {}
+        for name, alpha in (("linear", 0.0), ("ridge", 0.1)):
+            w = closed_form(train[FEATURES].to_numpy(), train["y"].to_numpy(), alpha)
+            residual = test["y"] - w[0] - test[FEATURES].to_numpy() @ w[1:]
+            errors[name] = float(np.sqrt(np.mean(residual**2)))
+        assert found[station]["rmse"] == pytest.approx(min(errors.values()), abs=1e-4)
