@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hazeline import tables
 from hazeline.catalog import sql
 from hazeline.catalog.registry import query
-from hazeline.catalog.series import DAY, hourly
+from hazeline.catalog.series import DAY, daily_windows, hourly
 from hazeline.operators import features, fit, model, ranges
 from hazeline.operators.aggregate import daily_local_mean, regression_metrics
 from hazeline.operators.onnx_scoring import score_onnx
@@ -114,6 +114,16 @@ def test_metrics(scored, name):
     return regression_metrics(scored.withColumnRenamed("pm25", "actual")).withColumn("model", F.lit(name))
 
 
+ONE_LAG = f"""{sql.DAILY},
+lagged AS (SELECT station, date, pm25 AS y, lag(pm25, 1) OVER (PARTITION BY station ORDER BY date) AS x FROM daily QUALIFY x IS NOT NULL)"""
+WIDE_ALPHAS = (1e3, 1e5, 1e6, 1e7)  # one lag has large sums, so only large alphas matter
+
+
+def one_lag(spark, sf_dir):
+    lagged = daily_windows(spark, sf_dir, lambda w: features.lag_columns(w, [1]), 1).dropna()
+    return stage_table(lagged, "one-lag")
+
+
 @query("l4_fit_linear")
 def fit_linear(spark, sf_dir):
     train, test = train_and_test(daily_features(spark, sf_dir))
@@ -123,18 +133,51 @@ def fit_linear(spark, sf_dir):
 
 @query(
     "l4_fit_linear_one_lag",
-    f"""WITH {sql.DAILY}, l AS (SELECT station, date, pm25, lag(pm25, 1) OVER (PARTITION BY station ORDER BY date) AS x FROM daily)
-    SELECT station, round(regr_intercept(pm25, x), 6) AS intercept, round(regr_slope(pm25, x), 6) AS slope
-    FROM l WHERE x IS NOT NULL GROUP BY station""",
+    f"""WITH {ONE_LAG} SELECT station, round(regr_intercept(y, x), 6) AS intercept, round(regr_slope(y, x), 6) AS slope
+    FROM lagged GROUP BY station""",
 )
 def fit_linear_one_lag(spark, sf_dir):
-    from hazeline.catalog.series import daily_windows
+    weights = fit.fit_linear(one_lag(spark, sf_dir), ["pm25_lag_1"], "pm25")
+    return weights.select("station", F.col("weights")[0].alias("intercept"), F.col("weights")[1].alias("slope"))
 
-    lagged = daily_windows(spark, sf_dir, lambda w: features.lag_columns(w, [1]), 1).dropna()
-    weights = fit.fit_linear(lagged, ["pm25_lag_1"], "pm25")
+
+@query(
+    "l5_fit_ridge_one_lag",
+    f"""WITH {ONE_LAG}, sums AS (
+      SELECT station, avg(x) AS mx, avg(y) AS my, covar_pop(y, x) * count(*) / (var_pop(x) * count(*) + 1e6) AS slope
+      FROM lagged GROUP BY station)
+    SELECT station, round(my - slope * mx, 6) AS intercept, round(slope, 6) AS slope FROM sums""",
+)
+def fit_ridge_one_lag(spark, sf_dir):
+    rows = one_lag(spark, sf_dir).withColumn("block", F.lit(0))
+    weights = fit.fit_ridge(fit.product_sums(rows, ["pm25_lag_1"], "pm25"), 1, [1e6])
     return weights.select("station", F.col("weights")[0].alias("intercept"), F.col("weights")[1].alias("slope"))
 
 
+@query(
+    "l8_grid_search_one_lag",
+    f"""WITH {ONE_LAG}, numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY station ORDER BY date) - 1 AS i, count(*) OVER (PARTITION BY station) AS n FROM lagged),
+    blocks AS (
+      SELECT station, x, y, CASE WHEN i < n - 3 * (n // 4) THEN 0 ELSE 1 + (i - (n - 3 * (n // 4))) // (n // 4) END AS block FROM numbered),
+    sums AS (
+      SELECT station, fold, avg(x) AS mx, avg(y) AS my, covar_pop(y, x) * count(*) AS sxy, var_pop(x) * count(*) AS sxx
+      FROM blocks JOIN (VALUES (1), (2), (3)) f(fold) ON block < fold GROUP BY station, fold),
+    fits AS (
+      SELECT station, fold, CAST(alpha AS DOUBLE) AS alpha, sxy / (sxx + alpha) AS slope, my - sxy / (sxx + alpha) * mx AS intercept
+      FROM sums JOIN (VALUES {", ".join(f"({a})" for a in WIDE_ALPHAS)}) a(alpha) ON true),
+    errors AS (
+      SELECT b.station, alpha, fold, avg(abs(y - intercept - slope * x)) AS mae
+      FROM blocks b JOIN fits f ON f.station = b.station AND fold = block GROUP BY ALL),
+    means AS (SELECT station, alpha, avg(mae) AS mean_mae FROM errors GROUP BY ALL)
+    SELECT station, alpha, round(mean_mae, 6) AS mean_mae,
+    CAST(row_number() OVER (PARTITION BY station ORDER BY mean_mae, alpha) AS INTEGER) AS rank FROM means""",
+)
+def grid_search_one_lag(spark, sf_dir):
+    blocked = stage_table(model.time_folds(one_lag(spark, sf_dir), 3, "date", every="YEAR"), "folds")
+    return fit.ridge_grid_search(blocked, ["pm25_lag_1"], "pm25", WIDE_ALPHAS).drop("weights")
+
+
 @query("l5_fit_ridge")
 def fit_ridge(spark, sf_dir):
     train, test = train_and_test(daily_features(spark, sf_dir))

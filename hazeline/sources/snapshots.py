@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hazeline.functions.parsing import LOCAL_TZ, coerce_float, parse_buddhist_ts
 from hazeline.sources.sheets import PARAMETER_FIELDS
 
+# Fixed format of the provider's payloads.
 PAYLOAD_SCHEMA = (
     "arrParameter array<struct<Alias:string,MeasIndex:int,ShortName:string>>,"
     "arrData array<map<string,string>>"
