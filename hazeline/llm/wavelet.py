@@ -38,7 +38,7 @@ SHARD_TOKENS = 1 << 18
 BLOCK = 512
 END_ID = 1
 BATCH_DOCS = 256
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_600_000
 WHITE_RUN = re.compile("[ \t\n\x0b\x0c\r]+")
 # `str.split` also splits at these, the tokenizer does not
 SEPARATORS = re.compile("[\x1c-\x1f]")
