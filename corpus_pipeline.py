@@ -5,10 +5,12 @@ Each stage gets all rows that its predecessor kept, written as Parquet and read
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hazeline.llm import exact, mixing, quality_rules, simhash
+from hazeline.llm import exact, mixing, pieces, quality_rules, simhash
 from hazeline.llm.common import table
+from hazeline.llm.queries import PIECE_MODEL
 from hazeline.session import stage_table
 
 
@@ -28,11 +30,16 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pieces.encoded(docs, public_tokenizers.path(PIECE_MODEL))
+
+
 STAGES = [
     ("quality rules", quality),
     ("exact dedup", exact_dedup),
     ("SimHash near-dedup", near_dedup),
     ("source mix", source_mix),
+    ("SentencePiece encoding", piece_ids),
 ]
 
 # near duplicates rest on XXH64, which the twin's SQL does not have

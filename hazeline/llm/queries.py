@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import exact, licenses, mixing, quality_rules, simhash, wavelet
+from hazeline.llm import (
+    exact, language, language_model, licenses, mixing, pieces, quality_rules, rule_ensemble, simhash, wavelet,
+)
 from hazeline.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -18,14 +20,26 @@ def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.encoded_documents(docs, public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op2_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents")).drop("kept_share")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -37,6 +51,10 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -44,10 +62,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
+    "op2_recurrent_lm": op2_recurrent_lm,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_license_scan": op7_license_scan,
     "op8_source_mix": op8_source_mix,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash": op10_simhash,
 }
 
