@@ -220,6 +220,9 @@ class Trainer:
     def learn(self, symbols: np.ndarray, lengths: np.ndarray) -> None:
         if not len(lengths):
             return
+        # learning, unlike scoring, restarts inside texts longer than a lane, so that no lane stands idle
+        most = max(8 * STEPS, int(lengths.sum()) // LANES)
+        lengths = np.concatenate([np.diff(np.append(np.arange(0, n, most), n)) for n in lengths.tolist()])
         inputs, targets, text = packed(symbols, lengths, self.net.end, LANES)
         state = np.zeros((inputs.shape[1], HIDDEN), np.float32)
         for x, y, of, fresh, lanes in windows(inputs, targets, text, STEPS):
