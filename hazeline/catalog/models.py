@@ -1,6 +1,5 @@
 """Splits, training, selection and forecast queries over the test tables."""
 
-from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -10,7 +9,6 @@ from hazeline.catalog.registry import query
 from hazeline.catalog.series import DAY, daily_windows, hourly
 from hazeline.operators import features, fit, model, ranges
 from hazeline.operators.aggregate import daily_local_mean, regression_metrics
-from hazeline.operators.onnx_scoring import score_onnx
 from hazeline.operators.training import train_linear_models
 from hazeline.session import stage_table, work_dir
 from hazeline.sources.tables import append_log
@@ -313,22 +311,6 @@ def train_and_promote(spark, sf_dir):
     return train_linear_models(split, production)[0]
 
 
-# an outside model file that returns the value 24 hours ago, as float32
-SAME_HOUR_MODEL = str(Path(__file__).parents[2] / "tests" / "fixtures" / "same_hour.onnx")
-
-
-@query(
-    "l14_score_onnx",
-    f"""WITH {sql.HOURLY_WIDE} SELECT station, CAST(ts AS VARCHAR) AS ts,
-    round(CAST(CAST(pm25_lag_24 AS FLOAT) AS DOUBLE), 4) AS predicted FROM features""",
-)
-def score_onnx_file(spark, sf_dir):
-    names = features.HOURLY_FEATURES
-    wide = hourly_features(spark, sf_dir).select("station", "ts", *names)
-    scored = score_onnx(wide, SAME_HOUR_MODEL, names)
-    return scored.select("station", "ts", F.round("predicted", 4).alias("predicted"))
-
-
 @query(
     "o2_leaderboard",
     f"""WITH {CANDIDATES}, overall AS (SELECT model, round(avg(mae), 6) AS mae, round(avg(rmse), 6) AS rmse FROM metrics GROUP BY model)

@@ -232,13 +232,13 @@ def model_registry(stations):
     )
 
 
-def monitored_forecasts(spark, sf_dir):
+def monitored_forecasts(spark, sf_dir, since="2024-01-12", as_of=AS_OF):
     stations = tables.event_stations(spark, sf_dir)
     return drift.forecast_monitor(
-        tables.hourly_readings(spark, sf_dir),
+        tables.hourly_readings(spark, sf_dir, since=since, until=as_of),
         model_registry(stations),
         stations,
-        AS_OF,
+        as_of,
         lambda df: df.withColumn("predicted", F.col("pm25_lag_24")),
     )
 
@@ -248,6 +248,17 @@ def forecast_monitor(spark, sf_dir):
     return monitored_forecasts(spark, sf_dir)
 
 
+BACKFILL = FORECAST_MONITOR.replace(
+    "ts >= TIMESTAMP '2024-01-12'", "ts >= TIMESTAMP '2024-01-09' AND ts < TIMESTAMP '2024-01-28'"
+)
+
+
+@query("m9_backfilled_monitor", f"WITH {BACKFILL} SELECT * FROM monitored")
+def backfilled_monitor(spark, sf_dir):
+    """The monitor as of a day inside the data sees nothing later."""
+    return monitored_forecasts(spark, sf_dir, "2024-01-09", "2024-01-28")
+
+
 @query(
     "m10_retrain_candidates",
     f"""WITH {DAILY_MONITOR} SELECT station, array_to_string(list_filter([

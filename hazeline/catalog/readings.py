@@ -370,13 +370,21 @@ def validation_summary(spark, sf_dir):
 
 @query(
     "f3_check_constraints",
-    """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice / 900 END AS pm25
-    FROM orders WHERE o_orderstatus = 'P' OR o_totalprice / 900 BETWEEN 0 AND 500""",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice / 900 END AS pm25,
+    o_totalprice - 20000 AS pm10, (o_orderkey % 150)::DOUBLE AS rh, o_totalprice - 9000 AS ws,
+    o_orderkey % 5 AS history_days, o_orderkey % 7 - 1 AS filled_history_days
+    FROM orders WHERE (o_orderstatus = 'P' OR o_totalprice / 900 BETWEEN 0 AND 500) AND o_totalprice >= 20000
+    AND o_orderkey % 150 <= 100 AND o_orderkey % 5 > 0 AND o_orderkey % 7 >= 1""",
 )
 def check_constraints(spark, sf_dir):
-    orders = tables.table(spark, sf_dir, "orders")
-    pm25 = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice") / 900)
-    return validate.check_constraints(orders.select("o_orderkey", pm25.alias("pm25")), validate.READING_CHECKS[:1])
+    """All checks of both tables; each one rejects some rows."""
+    orders, price, key = tables.table(spark, sf_dir, "orders"), F.col("o_totalprice"), F.col("o_orderkey")
+    rows = orders.select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "P", price / 900).alias("pm25"), (price - 20000).alias("pm10"),
+        (key % 150).cast("double").alias("rh"), (price - 9000).alias("ws"), (key % 5).alias("history_days"),
+        (key % 7 - 1).alias("filled_history_days"),
+    )
+    return validate.check_constraints(rows, validate.READING_CHECKS + validate.PREDICTION_CHECKS)
 
 
 @query("f4_remove_outliers", "SELECT event_id, value AS pm25 FROM events WHERE value BETWEEN 0 AND 200")
@@ -568,19 +576,26 @@ def replace_counts(spark, sf_dir):
     return upsert.replace_range_counts(target, batch, *replaced_range(), ["event_id"])
 
 
+PART_OF_DAY = "station = 'click' AND ts >= TIMESTAMP '2024-01-12 06:00:00' AND ts < TIMESTAMP '2024-01-13 02:00:00'"
+
+
 @query(
-    "k6_replace_days_table",
-    f"""WITH {SLOTS}, merged AS (
-      SELECT * FROM target WHERE ts < TIMESTAMP '2024-01-10' UNION ALL
-      SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY station, ts ORDER BY event_id) = 1)
+    "k6_replace_range_table",
+    f"""WITH {SLOTS}, part AS (SELECT * FROM batch WHERE {PART_OF_DAY} AND hour(ts) % 2 = 0),
+    kept AS (SELECT * FROM target WHERE NOT ({PART_OF_DAY})),
+    merged AS (SELECT * FROM kept UNION ALL SELECT * FROM part
+      QUALIFY row_number() OVER (PARTITION BY station, ts ORDER BY event_id) = 1)
     SELECT {ROW} FROM merged""",
 )
-def replace_days_table(spark, sf_dir):
+def replace_range_table(spark, sf_dir):
+    """A backfill of one station and parts of two days, run twice, leaves everything else."""
     target, batch = target_and_batch(spark, sf_dir)
+    part = batch.filter(PART_OF_DAY).filter(F.hour("ts") % 2 == 0)
     path = work_dir(spark, "readings")
     stored.write_by_day(target, path)
-    for run in ("first", "second"):  # a repeated run must leave the same table
-        stored.replace_days_table(spark, path, batch, ["event_id"], work_dir(spark, run))
+    bounds = [F.lit(t).cast("timestamp_ntz") for t in ("2024-01-12 06:00:00", "2024-01-13 02:00:00")]
+    for run in ("first", "second"):
+        stored.replace_range_table(spark, path, part, *bounds, ["event_id"], work_dir(spark, run), ["click"])
     return spark.read.parquet(path).drop("day")
 
 
@@ -671,6 +686,18 @@ def pair_raw(spark, sf_dir):
     return pairs.pair_raw(*logs)
 
 
+@query(
+    "j2_raw_pairs_mae",
+    f"""WITH {sql.LOGS} SELECT p.station, count(*) AS pairs, round(avg(abs(actual - predicted)), 6) AS mae
+    FROM predictions p JOIN actuals a ON p.station = a.station AND p.date = a.date GROUP BY p.station""",
+)
+def raw_pairs_mae(spark, sf_dir):
+    logs = tables.prediction_log(spark, sf_dir), tables.actual_log(spark, sf_dir)
+    return pairs.raw_pairs(*logs).groupBy("station").agg(
+        F.count("*").alias("pairs"), F.avg("absolute_error").alias("mae")
+    )
+
+
 @query(
     "j3_match_actuals",
     f"""WITH {sql.LOGS} SELECT a.entry, round(predicted, 6) AS matched_prediction,

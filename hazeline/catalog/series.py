@@ -341,7 +341,8 @@ def daily_mean(spark, sf_dir):
     FROM local WHERE date BETWEEN DATE '2024-01-03' AND DATE '2024-01-25' GROUP BY ALL""",
 )
 def daily_local_mean(spark, sf_dir):
-    return aggregate.daily_local_mean(tables.hourly_readings(spark, sf_dir), "2024-01-03", "2024-01-25")
+    readings = tables.hourly_readings(spark, sf_dir, since="2024-01-02 17:00:00", until="2024-01-25 17:00:00")
+    return aggregate.daily_local_mean(readings, "2024-01-03", "2024-01-25")
 
 
 @query("a3_row_count", 'SELECT count(*) AS "rows" FROM events WHERE event_type = \'click\'')

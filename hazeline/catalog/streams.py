@@ -55,6 +55,29 @@ def decode_stream(spark, sf_dir):
     )
 
 
+@query(
+    "t1_decode_rejects",
+    f"""WITH {SNAPSHOT}, good AS (
+      SELECT * FROM decoded WHERE pm25 <= 500 AND payload_id % 7 <> 0
+      QUALIFY row_number() OVER (PARTITION BY station_id, ts ORDER BY payload_id) = 1)
+    SELECT 'stored' AS kind, payload_id FROM good UNION ALL
+    SELECT 'rejected', payload_id FROM decoded WHERE pm25 > 500 OR payload_id % 7 = 0""",
+)
+def decode_rejects(spark, sf_dir):
+    """Payloads with an unreadable time are rejects; a full replay stores nothing twice."""
+    source, path, bad = (work_dir(spark, n) for n in ("payloads", "decoded", "rejects"))
+    rows = tables.snapshot_payloads(spark, sf_dir)
+    broken = F.regexp_replace("body", '"Date_Time":"[^"]*"', '"Date_Time":"soon"')
+    rows.withColumn("body", F.when(F.col("payload_id") % 7 == 0, broken).otherwise(F.col("body"))).write.parquet(source)
+    dim = tables.station_names(spark, sf_dir).withColumn("station_id", F.col("station_id").cast("int"))
+    for run in ("first", "replay"):
+        payloads = ingest.read_stream(spark, source, "payload_id bigint, body string")
+        ingest.decode_stream(payloads, dim, path, work_dir(spark, run), bad)
+    kinds = [("stored", spark.read.parquet(path)), ("rejected", spark.read.parquet(bad))]
+    parts = [df.select(F.lit(kind).alias("kind"), "payload_id") for kind, df in kinds]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "t2_with_grace",
     f"""WITH {sql.RAW} SELECT station, CAST(date_trunc('day', ts) AS VARCHAR) AS "start", count(*) AS readings FROM raw

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.functions.parsing import LOCAL_TZ, local_date
+from hazeline.functions.parsing import LOCAL_TZ, day_bounds, local_date
 from hazeline.functions.scalar import aq_band, regime, round_half_up
 from hazeline.operators.features import CORRELATION_LAGS, lag_columns
 from hazeline.plans.quantiles import exact_percentiles
@@ -31,9 +31,12 @@ def daily_local_mean(
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
     """Mean per local date, rounded to 2 as a decimal, with the count of non-null readings."""
-    rows = readings.filter(F.col("pm25").isNotNull()).withColumn("date", local_date(F.col("ts"), tz))
+    rows = readings.filter(F.col("pm25").isNotNull())
     if first is not None:
-        rows = rows.filter(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+        # bounds on the raw time, so that they reach the scan
+        start, end = day_bounds(F.lit(first).cast("date"), F.lit(last).cast("date"), tz)
+        rows = rows.filter((F.col("ts") >= start) & (F.col("ts") < end))
+    rows = rows.withColumn("date", local_date(F.col("ts"), tz))
     return rows.groupBy(*keys, "date").agg(
         round_half_up(F.avg("pm25"), 2).alias("pm25"), F.count("pm25").alias("hourly_points")
     )

@@ -244,11 +244,13 @@ def forecast_monitor(
     """Health of the 24-hour models, all stations in one plan.
 
     `registry` has (station, model_key, train_end, has_file, n_features); `score` adds `predicted`
-    to a feature table. Only the lookback days before `as_of` are read.
+    to a feature table. Only the lookback days before `as_of` are read, and nothing after it: pass raw
+    readings (or a view that takes the bounds), so that both bounds reach the scan.
     """
     day = F.lit(as_of).cast("timestamp_ntz").cast("date")
     since = F.date_sub(day, int(config["lookback_days"])).cast("timestamp_ntz")
-    recent = readings.filter((F.col("ts") >= since) & F.col("pm25").isNotNull())
+    until = F.lit(as_of).cast("timestamp_ntz")
+    recent = readings.filter((F.col("ts") >= since) & (F.col("ts") < until) & F.col("pm25").isNotNull())
     hour = hour_index(F.col("ts"))
     hours = recent.groupBy("station").agg((F.max(hour) - F.min(hour) + 1).alias("_hours"))
     # the last feature row is one horizon before the station's last reading

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazeline.functions.parsing import LOCAL_TZ
+from hazeline.functions.parsing import LOCAL_TZ, day_bounds
 from hazeline.functions.scalar import valid_history
 from hazeline.operators.aggregate import daily_local_mean, regression_metrics
 from hazeline.operators.features import (
@@ -212,7 +212,8 @@ def prediction_jobs(
     else:
         first = F.date_sub(day(today), HISTORY_DAYS + FILL_LOOKBACK_DAYS + SCHEDULE_BUFFER_DAYS)
         last = day(today)
-    means = daily_local_mean(readings, tz=tz).filter(F.col("date").between(first, last))
+    start_ts, end_ts = day_bounds(first, last, tz)
+    means = daily_local_mean(readings.filter((F.col("ts") >= start_ts) & (F.col("ts") < end_ts)), tz=tz)
     # at most one row per station and day of the requested range, so a plain window is bounded
     series = Window.partitionBy("station")
     by_date = series.orderBy("date")

@@ -43,6 +43,15 @@ def pair_raw(
     )
 
 
+def raw_pairs(predictions: DataFrame, actuals: DataFrame, keys: Sequence[str] = PAIR_KEYS) -> DataFrame:
+    """(keys, predicted, actual, absolute_error): the join without deduplication, one row per pair.
+
+    The fan-out of a key is its re-runs times its recorded values.
+    """
+    joined = predictions.select(*keys, "predicted").join(actuals.select(*keys, "actual"), list(keys))
+    return joined.withColumn("absolute_error", F.abs(F.col("actual") - F.col("predicted")))
+
+
 def match_actuals(
     actuals: DataFrame,
     predictions: DataFrame,

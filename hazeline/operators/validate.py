@@ -23,9 +23,13 @@ READING_CHECKS = ("pm25 BETWEEN 0 AND 500", "pm10 >= 0", "rh BETWEEN 0 AND 100",
 PREDICTION_CHECKS = ("history_days > 0", "filled_history_days >= 0")
 
 
-def validate(df: DataFrame, rules: Mapping[str, tuple[float, float]] = RANGE_RULES) -> DataFrame:
+def validate(
+    df: DataFrame, rules: Mapping[str, tuple[float, float]] = RANGE_RULES, keys: Sequence[str] = ()
+) -> DataFrame:
     """Add `errors` (one text per broken rule), `is_valid` and `<field>_is_null` flags.
 
+    A null in one of `keys` is an error, such as a time that could not be parsed.
+
     Null passes. Rules for absent columns are skipped. The caller splits on `is_valid`, so the
     rows are scanned once for both outputs.
     """
@@ -37,6 +41,7 @@ def validate(df: DataFrame, rules: Mapping[str, tuple[float, float]] = RANGE_RUL
         )
         for field, (low, high) in present.items()
     ]
+    errors += [F.when(F.col(key).isNull(), F.lit(f"{key} is missing")) for key in keys]
     flags = {f"{field}_is_null": F.col(field).isNull() for field in present}
     checked = df.withColumns({"errors": F.array_compact(F.array(*errors)), **flags})
     return checked.withColumn("is_valid", F.size("errors") == 0)

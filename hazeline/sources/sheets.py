@@ -48,13 +48,14 @@ def read_with_header_marker(
     """Rows below the first of the top rows that holds `marker`, named by that header row.
 
     `raw` has `row_no` and string cells c0, c1, ...; `columns` maps header text to output names.
-    The header is one row, found by a scalar subquery, so nothing is collected.
+    The header is one row, found by a scalar subquery, so nothing is collected. Without a header
+    row the job fails.
     """
     cells = F.array(*[F.col(c) for c in raw.columns if c != "row_no"])
     top = raw.filter((F.col("row_no") < search_rows) & F.array_contains(cells, marker))
-    header = top.agg(
-        F.min_by(F.struct(F.col("row_no").alias("at"), cells.alias("names")), "row_no")
-    ).scalar()
+    found = F.min_by(F.struct(F.col("row_no").alias("at"), cells.alias("names")), "row_no")
+    missing = F.raise_error(F.lit(f"no header with {marker!r} in the first {search_rows} rows"))
+    header = top.agg(F.coalesce(found, missing.cast("struct<at:int,names:array<string>>")).alias("h")).scalar()
     below = raw.select("row_no", cells.alias("_cells"), header.alias("_h")).filter(
         F.col("row_no") > F.col("_h.at")
     )

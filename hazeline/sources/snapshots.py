@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeline.functions.parsing import LOCAL_TZ, coerce_float, parse_buddhist_ts
@@ -40,23 +40,6 @@ def resolve_stations(dim: DataFrame, requested: Sequence[int]) -> DataFrame:
     return wanted.join(dim.select("station_id"), "station_id", "left_semi")
 
 
-def _merged_rows() -> Column:
-    """The data rows `_timed`, where rows of one time (`_times`) become one; later cells win."""
-    fold = lambda acc, r: F.map_concat(
-        F.map_filter(acc, lambda k, _: ~F.map_contains_key(r, k)), r
-    )
-    empty = F.create_map().cast("map<string,string>")
-    merged = F.transform(
-        F.array_distinct("_times"),
-        lambda t: F.aggregate(F.filter("_timed", lambda r: F.trim(r[TIME_KEY]) == t), empty, fold),
-    )
-    return F.when(_all_distinct("_times"), F.col("_timed")).otherwise(merged)
-
-
-def _all_distinct(array: str) -> Column:
-    return F.size(F.array_distinct(array)) == F.size(array)
-
-
 def decode_snapshots(
     payloads: DataFrame,
     dim: DataFrame,
@@ -67,65 +50,56 @@ def decode_snapshots(
 ) -> DataFrame:
     """Typed readings of JSON payloads: (payload_id, station_id, names, ts, six measures).
 
-    Melt, alias lookup and pivot all happen inside the payload's own row, so decoding is a map
-    without a shuffle; only the name table is joined (give it as a stored table, so Spark knows its
-    size). Rows whose measures are all null are dropped.
+    Linear in cells: list entries and cells are exploded together, meet by alias inside their
+    payload (one shuffle on payload and alias), and are summed up to readings (one shuffle on
+    payload, station and time). The last entry of an alias counts, and of the cells of a station,
+    time and measure the last one, by row and place. Only the name table is joined (give it as a
+    stored table, so Spark knows its size). Rows whose measures are all null are dropped.
     """
+    none = F.lit(None)
     usable = F.filter(
         "p.arrParameter",
         lambda a: a["Alias"].isNotNull() & a["MeasIndex"].isNotNull() & a["ShortName"].isin(*fields),
     )
-    timed = F.filter("p.arrData", lambda r: F.coalesce(r[TIME_KEY], F.lit("")) != "")
-    slot = lambda station, name: F.concat_ws("|", station.cast("string"), name)
-    slot_of = lambda a: slot(a["MeasIndex"], a["ShortName"])
-    parsed = (
-        payloads.select(payload_id, F.from_json("body", PAYLOAD_SCHEMA).alias("p"))
-        .select(payload_id, usable.alias("_known"), timed.alias("_timed"))
-        .select(
-            "*",
-            F.transform("_known", lambda a: a["Alias"]).alias("_names"),
-            F.transform("_known", slot_of).alias("_slots"),
-            F.transform("_timed", lambda r: F.trim(r[TIME_KEY])).alias("_times"),
-        )
+    item = lambda alias, at, entry, time, text: F.struct(
+        alias.alias("alias"), at.alias("at"), entry.alias("entry"), time.alias("time"), text.alias("text")
     )
-    # normally every alias and every (station, parameter) is listed once, and a map finds the cell
-    plain = _all_distinct("_names") & _all_distinct("_slots")
-    prepared = parsed.select(
-        payload_id,
-        "_known",
-        F.when(plain, F.map_from_arrays("_slots", "_names")).alias("_alias_of"),
-        F.array_distinct(F.transform("_known", lambda a: a["MeasIndex"])).alias("_stations"),
-        _merged_rows().alias("_rows"),
+    no_entry = none.cast("struct<at:int,station:int,name:string>")
+    entries = F.transform(usable, lambda a, i: item(
+        a["Alias"], none.cast("struct<row:int,cell:int>"),
+        F.struct(i.alias("at"), a["MeasIndex"].alias("station"), a["ShortName"].alias("name")),
+        none.cast("string"), none.cast("string"),
+    ))
+    cells = F.transform("p.arrData", lambda r, i: F.when(
+        F.coalesce(r[TIME_KEY], F.lit("")) != "",
+        F.transform(F.map_entries(r), lambda c, j: item(
+            c["key"], F.struct(i.alias("row"), j.alias("cell")), no_entry, F.trim(r[TIME_KEY]), c["value"]
+        )),
+    ))
+    items = F.concat(
+        F.coalesce(entries, F.array()), F.coalesce(F.flatten(F.filter(cells, lambda c: c.isNotNull())), F.array())
     )
-
-    def measure(row: Column, station: Column, name: str) -> Column:
-        wanted = slot(station, F.lit(name))
-        # otherwise the last entry of an alias and the last cell of a measure count
-        entry = lambda c: F.get(
-            F.reverse(F.filter("_known", lambda a: a["Alias"] == c["key"])), F.lit(0)
-        )
-        cells = F.filter(F.map_entries(row), lambda c: slot_of(entry(c)) == wanted)
-        last = F.get(F.reverse(cells), F.lit(0))["value"]
-        return F.when(F.col("_alias_of").isNotNull(), row[F.col("_alias_of")[wanted]]).otherwise(last)
-
-    def record(row: Column, station: Column) -> Column:
-        texts = [measure(row, station, name).alias(field) for name, field in fields.items()]
-        return F.struct(station.alias("station_id"), row[TIME_KEY].alias("time"), *texts)
-
-    records = F.flatten(
-        F.transform("_rows", lambda row: F.transform("_stations", lambda s: record(row, s)))
+    parsed = payloads.select(
+        F.monotonically_increasing_id().alias("_row"), payload_id, F.from_json("body", PAYLOAD_SCHEMA).alias("p")
     )
-    measures = list(fields.values())
-    readings = (
-        prepared.select(payload_id, F.explode(records).alias("r"))
-        .select(
-            payload_id,
-            "r.station_id",
-            parse_buddhist_ts(F.col("r.time"), tz).alias("ts"),
-            *[coerce_float(F.col(f"r.{f}")).alias(f) for f in measures],
-        )
-        .filter(F.coalesce(*measures).isNotNull())
+    listed = parsed.select("_row", payload_id, F.explode(items).alias("_i")).select("_row", payload_id, "_i.*")
+    meaning = F.max("entry").over(Window.partitionBy("_row", "alias"))
+    known = listed.select("_row", payload_id, "time", "at", "text", meaning.alias("m")).filter(
+        F.col("at").isNotNull() & F.col("m").isNotNull()
+    )
+    last = lambda name: F.max_by(
+        F.when(F.col("m.name") == name, F.struct("text")), F.when(F.col("m.name") == name, F.col("at"))
     )
+    readings = known.groupBy("_row", payload_id, F.col("m.station").alias("station_id"), "time").agg(
+        *[last(name).alias(f"_{field}") for name, field in fields.items()]
+    )
+    measures = list(fields.values())
+    readings = readings.select(
+        payload_id,
+        "station_id",
+        parse_buddhist_ts(F.col("time"), tz).alias("ts"),
+        *[coerce_float(F.col(f"_{f}.text")).alias(f) for f in measures],
+    ).filter(F.coalesce(*measures).isNotNull())
     if stations is not None:
         readings = readings.join(stations.select("station_id"), "station_id", "left_semi")
     return readings.join(dim, "station_id", "left").select(

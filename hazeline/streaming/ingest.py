@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazeline.operators.upsert import READING_KEYS
 from hazeline.operators.validate import validate
 from hazeline.sources.snapshots import decode_snapshots
 from hazeline.sources.tables import insert_ignore_table
@@ -64,24 +65,27 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     )
 
 
-def run_ingest(
-    stream: DataFrame, path: str, checkpoint: str, order: Sequence[str], rejected: str | None = None
+def store_batch(
+    batch: DataFrame, batch_id: int, path: str, order: Sequence[str], rejected: str | None = None,
+    keys: Sequence[str] = READING_KEYS,
 ) -> None:
-    """Validate each micro-batch and insert-ignore its valid rows on (station, ts).
+    """Insert-ignore the valid rows of a micro-batch; the others go to `rejected` with their reasons.
 
     A batch that is run again after a failure finds its rows already stored, so replays are
-    harmless. Rejected rows with their reasons go to `rejected`.
+    harmless. Rows without a key are rejects.
     """
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        checked = validate(batch).persist()  # read by the day range, the insert and the rejects
+    checked = validate(batch, keys=keys).persist()  # read for the days, the insert and the rejects
+    try:
         plain = checked.filter("is_valid").select(*batch.columns)
-        insert_ignore_table(batch.sparkSession, path, plain, order)
+        insert_ignore_table(batch.sparkSession, path, plain, order, keys)
         if rejected:
             target = f"{rejected}/batch={batch_id}"
             checked.filter(~F.col("is_valid")).write.mode("overwrite").parquet(target)
+    finally:
         checked.unpersist()
 
+
+def _run(stream: DataFrame, store, checkpoint: str) -> None:
     (
         stream.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
@@ -91,19 +95,20 @@ def run_ingest(
     )
 
 
-def decode_stream(payloads: DataFrame, dim: DataFrame, path: str, checkpoint: str) -> None:
+def run_ingest(
+    stream: DataFrame, path: str, checkpoint: str, order: Sequence[str], rejected: str | None = None
+) -> None:
+    """Validate each micro-batch and insert-ignore its valid rows on (station, ts)."""
+    _run(stream, lambda batch, batch_id: store_batch(batch, batch_id, path, order, rejected), checkpoint)
+
+
+def decode_stream(
+    payloads: DataFrame, dim: DataFrame, path: str, checkpoint: str, rejected: str | None = None
+) -> None:
     """Decode JSON payloads per micro-batch, validate, and insert-ignore on (station, ts)."""
 
-    def store(batch: DataFrame, _: int) -> None:
+    def store(batch: DataFrame, batch_id: int) -> None:
         readings = decode_snapshots(batch, dim).withColumnRenamed("station_id", "station")
-        valid = validate(readings).filter("is_valid").select(*readings.columns).persist()
-        insert_ignore_table(batch.sparkSession, path, valid, ["payload_id"])
-        valid.unpersist()
+        store_batch(readings, batch_id, path, ["payload_id"], rejected)
 
-    (
-        payloads.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    _run(payloads, store, checkpoint)

@@ -22,9 +22,18 @@ def price() -> Column:
     return F.floor("o_totalprice") / 1000
 
 
-def hourly_readings(spark: SparkSession, sf_dir: str, station: str = "event_type") -> DataFrame:
-    """(station, ts, pm25): the hourly maximum, which does not depend on row order."""
+def hourly_readings(
+    spark: SparkSession, sf_dir: str, station: str = "event_type", since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """(station, ts, pm25): the hourly maximum, which does not depend on row order.
+
+    `since` and `until` (exclusive) are whole hours; they bound the raw times, so the scan skips the rest.
+    """
     events = table(spark, sf_dir, "events")
+    if since is not None:
+        events = events.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        events = events.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
     return events.groupBy(F.col(station).alias("station"), hour_floor(F.col("ts")).alias("ts")).agg(
         F.max("value").alias("pm25")
     )

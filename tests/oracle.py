@@ -6,6 +6,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -64,7 +65,10 @@ def check(spark, con, name, sf_dir, may_be_empty=False):
 
 def main():
     sf_dir, names = sys.argv[1], sys.argv[2:]
-    spark = build_session("local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false")
+    spark = build_session(
+        "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="hazeline-oracle-"),
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0

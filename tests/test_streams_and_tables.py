@@ -1,17 +1,13 @@
-"""Streaming replay and late data, table writers, and ONNX scoring."""
+"""Streaming replay and late data, and table writers."""
 
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
-from hazeline.catalog.models import SAME_HOUR_MODEL
-from hazeline.operators.features import HOURLY_FEATURES
-from hazeline.operators.onnx_scoring import score_onnx
 from hazeline.session import work_dir
 from hazeline.sources import tables as stored
 from hazeline.streaming import ingest
-from tests import onnx_file
 
 SCHEMA = "station string, ts timestamp_ntz, pm25 double"
 
@@ -66,14 +62,60 @@ def test_stream_dedupe_across_batches(spark):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_replacing_days_twice_is_once(spark):
+def test_replacing_a_range_keeps_other_stations_and_hours(spark):
     path = work_dir(spark, "table")
-    target = spark.createDataFrame([("a", at(0), 1.0), ("a", at(1500), 2.0), ("a", at(3000), 3.0)], SCHEMA)
-    batch = spark.createDataFrame([("a", at(1501), 8.0), ("a", at(1501), 9.0)], SCHEMA)
-    stored.write_by_day(target, path)
+    rows = [(s, at(60 * h), float(h)) for s in "ab" for h in range(72)]
+    stored.write_by_day(spark.createDataFrame(rows, SCHEMA), path)
+    batch = spark.createDataFrame([("a", at(61), 8.0), ("a", at(61), 9.0)], SCHEMA)
+    for deleted, inserted in ((24, 1), (1, 1)):
+        counts = stored.replace_range_table(
+            spark, path, batch, F.lit(at(0)), F.lit(at(1440)), ["pm25"], work_dir(spark, "staging"), ["a"]
+        ).first()
+        assert tuple(counts) == (deleted, inserted, 1)
+    found = sorted((r["station"], r["pm25"]) for r in spark.read.parquet(path).collect())
+    assert found == sorted([("a", 8.0)] + [("a", float(h)) for h in range(24, 72)] + [("b", float(h)) for h in range(72)])
+
+
+def test_a_range_without_new_rows_loses_its_days(spark):
+    path = work_dir(spark, "table")
+    stored.write_by_day(spark.createDataFrame([("a", at(60 * h), 1.0) for h in range(72)], SCHEMA), path)
+    none = spark.createDataFrame([], SCHEMA)
+    for _ in range(2):
+        stored.replace_range_table(spark, path, none, F.lit(at(1440)), F.lit(at(2880)), ["pm25"], work_dir(spark, "s"))
+        assert spark.read.parquet(path).count() == 48
+
+
+def test_unreadable_times_are_rejects_and_never_stored(spark):
+    source, path, bad = (work_dir(spark, n) for n in ("src", "table", "bad"))
+    rows_file(spark, source, [("a", at(0), 1.0), ("a", None, 2.0), ("b", None, 3.0)])
+    for run in range(3):
+        ingest.run_ingest(stream(spark, source), path, work_dir(spark, "state"), ["pm25"], bad)
+        assert spark.read.parquet(path).count() == 1
+    assert [r["errors"] for r in spark.read.parquet(bad).collect()] == [["ts is missing"]] * 2
+    with pytest.raises(ValueError, match="lack a key"):
+        stored.insert_ignore_table(spark, path, spark.createDataFrame([("a", None, 1.0)], SCHEMA), ["pm25"])
+
+
+def test_upserting_rewrites_only_its_days(spark):
+    path, schema = work_dir(spark, "predictions"), "prediction_date date, station string, value double"
+    day = lambda n: dt.date(2024, 1, n)
+    first = spark.createDataFrame([(day(1), "a", 1.0), (day(2), "a", 2.0), (day(2), "b", 3.0)], schema)
+    stored.upsert_table(spark, path, first, ["value"], work_dir(spark, "s"))
+    before = set(spark.read.parquet(f"{path}/day=2024-01-01").inputFiles())
     for _ in range(2):
-        stored.replace_days_table(spark, path, batch, ["pm25"], work_dir(spark, "staging"))
-    assert sorted(r["pm25"] for r in spark.read.parquet(path).collect()) == [1.0, 3.0, 8.0]
+        stored.upsert_table(spark, path, spark.createDataFrame([(day(2), "a", 9.0)], schema), ["value"], work_dir(spark, "s"))
+    table = spark.read.parquet(path)
+    assert set(spark.read.parquet(f"{path}/day=2024-01-01").inputFiles()) == before
+    assert sorted(r["value"] for r in table.collect()) == [1.0, 3.0, 9.0]
+
+
+def test_time_bounds_reach_the_event_scan(spark):
+    import __spark_entry__ as driver
+
+    for name in ("m9_forecast_monitor", "a2_daily_local_mean"):
+        plan = driver.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "events.parquet" in line and "value" in line and "PushedFilters" in line]
+        assert scans and all("GreaterThanOrEqual(ts" in line and "LessThan(ts" in line for line in scans)
 
 
 def test_scan_reaches_the_files(spark):
@@ -100,19 +142,3 @@ def test_work_dir_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         work_dir(Session(), "x")
-
-
-def test_onnx_scoring(spark, tmp_path):
-    path = tmp_path / "linear.onnx"
-    path.write_bytes(onnx_file.linear_model([0.5, 0.25], 1.0))
-    df = spark.createDataFrame([(1, 2.0, 4.0), (2, 10.0, 0.0)], "id int, a double, b double")
-    scored = score_onnx(df, str(path), ["a", "b"]).orderBy("id").collect()
-    assert [r["predicted"] for r in scored] == [3.0, 6.0]
-    swapped = score_onnx(df, str(path), ["b", "a"]).orderBy("id").collect()
-    assert [r["predicted"] for r in swapped] == [3.5, 3.5]
-
-
-def test_fixture_model_is_the_written_one():
-    weights = [float(name == "pm25_lag_24") for name in HOURLY_FEATURES]
-    with open(SAME_HOUR_MODEL, "rb") as stored_model:
-        assert stored_model.read() == onnx_file.linear_model(weights, 0.0)
