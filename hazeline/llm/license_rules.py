@@ -94,6 +94,7 @@ PHRASES = (
     (r"(?:opensource|spdx) org licenses? {spdx}", "licenses", 4, 0.95),
     (r"(?:licensed|distributed|released|available) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:{name})(?: licen[cs]e)?", "under", 3, 0.9),
     (r"(?:{name}) licen[cs]e(?: version \d+(?: \d+)?)?", "licen", 2, 0.75),
+    (r"(?=\S+(?: \S+){0,3} licen[cs]e)(?:{name})(?<=\d)", "licen", 2, 0.75),
     (r"licen[cs]e (?:is )?(?:the )?(?:{name})", "licen", 1, 0.5),
 )
 
