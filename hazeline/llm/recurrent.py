@@ -96,11 +96,13 @@ class Network:
         found -= np.log(sums)
         back = None
         if grads is not None:
-            weights /= sums[:, None]
-            weights[np.arange(m), classes] -= 1
-            grads["wc"] += out.T @ weights
-            grads["bc"] += weights.sum(axis=0)
+            # the sums divide the narrow factors, not the wide weights
+            weights[np.arange(m), classes] -= sums
+            part = 1 / sums
+            grads["wc"] += (out * part[:, None]).T @ weights
+            grads["bc"] += part @ weights
             back = weights @ p["wc"].T
+            back *= part[:, None]
         frequent = np.flatnonzero(targets < self.words)
         order = frequent[np.argsort(classes[frequent], kind="stable")]
         bounds = np.searchsorted(classes[order], np.arange(self.groups + 1))
@@ -116,11 +118,11 @@ class Network:
             total = spread.sum(axis=1)
             found[rows] += own - np.log(total)
             if grads is not None:
-                spread /= total[:, None]
-                spread[every, inside] -= 1
-                grads["wu"][span] += spread.T @ states
-                grads["bu"][span] += spread.sum(axis=0)
-                back[rows] += spread @ p["wu"][span]
+                spread[every, inside] -= total
+                part = 1 / total
+                grads["wu"][span] += spread.T @ (states * part[:, None])
+                grads["bu"][span] += part @ spread
+                back[rows] += (spread @ p["wu"][span]) * part[:, None]
         return found, back
 
     def backward(self, inputs: np.ndarray, starts: np.ndarray, back: np.ndarray, kept: tuple, grads: dict) -> None:
