@@ -55,30 +55,36 @@ class Network:
         return np.where(symbols < self.words, symbols // GROUP, symbols - self.words + self.groups)
 
     def run(self, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
-        """States after every step (steps, lanes, HIDDEN), the last one, and what backward needs."""
+        """States after every step (steps, lanes, HIDDEN), the last one, and what backward needs.
+
+        Inside, lanes are the last axis, so that every gate is one contiguous block.
+        """
         p, (steps, lanes), n = self.p, inputs.shape, HIDDEN
-        ahead = (p["embed"][inputs].reshape(-1, EMBED) @ p["wx"] + p["b"]).reshape(steps, lanes, 3 * n)
-        resets = starts.any(axis=1)
-        before, gates, news, hidden, out = (np.empty((steps, lanes, k), np.float32) for k in (n, 2 * n, n, n, n))
+        # what a symbol adds to the gates, once a window and not once a token
+        by_symbol = p["wx"].T @ p["embed"].T
+        by_symbol += p["b"][:, None]
+        resets, state = starts.any(axis=1), np.ascontiguousarray(state.T)
+        wh, bn = np.ascontiguousarray(p["wh"].T), p["bn"][:, None]
+        before, gates, news, hidden, out = (np.empty((steps, k, lanes), np.float32) for k in (n, 2 * n, n, n, n))
         for t in range(steps):
             if resets[t]:
-                state = state * ~starts[t][:, None]
+                state = state * ~starts[t]
             before[t] = state
-            inner, gate, new = state @ p["wh"], gates[t], news[t]
-            np.add(ahead[t, :, : 2 * n], inner[:, : 2 * n], out=gate)
+            ahead, inner, gate, new = by_symbol.take(inputs[t], axis=1), wh @ state, gates[t], news[t]
+            np.add(ahead[: 2 * n], inner[: 2 * n], out=gate)
             np.negative(gate, out=gate)
             np.exp(gate, out=gate)
             gate += 1
             np.reciprocal(gate, out=gate)
-            np.add(inner[:, 2 * n :], p["bn"], out=hidden[t])
-            np.multiply(gate[:, n:], hidden[t], out=new)
-            new += ahead[t, :, 2 * n :]
+            np.add(inner[2 * n :], bn, out=hidden[t])
+            np.multiply(gate[n:], hidden[t], out=new)
+            new += ahead[2 * n :]
             np.tanh(new, out=new)
             state = state - new
-            state *= gate[:, :n]
+            state *= gate[:n]
             state += new
             out[t] = state
-        return out, state, (before, gates, news, hidden)
+        return np.ascontiguousarray(out.transpose(0, 2, 1)), state.T, (before, gates, news, hidden)
 
     def output(self, out: np.ndarray, targets: np.ndarray, grads: dict | None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of every target, and the gradient of the loss by the states.
@@ -104,59 +110,72 @@ class Network:
             back = weights @ p["wc"].T
             back *= part[:, None]
         frequent = np.flatnonzero(targets < self.words)
-        order = frequent[np.argsort(classes[frequent], kind="stable")]
-        bounds = np.searchsorted(classes[order], np.arange(self.groups + 1))
-        for group in np.flatnonzero(np.diff(bounds)):
-            rows = order[bounds[group] : bounds[group + 1]]
-            span = slice(group * GROUP, (group + 1) * GROUP)
-            states, inside = out[rows], targets[rows] - group * GROUP
-            spread = states @ p["wu"][span].T
-            spread += p["bu"][span]
-            every = np.arange(len(rows))
-            own = spread[every, inside]
-            np.exp(spread, out=spread)
-            total = spread.sum(axis=1)
-            found[rows] += own - np.log(total)
-            if grads is not None:
-                spread[every, inside] -= total
-                part = 1 / total
-                grads["wu"][span] += spread.T @ (states * part[:, None])
-                grads["bu"][span] += part @ spread
-                back[rows] += (spread @ p["wu"][span]) * part[:, None]
+        # rows sorted by group: a group is a slice, and what is alike for all groups is done once
+        order = frequent[np.argsort(classes[frequent].astype(np.uint16), kind="stable")]
+        own_group = classes[order]
+        bounds = np.searchsorted(own_group, np.arange(self.groups + 1))
+        slices = [(g, slice(bounds[g], bounds[g + 1])) for g in np.flatnonzero(np.diff(bounds))]
+        states, word_weights = out[order], p["wu"].reshape(self.groups, GROUP, HIDDEN)
+        spread = np.empty((len(order), GROUP), np.float32)
+        for group, rows in slices:
+            np.matmul(states[rows], word_weights[group].T, out=spread[rows])
+        spread += p["bu"].reshape(self.groups, GROUP)[own_group]
+        every, inside = np.arange(len(order)), targets[order] % GROUP
+        own = spread[every, inside]
+        np.exp(spread, out=spread)
+        total = spread.sum(axis=1)
+        found[order] += own - np.log(total)
+        if grads is not None:
+            spread[every, inside] -= total
+            part = 1 / total
+            states *= part[:, None]
+            pushed = np.empty_like(states)
+            to_words, to_biases = grads["wu"].reshape(word_weights.shape), grads["bu"].reshape(self.groups, GROUP)
+            for group, rows in slices:
+                to_words[group] += spread[rows].T @ states[rows]
+                to_biases[group] += part[rows] @ spread[rows]
+                np.matmul(spread[rows], word_weights[group], out=pushed[rows])
+            pushed *= part[:, None]
+            back[order] += pushed
         return found, back
 
     def backward(self, inputs: np.ndarray, starts: np.ndarray, back: np.ndarray, kept: tuple, grads: dict) -> None:
         """Truncated backpropagation through one window."""
         p, (steps, lanes), n = self.p, inputs.shape, HIDDEN
         before, gates, news, hidden = kept
-        z, r = gates[..., :n], gates[..., n:]
+        z, r = gates[:, :n], gates[:, n:]
         by_new = (1 - z) * (1 - news * news)
         by_update = (before - news) * (z * (1 - z))
         by_reset = hidden * (r * (1 - r))
-        # gradients by the update gate, the reset gate, the recurrent part of the new state, the new state
-        all_back = np.empty((steps, lanes, 4 * n), np.float32)
-        carry, wh, resets = np.zeros((lanes, n), np.float32), p["wh"].T.copy(), starts.any(axis=1)
+        # gradients by the recurrent part of the new state, the update gate, the reset gate, the new state;
+        # the first three come through `wh`, the last three directly
+        all_back = np.empty((steps, 4 * n, lanes), np.float32)
+        wh = np.concatenate([p["wh"][:, 2 * n :], p["wh"][:, : 2 * n]], axis=1)
+        carry, resets = np.zeros((n, lanes), np.float32), starts.any(axis=1)
+        back = np.ascontiguousarray(back.transpose(0, 2, 1))
         for t in range(steps - 1, -1, -1):
             carry += back[t]
             row = all_back[t]
-            new = row[:, 3 * n :]
+            new = row[3 * n :]
             np.multiply(carry, by_new[t], out=new)
-            np.multiply(carry, by_update[t], out=row[:, :n])
-            np.multiply(new, by_reset[t], out=row[:, n : 2 * n])
-            np.multiply(new, r[t], out=row[:, 2 * n : 3 * n])
+            np.multiply(new, r[t], out=row[:n])
+            np.multiply(carry, by_update[t], out=row[n : 2 * n])
+            np.multiply(new, by_reset[t], out=row[2 * n : 3 * n])
             carry *= z[t]
-            carry += row[:, : 3 * n] @ wh
+            carry += wh @ row[: 3 * n]
             if resets[t]:
-                carry *= ~starts[t][:, None]
-        flat = all_back.reshape(-1, 4 * n)
-        recurrent, direct = flat[:, : 3 * n], np.concatenate([flat[:, : 2 * n], flat[:, 3 * n :]], axis=1)
-        grads["wh"] += before.reshape(-1, n).T @ recurrent
-        grads["bn"] += recurrent[:, 2 * n :].sum(axis=0)
-        embedded = p["embed"][inputs].reshape(-1, EMBED)
-        grads["wx"] += embedded.T @ direct
-        grads["b"] += direct.sum(axis=0)
-        cells = (inputs.reshape(-1, 1) * EMBED + np.arange(EMBED)).ravel()
-        spread = np.bincount(cells, weights=(direct @ p["wx"].T).ravel(), minlength=grads["embed"].size)
+                carry *= ~starts[t]
+        through, direct = all_back[:, : 3 * n], all_back[:, n:]
+        by_wh = (before @ through.transpose(0, 2, 1)).sum(axis=0)
+        grads["wh"][:, 2 * n :] += by_wh[:, :n]
+        grads["wh"][:, : 2 * n] += by_wh[:, n:]
+        totals = all_back.sum(axis=2).sum(axis=0)
+        grads["bn"] += totals[:n]
+        grads["b"] += totals[n:]
+        embedded = p["embed"][inputs]
+        grads["wx"] += (embedded.transpose(0, 2, 1) @ direct.transpose(0, 2, 1)).sum(axis=0)
+        cells = inputs[:, None, :] * EMBED + np.arange(EMBED)[:, None]
+        spread = np.bincount(cells.ravel(), weights=(p["wx"] @ direct).ravel(), minlength=grads["embed"].size)
         grads["embed"] += spread.reshape(grads["embed"].shape)
 
 
