@@ -24,10 +24,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.common import id_text, whole
+from hazeline.llm.common import id_text, text_digest, whole
 from hazeline.session import stage_table
 
 WORDS = 3
@@ -54,20 +54,24 @@ def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """(doc_id, fp) for every row."""
+def fingerprints(
+    docs: DataFrame, *carry: Column, key: str = "doc_id", text: str = "text", words: int = WORDS
+) -> DataFrame:
+    """(doc_id, fp, carry) for every row; `carry` are named columns that go along."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [fingerprint(t.as_py(), words) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values, pa.int64())], names=["doc_id", "fp"]
+                [batch.column("doc_id"), pa.array(values, pa.int64()), *batch.columns[2:]],
+                names=["doc_id", "fp", *batch.schema.names[2:]],
             )
 
     raw = docs.select(
-        F.col(key).cast("long").alias("doc_id"), whole(F.col(text)).cast("binary").alias("text")
+        F.col(key).cast("long").alias("doc_id"), whole(F.col(text)).cast("binary").alias("text"), *carry
     )
-    return raw.mapInArrow(hashed, "doc_id long, fp long")
+    extra = "".join(f", {name} {kind}" for name, kind in raw.dtypes[2:])
+    return raw.mapInArrow(hashed, f"doc_id long, fp long{extra}")
 
 
 def block_masks(blocks: int = BLOCKS, radius: int = RADIUS) -> list[int]:
@@ -153,24 +157,37 @@ def components(edges: DataFrame) -> DataFrame:
     return rooted.unionByName(rooted.select(F.col("root").alias("fp"), "root").distinct())
 
 
+def rooted_nodes(nodes: DataFrame) -> DataFrame:
+    """`nodes`, a stored table with one row per fp, with the smallest fp of its component as root."""
+    rooted = components(links(nodes.select("fp")))
+    placed = nodes.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return stage_table(placed, "fingerprint-roots")
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) for every row; component_id is the smallest doc_id reachable."""
-    rows = stage_table(fingerprints(docs, key, text), "fingerprints")
-    nodes = stage_table(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprint-nodes")
-    rooted = components(links(nodes.select("fp")))
-    placed = nodes.join(rooted, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    placed = stage_table(placed, "fingerprint-roots")
+    rows = stage_table(fingerprints(docs, key=key, text=text), "fingerprints")
+    placed = rooted_nodes(stage_table(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprint-nodes"))
     smallest = stage_table(placed.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
     labels = stage_table(placed.join(smallest, "root").select("fp", "component_id"), "fingerprint-labels")
     return rows.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with one document of each group: the one with the smallest doc_id (the first by
-    text hash if it repeats). A group of rows without any doc_id keeps one of them."""
-    groups = near_groups(docs, key, text)
-    same = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    lost = groups.filter(~same).select(id_text(F.col("doc_id")).alias("_lost_key")).distinct()
-    own = id_text(F.col(f"rec.`{key}`").cast("long"))
-    left = docs.select(F.struct("*").alias("rec")).select("rec", own.alias("_own_key"))
-    return left.join(lost, F.col("_own_key") == F.col("_lost_key"), "left_anti").dropDuplicates(["_own_key"]).select("rec.*")
+    """`docs` with one row of each group: the one with the smallest doc_id, then text digest.
+
+    Rows are told apart by doc_id and text, so rows without an id, and rows that repeat an id with
+    another text, are judged each in its own group; a row without an id stays only where the whole
+    group has none. Of rows that repeat both, one stays.
+    """
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    rows = fingerprints(docs, text_digest(whole(F.col(text))).alias("digest"), key=key, text=text)
+    placed = rooted_nodes(stage_table(rows.groupBy("fp").agg(F.min(name).alias("first")), "fingerprint-nodes"))
+    first = placed.groupBy("root").agg(F.min("first").alias("first"))
+    row_key = lambda digest, doc_id: F.concat(digest, id_text(doc_id).cast("binary"))
+    stays = first.select(row_key(F.col("first.digest"), F.col("first.doc_id")).alias("_kept_key"))
+    own = row_key(text_digest(whole(F.col(f"rec.`{text}`"))), F.col(f"rec.`{key}`").cast("long"))
+    # repeated rows are dropped before the shuffle that also serves the join, so no key is hot there
+    left = docs.select(F.struct("*").alias("rec")).select("rec", own.alias("_own_key")).dropDuplicates(["_own_key"])
+    kept = stage_table(stays, "kept-rows")
+    return left.join(kept, F.col("_own_key") == F.col("_kept_key"), "left_semi").select("rec.*")

@@ -403,6 +403,20 @@ def test_simhash_components(spark, docs, none, limit, monkeypatch):
     assert simhash.near_groups(none).count() == 0
 
 
+def test_near_copies_without_or_with_repeated_ids(spark, none):
+    base, other, third, fourth = (sentence(i, 400) for i in (61, 62, 63, 64))
+    rows = [
+        (None, base), (None, other), (None, other.upper()), (None, None),  # no ids: one of each group stays
+        (5, third), (7, third.upper()), (7, fourth), (7, fourth), (None, fourth),  # 7 is a copy here, the first there
+    ]
+    docs = spark.createDataFrame([(*r, "r") for r in rows], "doc_id long, text string, rec string").repartition(3)
+    left = [(r[0], lower(r[1])) for r in simhash.drop_near_copies(docs).collect()]
+    want = [(None, base), (None, other), (None, ""), (5, third), (7, fourth)]
+    assert sorted(left, key=repr) == sorted(((i, lower(t)) for i, t in want), key=repr)
+    assert simhash.drop_near_copies(docs).columns == docs.columns
+    assert simhash.drop_near_copies(none).count() == 0
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, 700), (500, 900), (-5, 900)]
     got = dict(tuple(r) for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect())
