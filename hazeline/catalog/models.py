@@ -387,13 +387,17 @@ targets AS (
   UNION ALL SELECT station, NULL, NULL FROM known WHERE latest IS NULL),
 joined AS (
   SELECT t.station, t.target, t.latest, count(f.date) AS n, count(*) FILTER (f.date IS NOT NULL AND f.pm25 IS NULL) AS holes,
-    count(*) FILTER (f.missing AND f.pm25 IS NOT NULL) AS filled, round(sum(f.pm25), 2) AS total
+    count(*) FILTER (f.missing AND f.pm25 IS NOT NULL) AS filled, round(sum(f.pm25), 2) AS total,
+    max(CAST(f.pm25 AS DECIMAL(18,2))) FILTER (f.date = t.target - 1) AS lag1,
+    max(CAST(f.pm25 AS DECIMAL(18,2))) FILTER (f.date = t.target - 7) AS lag7,
+    sum(CAST(f.pm25 AS DECIMAL(18,2))) FILTER (f.date >= t.target - 14) AS sum14
   FROM targets t LEFT JOIN filled f ON f.station = t.station AND f.date BETWEEN t.target - 15 AND t.target - 1 GROUP BY ALL),
 jobs AS (
   SELECT station, CAST(target AS VARCHAR) AS target_date,
     CASE WHEN latest IS NULL THEN 'no_daily_data' WHEN n <> 15 THEN 'insufficient_history_window'
          WHEN holes > 0 THEN 'history_contains_missing_pm25' END AS skip_reason,
-    target, filled, total FROM joined)"""
+    target, filled, total, CAST(round(CAST((lag1 * 35 + lag7 * 21 + sum14) / 70 AS DECIMAL(38,12)), 2) AS DOUBLE) AS predicted
+  FROM joined)"""
 
 
 @query(
@@ -430,11 +434,15 @@ def scheduled_jobs(spark, sf_dir):
 
 @query(
     "l17_store_predictions",
-    f"""WITH {JOBS}, old AS (SELECT station, date AS prediction_date, 'old' AS model FROM means),
-    fresh AS (SELECT station, target AS prediction_date, 'blend' AS model FROM jobs WHERE skip_reason IS NULL),
-    stored AS (SELECT * FROM fresh UNION ALL SELECT * FROM old o WHERE NOT EXISTS (
+    f"""WITH {JOBS}, old AS (SELECT station, date AS prediction_date, pm25 AS predicted_pm25, 'old' AS model FROM means),
+    fresh AS (SELECT station, target AS prediction_date, predicted AS predicted_pm25, 'blend' AS model, 15 AS history_days,
+      target - 15 AS history_start_date, target - 1 AS history_end_date, filled AS filled_history_days, 'manual' AS run_type,
+      TIMESTAMP '2024-02-10' AS prediction_generated_at FROM jobs WHERE skip_reason IS NULL),
+    stored AS (SELECT * FROM fresh UNION ALL BY NAME SELECT * FROM old o WHERE NOT EXISTS (
       SELECT 1 FROM fresh f WHERE f.station = o.station AND f.prediction_date = o.prediction_date))
-    SELECT station, CAST(prediction_date AS VARCHAR) AS prediction_date, model FROM stored""",
+    SELECT station, CAST(prediction_date AS VARCHAR) AS prediction_date, model, predicted_pm25, CAST(history_days AS INTEGER) AS history_days,
+    CAST(history_start_date AS VARCHAR) AS history_start_date, CAST(history_end_date AS VARCHAR) AS history_end_date,
+    filled_history_days, run_type, CAST(prediction_generated_at AS VARCHAR) AS prediction_generated_at FROM stored""",
 )
 def store_predictions(spark, sf_dir):
     jobs = manual_jobs(spark, sf_dir)
@@ -449,7 +457,7 @@ def store_predictions(spark, sf_dir):
     old = means.select(
         "station", F.col("date").alias("prediction_date"), F.col("pm25").alias("predicted_pm25"), F.lit("old").alias("model")
     ).withColumns(empty)
-    return model.store_predictions(old, fresh).select("station", "prediction_date", "model")
+    return model.store_predictions(old, fresh)
 
 
 @query(

@@ -132,15 +132,12 @@ def psi_equal_width(spark, sf_dir):
     return drift.psi_equal_width(half_samples(spark, sf_dir))
 
 
-PSI_FEATURES = ("pm25_lag_1", "pm25_rolling_mean_24h", "pm25_rolling_std_6h", "pm25_diff_24h")
-
-
 @query(
     "m7_feature_psi",
     f"""WITH {sql.HOURLY_WIDE}, samples AS (
       {" UNION ALL ".join(
-          f"SELECT station, '{f}' AS feature, ts >= TIMESTAMP '2024-01-20' AS is_actual, {f} AS value FROM features"
-          for f in PSI_FEATURES)}),
+          f"SELECT station, '{f}' AS feature, ts >= TIMESTAMP '2024-01-20' AS is_actual, CAST({f} AS DOUBLE) AS value FROM features"
+          for f in features.HOURLY_FEATURES)}),
     {sql.psi(keys="station, feature")}
     SELECT station, feature, psi,
     CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.2 THEN 'moderate' ELSE 'significant' END AS status FROM psi_result""",
@@ -148,7 +145,7 @@ PSI_FEATURES = ("pm25_lag_1", "pm25_rolling_mean_24h", "pm25_rolling_std_6h", "p
 def feature_psi(spark, sf_dir):
     wide = stage_table(features.build_hourly_features(hourly(spark, sf_dir)), "psi-features")
     recent = F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")
-    return drift.feature_psi(wide.filter(~recent), wide.filter(recent), PSI_FEATURES)
+    return drift.feature_psi(wide.filter(~recent), wide.filter(recent), features.HOURLY_FEATURES)
 
 
 # monitors
