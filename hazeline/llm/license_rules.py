@@ -1,8 +1,10 @@
 """Licence signatures: ordered regex rules over normalised words.
 
 A rule is a regex over a text's words joined by single blanks, with a priority, a label, a
-confidence and two keywords that must both occur before the regex is tried. The names below are
-written by hand; each is put into the phrases in which licences are declared.
+confidence, a keyword, and second keywords of which one must occur. The regex is tried only where
+both do, so every match of it must hold them. The second keywords of all rules are the gates: a text
+without any of them has no detection. The names below are written by hand; each is put into the
+phrases in which licences are declared.
 """
 
 from __future__ import annotations
@@ -88,31 +90,31 @@ NAMES = (
     ("proprietary", r"(?:proprietary|commercial|end user)", "r", r"licenseref proprietary"),
 )
 
-# Hand-written phrases around a name: regex, keyword, priority, confidence.
+# Hand-written phrases around a name: regex, second keywords, priority, confidence.
 PHRASES = (
-    (r"spdx license identifier {spdx}", "spdx", 4, 1.0),
-    (r"(?:opensource|spdx) org licenses? {spdx}", "licenses", 4, 0.95),
-    (r"(?:licensed|distributed|released|available) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:{name})(?: licen[cs]e)?", "under", 3, 0.9),
-    (r"(?:{name}) licen[cs]e(?: version \d+(?: \d+)?)?", "licen", 2, 0.75),
-    (r"(?=\S+(?: \S+){0,3} licen[cs]e)(?:{name})(?<=\d)", "licen", 2, 0.75),
-    (r"licen[cs]e (?:is )?(?:the )?(?:{name})", "licen", 1, 0.5),
+    (r"spdx license identifier {spdx}", ("spdx license identifier",), 4, 1.0),
+    (r"(?:opensource|spdx) org licenses? {spdx}", (" org license",), 4, 0.95),
+    (r"(?:licensed|distributed|released|available) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:{name})(?: licen[cs]e)?", ("licensed under ", "distributed under ", "released under ", "available under "), 3, 0.9),
+    (r"(?:{name}) licen[cs]e(?: version \d+(?: \d+)?)?", (" licen",), 2, 0.75),
+    (r"(?=\S+(?: \S+){0,3} licen[cs]e)(?:{name})(?<=\d)", (" licen",), 2, 0.75),
+    (r"licen[cs]e (?:is )?(?:the )?(?:{name})", ("licen",), 1, 0.5),
 )
 
-# Hand-written notices without a name.
+# Hand-written notices without a name: label, regex, keyword, second keyword, priority, confidence.
 NOTICES = (
-    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy", "hereby", "granted", 3, 0.95),
-    ("isc", r"permission to use copy modify and or distribute this software for any purpose with or without fee", "distribute", "fee", 3, 0.95),
-    ("bsd-3", r"neither the name of (?:\S+ ){1,8}nor the names of its contributors", "neither", "contributors", 3, 0.9),
-    ("bsd-2", r"redistributions of source code must retain the above copyright notice", "redistributions", "retain", 2, 0.8),
+    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy", "hereby", "permission", 3, 0.95),
+    ("isc", r"permission to use copy modify and or distribute this software for any purpose with or without fee", "distribute", "permission", 3, 0.95),
+    ("bsd-3", r"neither the name of (?:\S+ ){1,8}nor the names of its contributors", "contributors", "neither", 3, 0.9),
+    ("bsd-2", r"redistributions of source code must retain the above copyright notice", "retain", "redistributions", 2, 0.8),
     ("apache-2.0", r"you may not use this file except in compliance with the license", "compliance", "license", 3, 0.9),
-    ("gpl", r"(?:gnu )?general public license", "general", "public", 1, 0.75),
-    ("gpl", r"either version (?:\d+ )of the license or at your option any later version", "option", "later", 2, 0.8),
-    ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public license", "source", "mozilla", 3, 0.95),
+    ("gpl", r"(?:gnu )?general public license", "general", "license", 1, 0.75),
+    ("gpl", r"either version (?:\d+ )of the license or at your option any later version", "option", "license", 2, 0.8),
+    ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public license", "mozilla", "license", 3, 0.95),
     ("apache", r"apache license", "apache", "license", 1, 0.75),
-    ("all-rights-reserved", r"all rights reserved", "rights", "reserved", 1, 0.4),
+    ("all-rights-reserved", r"all rights reserved", "reserved", "rights", 1, 0.4),
     ("copyright", r"copyright(?: c)? (?:19|20)\d\d", "copyright", "copyright", 1, 0.3),
-    ("public-domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain", "public", "domain", 2, 0.8),
-    ("no-warranty", r"without warrant(?:y|ies) of any kind", "without", "kind", 1, 0.4),
+    ("public-domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain", "domain", "public domain", 2, 0.8),
+    ("no-warranty", r"without warrant(?:y|ies) of any kind", "without", "warrant", 1, 0.4),
 )
 
 
@@ -120,17 +122,17 @@ NOTICES = (
 def rules() -> tuple[dict, ...]:
     """All rules in order; `base` rules are never suppressed."""
     found = [
-        {"regex": phrase, "label": label, "key": phrase.split()[0], "key2": "license", "priority": 2,
+        {"regex": phrase, "label": label, "key": phrase.split()[0], "keys2": ("license",), "priority": 2,
          "confidence": 0.75, "base": True}
         for phrase, label in BASE_PHRASES
     ]
     for label, name, key, spdx in NAMES:
-        for phrase, key2, priority, confidence in PHRASES:
+        for phrase, keys2, priority, confidence in PHRASES:
             regex = phrase.replace("{name}", name).replace("{spdx}", spdx)
-            found.append({"regex": regex, "label": label, "key": key, "key2": key2, "priority": priority,
+            found.append({"regex": regex, "label": label, "key": key, "keys2": keys2, "priority": priority,
                           "confidence": confidence, "base": False})
     for label, regex, key, key2, priority, confidence in NOTICES:
-        found.append({"regex": regex, "label": label, "key": key, "key2": key2, "priority": priority,
+        found.append({"regex": regex, "label": label, "key": key, "keys2": (key2,), "priority": priority,
                       "confidence": confidence, "base": False})
     return tuple({"rule": i, **rule} for i, rule in enumerate(found))
 
@@ -139,5 +141,8 @@ def rules_json() -> str:
     return json.dumps([{**r, "regex": f"(?<= )(?:{r['regex']})(?= )"} for r in rules()])
 
 
-# A text without any of these holds no rule's keywords.
-GATES = ("licen", "copyright", "permission", "redistributions", "rights", "public domain", "warrant", "neither")
+@lru_cache
+def gates() -> tuple[str, ...]:
+    """A text without any of these holds no rule's keywords."""
+    words = {word for rule in rules() for word in rule["keys2"]}
+    return tuple(sorted(w for w in words if not any(other != w and other in w for other in words)))

@@ -19,14 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeline.llm.common import lower_ascii, whole
-from hazeline.llm.license_rules import GATES, rules_json
+from hazeline.llm.license_rules import gates, rules_json
 from hazeline.session import stage_table
 
 # Everything but digits, letters and non-ASCII code points, before lower-casing.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RULE_TYPE = (
-    "array<struct<rule int, regex string, label string, key string, key2 string, priority int, "
-    "confidence double, base boolean>>"
+    "array<struct<rule int, regex string, label string, key string, keys2 array<string>, "
+    "priority int, confidence double, base boolean>>"
 )
 PRIORITIES = (1, 2, 3, 4)
 
@@ -41,7 +41,7 @@ def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         F.col(key).alias("doc_id"), F.regexp_replace(whole(F.col(text)), BETWEEN_WORDS, " ").alias("raw")
     ).select("doc_id", F.btrim("raw").alias("flat"))
     low = F.lower("flat")
-    gate = reduce(lambda a, b: a | b, [F.contains(low, F.lit(word)) for word in GATES])
+    gate = reduce(lambda a, b: a | b, [F.contains(low, F.lit(word)) for word in gates()])
     rows = flat.select(
         F.monotonically_increasing_id().alias("row_id"),
         "doc_id",
@@ -56,7 +56,8 @@ def detections(rows: DataFrame) -> DataFrame:
     start and end count words from 0, end is exclusive."""
     listed = F.from_json(F.lit(rules_json()), RULE_TYPE)
     words = F.col("words")
-    open_rules = F.filter(listed, lambda r: F.contains(words, r["key"]) & F.contains(words, r["key2"]))
+    held = lambda keys: F.exists(keys, lambda k: F.contains(words, k))
+    open_rules = F.filter(listed, lambda r: F.contains(words, r["key"]) & held(r["keys2"]))
     tried = rows.filter(words.isNotNull()).select("row_id", "words", F.explode(open_rules).alias("r"))
     hits = tried.select(
         "row_id", "words", "r.*", F.regexp_extract_all("words", F.col("r.regex"), F.lit(0)).alias("matches")

@@ -310,6 +310,18 @@ def test_license_scan(docs, none):
     assert len(license_rules.rules()) > 300
 
 
+def test_license_phrases_pass_the_gate(spark):
+    texts = {
+        "This program is distributed under the GNU GPL version 2": "gpl-2.0", "released under the Apache 2.0": "apache-2.0",
+        "It is available under CC BY 4.0.": "cc-by", "Distributed under the terms of the zlib": "zlib", "under the sea": "",
+    }
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r["labels"] for r in sorted(got)] == list(texts.values())
+    assert [r["score"] for r in sorted(got)] == [0.9, 0.9, 0.9, 0.9, 0.0]
+    for rule in license_rules.rules():
+        assert all(any(gate in word for gate in license_rules.gates()) for word in rule["keys2"])
+
+
 def test_mixing(spark, docs, none):
     rows = mixing.mixed(docs, ["doc_id"]).select("rec.doc_id", "size", "source", "source_size", "target", "copies").collect()
     sizes = collections.Counter()
