@@ -1,15 +1,16 @@
 """Licence signatures: ordered regex rules over normalised words.
 
 A rule is a regex over a text's words joined by single blanks, with a priority, a label, a
-confidence, a keyword, and second keywords of which one must occur. The regex is tried only where
-both do, so every match of it must hold them. The second keywords of all rules are the gates: a text
-without any of them has no detection. The names below are written by hand; each is put into the
-phrases in which licences are declared.
+confidence and two lists of keywords. The regex is tried only where one keyword of each list occurs,
+so every match must hold one of each. The second lists of all rules are the gates: a text without
+any of them has no detection. The names below are written by hand; each is put into the phrases in
+which licences are declared.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 
 # The base phrases and their labels.
@@ -19,9 +20,9 @@ BASE_PHRASES = (
     ("general public license", "gpl"),
 )
 
-# Hand-written names: label, regex of the name in words, keyword, identifier in words.
+# Hand-written names: label, regex of the name in words, keyword or keywords, identifier in words.
 NAMES = (
-    ("mit", r"(?:mit|expat)(?: x11)?", "mit", r"mit"),
+    ("mit", r"(?:mit|expat)(?: x11)?", ("mit", "expat"), r"mit"),
     ("mit-0", r"mit (?:0|no attribution)", "mit", r"mit 0"),
     ("apache-1.1", r"apache(?: software)?(?: license)?(?: version| v)? ?1 1", "apache", r"apache 1 1"),
     ("apache-2.0", r"apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?", "apache", r"apache 2 0"),
@@ -34,7 +35,7 @@ NAMES = (
     ("lgpl-2.1", r"(?:gnu )?(?:lgpl|(?:lesser|library) general public license)(?: version| v)? ?2 1", "2 1", r"lgpl 2 1(?: only| or later)?"),
     ("lgpl-3.0", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version| v)? ?3(?: 0)?", "3", r"lgpl 3 0(?: only| or later)?"),
     ("agpl-3.0", r"(?:gnu )?(?:agpl|affero general public license)(?: version| v)?(?: ?3(?: 0)?)?", "a", r"agpl 3 0(?: only| or later)?"),
-    ("gfdl", r"(?:gnu )?(?:gfdl|free documentation license)", "free", r"gfdl 1 [123]"),
+    ("gfdl", r"(?:gnu )?(?:gfdl|free documentation license)", ("gfdl", "free"), r"gfdl 1 [123]"),
     ("bsd-0", r"(?:0bsd|zero clause bsd|bsd zero clause)", "bsd", r"0bsd"),
     ("bsd-2", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)", "bsd", r"bsd 2 clause"),
     ("bsd-3", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)", "bsd", r"bsd 3 clause"),
@@ -118,21 +119,29 @@ NOTICES = (
 )
 
 
+def first_words(spdx: str) -> tuple[str, ...]:
+    """First word of an identifier, or those of its alternatives."""
+    choice = re.match(r"\(\?:([^)]*)\)", spdx)
+    return tuple(choice[1].split("|")) if choice else (re.match(r"\w+", spdx)[0],)
+
+
 @lru_cache
 def rules() -> tuple[dict, ...]:
     """All rules in order; `base` rules are never suppressed."""
     found = [
-        {"regex": phrase, "label": label, "key": phrase.split()[0], "keys2": ("license",), "priority": 2,
+        {"regex": phrase, "label": label, "keys": (phrase.split()[0],), "keys2": ("license",), "priority": 2,
          "confidence": 0.75, "base": True}
         for phrase, label in BASE_PHRASES
     ]
-    for label, name, key, spdx in NAMES:
+    for label, name, keys, spdx in NAMES:
+        keys = (keys,) if isinstance(keys, str) else keys
         for phrase, keys2, priority, confidence in PHRASES:
             regex = phrase.replace("{name}", name).replace("{spdx}", spdx)
-            found.append({"regex": regex, "label": label, "key": key, "keys2": keys2, "priority": priority,
+            own = first_words(spdx) if "{spdx}" in phrase else keys
+            found.append({"regex": regex, "label": label, "keys": own, "keys2": keys2, "priority": priority,
                           "confidence": confidence, "base": False})
     for label, regex, key, key2, priority, confidence in NOTICES:
-        found.append({"regex": regex, "label": label, "key": key, "keys2": (key2,), "priority": priority,
+        found.append({"regex": regex, "label": label, "keys": (key,), "keys2": (key2,), "priority": priority,
                       "confidence": confidence, "base": False})
     return tuple({"rule": i, **rule} for i, rule in enumerate(found))
 

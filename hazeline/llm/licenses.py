@@ -1,7 +1,7 @@
 """Licence scan: ordered signature rules, in DataFrame operations only.
 
 Texts become lower-case words joined by single blanks. A text without any gate keyword is done.
-The others try the rules whose two keywords they hold; the places of a match follow from the words
+The others try the rules of whose two lists of keywords they hold one each; the places of a match follow from the words
 in the pieces between matches. Detections are then sorted by start: one that lies inside an
 earlier one of at least its own priority is suppressed, which running maxima of the ends decide in
 one pass. Base phrases are always kept.
@@ -25,8 +25,8 @@ from hazeline.session import stage_table
 # Everything but digits, letters and non-ASCII code points, before lower-casing.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RULE_TYPE = (
-    "array<struct<rule int, regex string, label string, key string, keys2 array<string>, "
-    "priority int, confidence double, base boolean>>"
+    "array<struct<rule int, regex string, label string, keys array<string>, "
+    "keys2 array<string>, priority int, confidence double, base boolean>>"
 )
 PRIORITIES = (1, 2, 3, 4)
 
@@ -57,7 +57,7 @@ def detections(rows: DataFrame) -> DataFrame:
     listed = F.from_json(F.lit(rules_json()), RULE_TYPE)
     words = F.col("words")
     held = lambda keys: F.exists(keys, lambda k: F.contains(words, k))
-    open_rules = F.filter(listed, lambda r: F.contains(words, r["key"]) & held(r["keys2"]))
+    open_rules = F.filter(listed, lambda r: held(r["keys2"]) & held(r["keys"]))
     tried = rows.filter(words.isNotNull()).select("row_id", "words", F.explode(open_rules).alias("r"))
     hits = tried.select(
         "row_id", "words", "r.*", F.regexp_extract_all("words", F.col("r.regex"), F.lit(0)).alias("matches")

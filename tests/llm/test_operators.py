@@ -322,6 +322,62 @@ def test_license_phrases_pass_the_gate(spark):
         assert all(any(gate in word for gate in license_rules.gates()) for word in rule["keys2"])
 
 
+def alternatives(parsed):
+    """Every text of a parsed rule, with the least and one more of each repeat; look-arounds are left out."""
+    texts = [""]
+    for kind, value in parsed:
+        if kind is re._constants.LITERAL:
+            found = [chr(value)]
+        elif kind is re._constants.BRANCH:
+            found = [t for part in value[1] for t in alternatives(part)]
+        elif kind is re._constants.SUBPATTERN:
+            found = alternatives(value[3])
+        elif kind is re._constants.MAX_REPEAT:
+            low, high, part = value
+            found = [t * n for n in range(low, min(high, low + 1) + 1) for t in alternatives(part)]
+        elif kind is re._constants.IN:
+            (what, entry), *rest = value
+            if what is re._constants.CATEGORY:
+                found = ["x" if entry is re._constants.CATEGORY_NOT_SPACE else "7"]
+            else:
+                found = [chr(c) for w, e in value for c in (range(e[0], e[1] + 1) if w is re._constants.RANGE else [e])]
+        else:
+            assert kind in (re._constants.ASSERT, re._constants.ASSERT_NOT), kind
+            found = [""]
+        texts = [t + f for t in texts for f in dict.fromkeys(found)]
+    return texts
+
+
+def test_license_rules_pass_their_own_prefilter(spark):
+    cases, without = [], []
+    for rule in license_rules.rules():
+        regex = re.compile(f"(?<= )(?:{rule['regex']})(?= )")
+        found = []
+        for text in alternatives(re._parser.parse(rule["regex"])):
+            # the fifth phrase looks ahead for the word that makes its name a licence
+            found += [t for t in (f" {text} ", f" {text} license ") if regex.search(t)][:1]
+        for text in found:
+            assert any(k in text for k in rule["keys"]) and any(k in text for k in rule["keys2"]), (rule["rule"], text)
+            assert any(gate in text for gate in license_rules.gates())
+        cases += [(rule["rule"], text) for text in sorted(found, key=len)[:1]]
+        without += [] if found else [rule]
+    # only names that end in a digit can follow the fifth phrase
+    assert all(r["regex"].endswith(r"(?<=\d)") for r in without)
+    assert len(cases) + len(without) == len(license_rules.rules())
+    rows = licenses.scanned(spark.createDataFrame(cases, "doc_id long, text string"))
+    hits = licenses.detections(rows).join(rows, "row_id").select("doc_id", "rule").distinct().collect()
+    assert {rule for rule, _ in cases} == {r["doc_id"] for r in hits if r["doc_id"] == r["rule"]}
+
+
+def test_license_identifiers_and_short_names(spark):
+    texts = {
+        "SPDX-License-Identifier: BSL-1.0": "boost-1.0", "SPDX-License-Identifier: OFL-1.1": "ofl-1.1",
+        "Expat License": "mit", "licensed under the GFDL": "gfdl", "https://opensource.org/license/mit": "mit",
+    }
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r["labels"] for r in sorted(got)] == list(texts.values())
+
+
 def test_mixing(spark, docs, none):
     rows = mixing.mixed(docs, ["doc_id"]).select("rec.doc_id", "size", "source", "source_size", "target", "copies").collect()
     sizes = collections.Counter()
