@@ -15,7 +15,7 @@ from hazeline.session import stage_table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.keep_good(docs)
+    return quality_rules.clean_good(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

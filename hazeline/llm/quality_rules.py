@@ -6,8 +6,10 @@ blanks) and hashed; a line's frequency is the number of distinct texts of its ho
 that carry it, so exact copies count once. Lines above both limits (a number of texts and a share
 of the host's texts) are boilerplate and are removed; a document of which too small a share of
 words is left is depleted and rejected. Repeated lines count once in that share, and the line of
-one text per line (the smallest digest) is left in place, so that a passage never vanishes
-altogether.
+one text per line (the smallest digest) is left in place, so that a passage does not vanish with
+its copies; the owner is chosen among all texts, also those that are then rejected. `judged` and
+`keep_good` give the verdicts, `clean_good` also cuts the lines from the texts that stay. The base
+rules look at the text before the cut.
 
 The verdict depends on host and text alone, so copies and rows that repeat an id share it. Null
 text is empty and fails the base rules. Null hosts are one host. A line may be in a third of all
@@ -131,20 +133,38 @@ def frequent_lines(
     return above.filter(F.col("n_texts") > max_share * F.col("host_texts")).select("host", "line", "n_texts", "owner")
 
 
-def depleted_pages(rows: DataFrame, min_left: float = MIN_LEFT_SHARE, **limits) -> DataFrame:
-    """(host, page, kept_share) of the texts that removal of frequent lines depletes."""
+def cut_pages(rows: DataFrame, **limits) -> DataFrame:
+    """(host, page, kept_share, gone) of the texts that lose frequent lines; `gone` has the lines' hashes."""
     lines = rows.select("host", "page", F.explode("lines").alias("l")).select("host", "page", "l.line", "l.words")
     seen = stage_table(lines.groupBy("host", "line", "page").agg(F.max("words").alias("words")), "line-occurrences")
     frequent = stage_table(frequent_lines(seen, **limits), "frequent-lines")
     found = seen.join(frequent, ["host", "line"], "left")
     gone = F.col("owner").isNotNull() & (F.col("owner") != F.col("page"))
     left = found.groupBy("host", "page").agg(
-        F.sum("words").alias("all_words"), F.sum(F.when(gone, F.col("words")).otherwise(0)).alias("gone_words")
+        F.sum("words").alias("all_words"), F.sum(F.when(gone, F.col("words")).otherwise(0)).alias("gone_words"),
+        F.collect_list(F.when(gone, F.col("line"))).alias("gone"),
     )
     share = 1 - F.col("gone_words") / F.col("all_words")
-    return left.filter(F.col("gone_words") > 0).select("host", "page", share.alias("kept_share")).filter(
-        F.col("kept_share") < min_left
+    return left.filter(F.col("gone_words") > 0).select("host", "page", share.alias("kept_share"), "gone")
+
+
+def depleted_pages(rows: DataFrame, min_left: float = MIN_LEFT_SHARE, **limits) -> DataFrame:
+    """(host, page, kept_share) of the texts that removal of frequent lines depletes."""
+    return cut_pages(rows, **limits).filter(F.col("kept_share") < min_left).select("host", "page", "kept_share")
+
+
+def without_lines(text: Column, gone: Column) -> Column:
+    """`text` without the lines whose hash is in `gone`.
+
+    The hashes are dealt to as many buckets as the square root of their number, so that a text of
+    many lines does not search all of them for each line.
+    """
+    n = F.ceil(F.sqrt(F.size(gone))).cast("int")
+    buckets = F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.filter(gone, lambda h: F.pmod(h, n) == b))
+    stays = lambda at: lambda line: (F.btrim(line, F.lit(WHITE)) == "") | ~let(
+        line_entry(line)["line"], lambda h: F.array_contains(F.get(at, F.pmod(h, n).cast("int")), h)
     )
+    return F.array_join(let(buckets, lambda at: F.filter(F.split(text, "\n", -1), stays(at))), "\n")
 
 
 def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", **limits) -> DataFrame:
@@ -159,14 +179,51 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
     )
 
 
+def page_key(page: Column, host: Column) -> Column:
+    return F.concat(page, host.cast("binary"))
+
+
+def with_own_key(docs: DataFrame, text: str, host: str) -> DataFrame:
+    """(rec, _own_key): the whole row and the key of its text and host."""
+    host_ = F.coalesce(F.concat(F.lit("="), F.col(f"rec.`{host}`").cast("string")), F.lit(""))
+    page = F.unhex(F.md5(whole(F.col(f"rec.`{text}`")).cast("binary")))
+    return docs.select(F.struct("*").alias("rec")).select("rec", page_key(page, host_).alias("_own_key"))
+
+
 def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", **limits) -> DataFrame:
     """`docs` without rejected rows; the rest keeps its columns and whole texts."""
     rows = stage_table(features(docs, key, text, host), "quality-features")
     failed = rows.filter("base_failed").select("host", "page")
     lost = failed.unionByName(depleted_pages(rows, **limits).select("host", "page")).distinct()
-    lost = lost.select(F.concat(F.col("page"), F.col("host").cast("binary")).alias("_lost_key"))
-    host_ = F.coalesce(F.concat(F.lit("="), F.col(f"rec.`{host}`").cast("string")), F.lit(""))
-    page = F.unhex(F.md5(whole(F.col(f"rec.`{text}`")).cast("binary")))
-    own = F.concat(page, host_.cast("binary"))
-    left = docs.select(F.struct("*").alias("rec")).select("rec", own.alias("_own_key"))
-    return left.join(stage_table(lost, "rejected-pages"), F.col("_own_key") == F.col("_lost_key"), "left_anti").select("rec.*")
+    lost = stage_table(lost.select(page_key(F.col("page"), F.col("host")).alias("_lost_key")), "rejected-pages")
+    left = with_own_key(docs, text, host)
+    return left.join(lost, F.col("_own_key") == F.col("_lost_key"), "left_anti").select("rec.*")
+
+
+def clean_good(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
+    min_left: float = MIN_LEFT_SHARE, **limits,
+) -> DataFrame:
+    """`docs` without rejected rows and, in the rest, without frequent lines.
+
+    The rows are those of `keep_good`. Texts without frequent lines and the owners of such lines
+    stay as they are; so do all other columns, also lengths that were taken from the whole text.
+    """
+    rows = stage_table(features(docs, key, text, host), "quality-features")
+    none = F.array().cast("array<bigint>")
+    failed = rows.filter("base_failed").select("host", "page").distinct()
+    failed = failed.select("host", "page", F.lit(True).alias("lost"), none.alias("gone"))
+    depleted = F.col("kept_share") < min_left
+    cut = cut_pages(rows, **limits).select(
+        "host", "page", depleted.alias("lost"), F.when(depleted, none).otherwise(F.col("gone")).alias("gone")
+    )
+    pages = failed.unionByName(cut).groupBy("host", "page").agg(
+        F.max("lost").alias("_lost"), F.flatten(F.collect_list("gone")).alias("_gone")
+    )
+    marks = pages.select(page_key(F.col("page"), F.col("host")).alias("_mark_key"), "_lost", "_gone")
+    left = with_own_key(docs, text, host)
+    found = left.join(stage_table(marks, "page-marks"), F.col("_own_key") == F.col("_mark_key"), "left")
+    name = f"`{text}`"
+    shorter = F.col("rec").withField(name, without_lines(F.col(f"rec.{name}"), F.col("_gone")))
+    kept = found.filter(~F.coalesce("_lost", F.lit(False)))
+    return kept.select(F.when(F.size("_gone") > 0, shorter).otherwise(F.col("rec")).alias("rec")).select("rec.*")

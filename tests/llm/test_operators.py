@@ -260,6 +260,35 @@ def test_frequent_lines_deplete(spark):
         assert got[doc_id]["kept"] == (share >= 0.3 and len(words_of(text)) >= 20), doc_id
 
 
+def test_frequent_lines_are_cut_from_kept_texts(spark, none):
+    head, foot = "Site  HEADER of this host", "foot line of\tthis host"
+    bodies = [sentence(400 + i, 40) for i in range(30)]
+    rows = [(i, "\n".join([head if i % 2 else head.lower(), "", body, head, foot]), "a") for i, body in enumerate(bodies)]
+    rows += [(100, rows[3][1], "a"), (101, rows[3][1], "b"), (102, sentence(500, 30) + "\r\n \n", "a"), (103, None, "a")]
+    rows += [(104 + i, f"{head}\n{foot}\n{sentence(600 + i, 16)}", None) for i in range(25)]  # copies without a host
+    rows += [(200 + i, "\n".join([sentence(700, 200), foot, sentence(701 + i, 5)]), "c") for i in range(25)]  # depleted
+    rows += [(300, "\n".join(sentence(k, 2) for k in range(800, 1100)), "d")]
+    rows += [(301 + i, f"{rows[-1][1]}\n{sentence(1200 + i, 900)}", "d") for i in range(25)]  # many frequent lines
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    md5 = lambda t: __import__("hashlib").md5(t.encode()).hexdigest()
+    plain = lambda line: " ".join(words_of(line)).lower()
+    pages = {(host, text or "") for _, text, host in rows}
+    on = collections.defaultdict(list)
+    for host, text in pages:
+        for line in {plain(x) for x in text.split("\n")} - {""}:
+            on[host, line].append(md5(text))
+    owner = {k: min(v) for k, v in on.items() if len(v) > 20}
+    cut = lambda host, t: "\n".join(x for x in t.split("\n") if owner.get((host, plain(x)), md5(t)) == md5(t))
+    kept = {r["doc_id"] for r in quality_rules.keep_good(docs).collect()}
+    got = quality_rules.clean_good(docs)
+    assert got.columns == docs.columns
+    assert table_of(got) == sorted([(i, cut(h, t), h) for i, t, h in rows if i in kept], key=repr)
+    texts = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert sum(t != s for i, s, _ in rows if (t := texts.get(i)) is not None) > 60 and len(kept) < len(rows) - 20
+    assert table_of(corpus_pipeline.quality(spark, docs, "")) == table_of(got)
+    assert quality_rules.clean_good(none).count() == 0
+
+
 def test_piece_coding(docs, none):
     model = public_tokenizers.path(PIECE_MODEL)
     coder = pieces.PieceCoder(model)
