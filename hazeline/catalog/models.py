@@ -207,6 +207,35 @@ def fit_gbt(spark, sf_dir):
     return tree_metrics(spark, sf_dir, fit.fit_gbt, "boosted", maxIter=10, maxDepth=3, stepSize=0.1)
 
 
+def tree_search(spark, sf_dir, learn, name, options):
+    """Full grid of a tree learner over three time folds of each station's training hours.
+
+    One row per station and setting; the first rank also has the errors of its refit on the test hours.
+    """
+    rows = stage_table(split_features(spark, sf_dir), "split-features")
+    blocked = stage_table(model.time_folds(rows.filter(F.col("split") == "train"), 3), "folds")
+    stations = [r["station"] for r in blocked.select("station").distinct().orderBy("station").collect()]
+    inputs, target, result = list(features.HOURLY_FEATURES), features.HOURLY_TARGET, None
+    for station in stations:
+        own = F.col("station") == station
+        found, best = fit.time_series_grid_search(blocked.filter(own), inputs, target, learn, options)
+        test = fit.predict_trees(best, rows.filter(own & (F.col("split") == "test")), inputs, target)
+        errors = regression_metrics(test.withColumnRenamed(target, "actual")).withColumn("rank", F.lit(1))
+        part = found.withColumns({"station": F.lit(station), "model": F.lit(name)}).join(errors, ["station", "rank"], "left")
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+@query("l6_forest_grid_search")
+def forest_grid_search(spark, sf_dir):
+    return tree_search(spark, sf_dir, fit.fit_forest, "forest", fit.HOURLY_FOREST_GRID)
+
+
+@query("l7_gbt_grid_search")
+def gbt_grid_search(spark, sf_dir):
+    return tree_search(spark, sf_dir, fit.fit_gbt, "boosted", fit.HOURLY_BOOST_GRID)
+
+
 @query("l8_ridge_grid_search")
 def ridge_grid_search(spark, sf_dir):
     train, _ = train_and_test(daily_features(spark, sf_dir))
