@@ -40,18 +40,24 @@ def open_index(spark: SparkSession, path: str, buckets: int = BUCKETS) -> str:
     """Name of the index table at `path`; creates it empty where there is none."""
     name = f"digest_index_{hashlib.md5(path.encode()).hexdigest()}"
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} (digest BINARY, keep_id BIGINT, keep_row BIGINT) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {name} (digest BINARY, keep_id BIGINT, keep_row BIGINT, delivery STRING) USING parquet "
         f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
     )
     return name
 
 
-def add_delivery(spark: SparkSession, path: str, rows: DataFrame, buckets: int = BUCKETS) -> None:
-    """Append the digests of `rows` (from `digests`) that the index does not hold yet."""
+def add_delivery(
+    spark: SparkSession, path: str, rows: DataFrame, buckets: int = BUCKETS, delivery: str = ""
+) -> None:
+    """Append the digests of `rows` (from `digests`) that the index does not hold yet.
+
+    Row ids restart in each staged delivery, so `keep_row` holds together with `delivery` only.
+    """
     name = open_index(spark, path, buckets)
     best = F.max(F.struct("doc_id", "row_id"))
     groups = rows.groupBy("digest").agg(best.alias("best")).select(
-        "digest", F.col("best.doc_id").alias("keep_id"), F.col("best.row_id").alias("keep_row")
+        "digest", F.col("best.doc_id").alias("keep_id"), F.col("best.row_id").alias("keep_row"),
+        F.lit(delivery).alias("delivery"),
     )
     known = spark.table(name).select("digest").hint("merge")
     fresh = groups.join(known, "digest", "left_anti").repartition(buckets, "digest")
@@ -62,7 +68,7 @@ def add_delivery(spark: SparkSession, path: str, rows: DataFrame, buckets: int =
 
 
 def resolve(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
-    """(row_id, doc_id, digest, keep_id, keep_row, group_size) for every row of `rows`.
+    """(row_id, doc_id, digest, keep_id, keep_row, delivery, group_size) for every row of `rows`.
 
     The groups are staged, so that both sides of the last join are shuffled for it and a group
     with a third of all rows can be split.
@@ -97,12 +103,23 @@ def deduplicated(docs: DataFrame, deliveries: int = 2) -> DataFrame:
     )
 
 
-def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` without the rows that the index does not keep; all columns stay as they are."""
-    spark, path = docs.sparkSession, work_dir(docs.sparkSession, "digest-index")
+def drop_copies(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, delivery: str = ""
+) -> DataFrame:
+    """`docs` without the rows that the index does not keep; all columns stay as they are.
+
+    With `path`, the index there is used and extended: rows whose text an earlier delivery holds are
+    dropped too. `delivery` then names this one; a run again under its name gives the same rows.
+    Without `path` the index is new.
+    """
+    if path is not None and not delivery:
+        raise ValueError("a delivery to an existing index needs a name")
+    spark = docs.sparkSession
+    path = path or work_dir(spark, "digest-index")
     rows = digests(docs, key, text)
-    add_delivery(spark, path, rows)
-    lost = resolve(spark, path, rows).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    add_delivery(spark, path, rows, delivery=delivery)
+    kept = (F.col("delivery") == delivery) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    lost = resolve(spark, path, rows).filter(~kept)
     lost = lost.select(F.concat("digest", id_text(F.col("doc_id")).cast("binary")).alias("_lost_key")).distinct()
     own = F.concat(
         text_digest(lower_ascii(whole(F.col(f"rec.`{text}`")))),

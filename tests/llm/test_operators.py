@@ -198,6 +198,18 @@ def test_digest_index_is_persistent(spark, docs):
     assert "Exchange" not in plan  # the buckets replace the shuffle
 
 
+def test_later_delivery_is_filtered_by_the_index(spark, tmp_path):
+    schema, path = "doc_id long, text string", str(tmp_path / "deliveries")
+    first = spark.createDataFrame([(1, "one text"), (2, "One Text"), (3, "second")], schema)
+    later = spark.createDataFrame([(2, "one text"), (3, "SECOND"), (4, "third"), (None, "third"), (9, None)], schema)
+    with pytest.raises(ValueError):
+        exact.drop_copies(first, path=path)
+    for _ in range(2):  # a delivery that is run again keeps the same rows
+        assert table_of(exact.drop_copies(first, path=path, delivery="a")) == [(2, "One Text"), (3, "second")]
+        assert table_of(exact.drop_copies(later, path=path, delivery="b")) == [(4, "third"), (9, None)]
+    assert exact.drop_copies(later).count() == 4  # a new index knows no earlier delivery
+
+
 def pages_and_documents(spark):
     texts = {"en": "the cat and the dog with this thing ", "fr": "le chat et le chien avec cette chose "}
     rows = [(i, texts[lang] * 5, lang) for i, lang in enumerate(["en", "fr"] * 4)] + [(9, None, "en"), (10, "x", None)]
