@@ -7,7 +7,10 @@ other code points.
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +65,14 @@ def id_text(doc_id: Column) -> Column:
 def held_out(doc_id: Column, modulus: int, rest: int) -> Column:
     """Whether crc32 of the id as text leaves `rest`."""
     return F.crc32(id_text(doc_id)) % modulus == rest
+
+
+def text_slices(texts, limit: int) -> Iterator[tuple[int, list[str]]]:
+    """(start, texts) in runs of about `limit` UTF-8 bytes or one longer text, so that the Python
+    copies of a large Arrow batch never exist at once."""
+    total = np.cumsum(np.concatenate([[0], pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)]))
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(total, total[start] + limit, side="right")) - 1)
+        yield start, texts.slice(start, stop - start).to_pylist()
+        start = stop

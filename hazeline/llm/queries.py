@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.llm import (
-    exact, language, language_model, licenses, mixing, pieces, quality_rules, rule_ensemble, simhash, wavelet,
+    exact, language, language_model, licenses, mixing, packing, pieces, quality_rules, rule_ensemble, simhash,
+    wavelet,
 )
 from hazeline.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
@@ -60,6 +62,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placements, _ = packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER))
+    return placements.select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
     "op2_recurrent_lm": op2_recurrent_lm,
@@ -71,6 +80,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash": op10_simhash,
+    "op11_packing": op11_packing,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

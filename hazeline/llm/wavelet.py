@@ -18,8 +18,6 @@ doc_id with null first, rows that repeat an id by their text. An empty table has
 from __future__ import annotations
 
 import json
-import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,6 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hazeline.llm import bpe
 from hazeline.llm.common import whole
 from hazeline.session import stage_table, work_dir
 
@@ -38,10 +37,6 @@ SHARD_TOKENS = 1 << 18
 BLOCK = 512
 END_ID = 1
 BATCH_DOCS = 256
-CACHE_WORDS = 1_000_000
-WHITE_RUN = re.compile("[ \t\n\x0b\x0c\r]+")
-# `str.split` also splits at these, the tokenizer does not
-SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 class WaveletMatrix:
@@ -167,79 +162,6 @@ def open_shard(payload: bytes) -> tuple[WaveletMatrix, dict, np.ndarray]:
     return matrix, header, parts[1].view(np.uint64)
 
 
-class WordEncoder:
-    """The tokenizer over whole texts, each distinct word encoded once while the cache has room.
-
-    Words end at white space and a run of trailing stops is a word of its own. The tokenizer drops
-    white space before merging and never merges letters or digits with other signs, so the ids of
-    a text are those of its words in order. Words of letters only are encoded many at a time and
-    told apart by the word ends of the vocabulary.
-    """
-
-    STOPS = ".,!?;:"
-    JOINED = 256
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.word_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-
-    def _batch(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=np.uint32) for e in found]
-
-    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        letters = [p for p in pieces if p.isalpha()]
-        others = [p for p in pieces if not p.isalpha()]
-        made = {p: ids.astype("<u2").tobytes() for p, ids in zip(others, self._batch(others))}
-        groups = [letters[i : i + self.JOINED] for i in range(0, len(letters), self.JOINED)]
-        for group, ids in zip(groups, self._batch([" ".join(g) for g in groups])):
-            ends = (2 * np.flatnonzero(self.word_end[ids]) + 2).tolist()
-            if len(ends) == len(group):
-                data, start = ids.astype("<u2").tobytes(), 0
-                for piece, end in zip(group, ends):
-                    made[piece], start = data[start:end], end
-            else:  # some letters fall apart into several words
-                made.update({p: i.astype("<u2").tobytes() for p, i in zip(group, self._batch(group))})
-        return made
-
-    def _word(self, word: str) -> tuple[str, ...]:
-        core = word.rstrip(self.STOPS)
-        if core != word and core and core[-1].isalnum():
-            return core, word[len(core) :]
-        return (word,)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [WHITE_RUN.split(t) if SEPARATORS.search(t) else t.split() for t in texts]
-        known = self.known
-        missing = {w for words in split for w in words if w not in known}
-        if len(known) + len(missing) > CACHE_WORDS:
-            known.clear()
-            missing = {w for words in split for w in words}
-        if missing:
-            pieces = {w: self._word(w.lower() if w.isascii() else w) for w in missing}
-            new = list({p for parts in pieces.values() for p in parts if p not in known})
-            made = self._pieces(new)
-            for word, parts in pieces.items():
-                known[word] = b"".join([made[p] if p in made else known[p] for p in parts])
-        return [b"".join([known[w] for w in words]) for words in split]
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker, so its cache serves all tasks of the worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
-
-
 def build_shards(
     docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", partitions: int | None = None
 ) -> DataFrame:
@@ -252,14 +174,14 @@ def build_shards(
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, words = TaskContext.get().partitionId(), encoder(tokenizer)
-        end, state = np.array([END_ID], dtype="<u2").tobytes(), {"shard": 0, "first": 0}
+        part, coder = TaskContext.get().partitionId(), bpe.encoder(tokenizer)
+        state = {"shard": 0, "first": 0}
         ids, chunks, held = [], [], 0
 
         def close() -> pa.RecordBatch:
             nonlocal ids, chunks, held
-            lengths = np.array([len(c) // 2 for c in chunks], dtype=np.uint64)
-            tokens = np.frombuffer(b"".join(chunks), dtype="<u2")
+            lengths = np.array([len(c) for c in chunks], dtype=np.uint64)
+            tokens = np.concatenate(chunks)
             payload = pack_shard(ids, lengths, tokens, state["first"])
             row = pa.RecordBatch.from_pydict(
                 {"part": [part], "shard": [state["shard"]], "first": [state["first"]], "n_tokens": [len(tokens)],
@@ -274,11 +196,11 @@ def build_shards(
         for batch in batches:
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             for start in range(0, len(keys), BATCH_DOCS):
-                encoded = words.encode(texts.slice(start, BATCH_DOCS).to_pylist())
+                encoded = coder.encode(texts.slice(start, BATCH_DOCS).to_pylist())
                 for doc_id, chunk in zip(keys[start : start + BATCH_DOCS], encoded):
                     ids.append(doc_id)
-                    chunks.append(chunk + end)
-                    held += len(chunk) // 2 + 1
+                    chunks.append(np.array([*chunk, END_ID], dtype=np.uint32))
+                    held += len(chunk) + 1
                     if held >= SHARD_TOKENS:
                         yield close()
         if ids:

@@ -88,17 +88,6 @@ def test_token_shards_round_trip(spark, docs, none):
     assert wavelet.encoded_documents(none, path).count() == 0
 
 
-def test_word_cache_equals_whole_texts():
-    from tokenizers import Tokenizer
-
-    path = public_tokenizers.path(WORD_TOKENIZER)
-    whole, words = Tokenizer.from_file(path), wavelet.WordEncoder(path)
-    odd = ["It's we're,. don't!!!", "ÉCOLE ﬁ İstanbul ΣΑΣ", "1234 ... <|endoftext|> a.", "x\x1cq\x85r", "H̱ é. ½. ①!",
-           "日本語。 テスト…… ..a", "'s 't 're. x's. y'LL!", "▁ a­b"]
-    for text in odd:
-        assert np.frombuffer(words.encode([text])[0], "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
-
-
 def test_token_occurrences(spark, docs):
     from hazeline.session import work_dir
 
