@@ -58,6 +58,14 @@ def young_signs() -> re.Pattern:
     return re.compile(f"[{''.join(ranges)}]")
 
 
+def low_cutter():
+    """`WORD_PATTERN` for signs below 256, spelled out for the faster of the two pattern engines."""
+    signs = [chr(i) for i in range(256)]
+    kinds = {k: re.escape("".join(c for c in signs if regex.match(rf"\{k}", c))) for k in ("s", "p{L}", "p{N}")}
+    letters, digits, blank = kinds["p{L}"], kinds["p{N}"], kinds["s"]
+    return re.compile(rf"[{letters}]+|[{digits}]|'(?:[stmd]|re|ve|ll)|[^{blank}{letters}{digits}]+").findall
+
+
 class Encoder:
     """`encode(texts)`: the ids of each text. `special`: whether special tokens written out in a
     text are encoded as such, the library's default, or as plain text."""
@@ -87,7 +95,7 @@ class Encoder:
             raise ValueError("ids do not follow the order of the merges")
         pattern = "[^\0]+\0" if self.word_ends else BYTE_PATTERN
         self.merge = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.cut = regex.compile(WORD_PATTERN).findall
+        self.cut, self.cut_low = regex.compile(WORD_PATTERN).findall, low_cutter()
         self.young = young_signs().search if self.word_ends else None
         self.blank = regex.compile(r"\s{%d}" % LONG_BLANK).search
 
@@ -100,11 +108,12 @@ class Encoder:
             return None
         if not self.word_ends:
             return None if len(text) >= LONG_BLANK and self.blank(text) else text
-        if "\0" in text or not settled(text) and (
+        low = settled(text)
+        if "\0" in text or not low and (
             "Σ" in text or self.young(text) or not unicodedata.is_normalized("NFC", text)
         ):
             return None
-        words = self.cut(text.lower())
+        words = (self.cut_low if low else self.cut)(text.lower())
         return "\0".join(words) + "\0" if words else ""
 
     def encode(self, texts: list[str]) -> list[list[int]]:

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.llm import (
-    exact, language, language_model, licenses, mixing, packing, pieces, quality_rules, rule_ensemble, simhash,
-    wavelet,
+    alignment, collocations, exact, language, language_model, licenses, mixing, packing, pieces, quality_rules,
+    rule_ensemble, simhash, wavelet,
 )
 from hazeline.llm.common import table
 
@@ -69,6 +69,16 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_level, piece_model = public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_MODEL)
+    measures, _ = alignment.aligned(table(spark, sf_dir, "documents"), byte_level, piece_model)
+    return measures
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
     "op2_recurrent_lm": op2_recurrent_lm,
@@ -81,6 +91,8 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash": op10_simhash,
     "op11_packing": op11_packing,
+    "op12_alignment": op12_alignment,
+    "op13_collocations": op13_collocations,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -182,4 +194,60 @@ SELECT doc_id, size, source_size, target,
 FROM rated
 """
 
-ORACLES = {"op3_exact_dedup": OP3_SQL, "op5_quality_rules": OP5_SQL, "op8_source_mix": OP8_SQL}
+_SIZES = range(2, collocations.MAX_WORDS + 1)
+_PLAIN_UNION = " UNION ALL ".join(
+    f"SELECT lang, {n} AS m, phrase{n} AS phrase, count(*) AS a FROM spans WHERE phrase{n} IS NOT NULL GROUP BY ALL"
+    for n in range(1, collocations.MAX_WORDS + 1)
+)
+_SPANS = ", ".join(
+    "word || ' ' || " + " || ' ' || ".join(f"lead(word, {k}) OVER o" for k in range(1, n)) + f" AS phrase{n}"
+    for n in _SIZES
+)
+
+OP13_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, {_LOWER} AS text FROM documents
+), cut AS (
+  SELECT row, lang, unnest(regexp_split_to_array(text, '[.,;:!?
+-]')) AS piece,
+         generate_subscripts(regexp_split_to_array(text, '[.,;:!?
+-]'), 1) AS number
+  FROM docs
+), words AS (
+  SELECT row, lang, number, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+  FROM (SELECT row, lang, number, regexp_extract_all(piece, '[^ 	]+') AS w FROM cut)
+), spans AS (
+  SELECT lang, word AS phrase1, {_SPANS} FROM words WINDOW o AS (PARTITION BY row, number ORDER BY pos)
+), counts AS ({_PLAIN_UNION}),
+frequent AS (SELECT * FROM counts WHERE a >= {collocations.MIN_COUNT}),
+totals AS (SELECT lang, sum(a)::HUGEINT AS n FROM counts WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT * FROM frequent WHERE m > 1),
+inner_phrases AS (
+  SELECT lang, a, array_to_string(list_slice(string_split(phrase, ' '), i, j), ' ') AS phrase
+  FROM candidates, range(1, {collocations.MAX_WORDS + 1}) x(i), range(1, {collocations.MAX_WORDS + 1}) y(j)
+  WHERE j > i AND j <= m AND j - i + 1 < m
+), absorbed AS (
+  SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN inner_phrases p ON c.lang = p.lang AND c.phrase = p.phrase
+  WHERE 100 * p.a >= 100 * c.a
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(list_slice(string_split(phrase, ' '), 1, k), ' ') AS first,
+         array_to_string(list_slice(string_split(phrase, ' '), k + 1, m), ' ') AS rest
+  FROM candidates, range(1, {collocations.MAX_WORDS}) x(k) WHERE k < m
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, k, f.a AS l, r.a AS r, n,
+         (1000::HUGEINT * c.a * n // (f.a::HUGEINT * r.a::HUGEINT))::BIGINT AS score
+  FROM cuts c JOIN counts f ON f.lang = c.lang AND f.phrase = c.first JOIN counts r ON r.lang = c.lang AND r.phrase = c.rest
+  JOIN totals t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM scored ANTI JOIN absorbed USING (lang, phrase)
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n::BIGINT AS n, score
+FROM lowest
+QUALIFY rank <= {collocations.TOP}
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+"""
+
+ORACLES = {
+    "op3_exact_dedup": OP3_SQL, "op5_quality_rules": OP5_SQL, "op8_source_mix": OP8_SQL, "op13_collocations": OP13_SQL,
+}
