@@ -209,9 +209,11 @@ WITH docs AS (
   SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, {_LOWER} AS text FROM documents
 ), cut AS (
   SELECT row, lang, unnest(regexp_split_to_array(text, '[.,;:!?
--]')) AS piece,
+-
+]')) AS piece,
          generate_subscripts(regexp_split_to_array(text, '[.,;:!?
--]'), 1) AS number
+-
+]'), 1) AS number
   FROM docs
 ), words AS (
   SELECT row, lang, number, unnest(w) AS word, generate_subscripts(w, 1) AS pos
@@ -244,8 +246,8 @@ inner_phrases AS (
 )
 SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n::BIGINT AS n, score
 FROM lowest
-QUALIFY rank <= {collocations.TOP}
 WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY rank <= {collocations.TOP}
 """
 
 ORACLES = {
