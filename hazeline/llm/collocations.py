@@ -42,7 +42,7 @@ from hazeline.session import stage_table
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 CUT = bytes.maketrans(PIECE_ENDS + b"\t", b"\n" * len(PIECE_ENDS) + b" ")
-BLOCK_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 23
 SLICE_BYTES = 1 << 20
 MAX_WORDS = 5
 MIN_COUNT = 100
