@@ -11,8 +11,8 @@ frequent, so nothing is lost, and each relation is stored before the next one.
 A relation is kept in blocks of consecutive texts, one row per block of about `BLOCK_BYTES` of text:
 the sorted places and, for each, the number of its group among the block's own groups. Only
 these distinct groups with their counts are shuffled, to be summed over the corpus; the frequent ones
-return to their blocks by a join. A word or phrase in a third of all texts is thus one row per
-block, and the largest thing that a task holds is a block or a longer text.
+return to their blocks by a join on the block. A word or phrase in a third of all texts is thus one
+row per block, and the largest thing that a task holds is a block or a longer text.
 
 A phrase is then cut after each of its words; the cut with the lowest score
 floor(1000 * a * n / (l * r)) counts, the earliest of equal ones, in exact decimals. A phrase is dropped
@@ -149,17 +149,17 @@ def longer(blocks: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def counted(blocks: DataFrame, *names: str) -> DataFrame:
-    """(names, a): the groups of all blocks with their corpus counts."""
-    listed = blocks.select(F.explode(F.arrays_zip(*names, "times")).alias("g")).select("g.*")
-    return listed.groupBy(*names).agg(F.sum("times").alias("a"))
+def frequent_groups(blocks: DataFrame, min_count: int, *names: str) -> DataFrame:
+    """(of_block, at, gid, own, names, a), stored: the blocks' groups that are frequent in the corpus.
 
-
-def returned(blocks: DataFrame, frequent: DataFrame, *names: str) -> DataFrame:
-    """(of_block, at, gid): which of each block's groups are frequent."""
-    listed = blocks.select(F.col("block").alias("of_block"), F.posexplode(F.arrays_zip(*names)).alias("at", "g"))
-    listed = listed.select("of_block", "at", "g.*")
-    return listed.join(frequent.select(*names, "gid"), list(names)).select("of_block", "at", "gid")
+    One shuffle on the group counts it and lets its rows stay or go. A group has one row per block, so
+    none holds more than a sliver of the rows. `gid` is the least `own` of a group's rows.
+    """
+    listed = blocks.select(F.col("block").alias("of_block"), F.posexplode(F.arrays_zip(*names, "times")).alias("at", "g"))
+    rows = listed.select("of_block", "at", "g.*", F.monotonically_increasing_id().alias("own"))
+    same = Window.partitionBy(*names)
+    counted = rows.select("*", F.sum("times").over(same).alias("a"), F.min("own").over(same).alias("gid"))
+    return stage_table(counted.filter(F.col("a") >= min_count).drop("times"), "frequent-groups")
 
 
 def frequent_phrases(
@@ -169,23 +169,20 @@ def frequent_phrases(
     (lang, phrase, a, gid) of the frequent phrases, from the second on with `left` and `right`, the
     gids of the phrase without its last and its first word."""
     blocks = word_blocks(docs, text, lang)
-    words = stage_table(counted(blocks, "lang", "word"), "word-counts")
-    totals = stage_table(words.groupBy("lang").agg(F.sum("a").alias("n")), "word-totals")
-    numbered = lambda df: df.withColumn("gid", F.monotonically_increasing_id())
-    level = stage_table(numbered(words.filter(F.col("a") >= min_count)), "frequent-words")
-    levels = [level.select("lang", F.col("word").alias("phrase"), "a", "gid")]
-    found = returned(blocks, level, "lang", "word")
+    listed = blocks.select(F.explode(F.arrays_zip("lang", "times")).alias("g")).select("g.*")
+    totals = stage_table(listed.groupBy("lang").agg(F.sum("times").alias("n")), "word-totals")
+    once = F.col("own") == F.col("gid")
+    found = frequent_groups(blocks, min_count, "lang", "word")
+    levels = [found.filter(once).select("lang", F.col("word").alias("phrase"), "a", "gid")]
     for _ in range(1, max_words):
-        blocks = longer(blocks, found)
-        groups = counted(blocks, "left", "right").filter(F.col("a") >= min_count)
+        blocks = longer(blocks, found.select("of_block", "at", "gid"))
+        found = frequent_groups(blocks, min_count, "left", "right")
         first = levels[-1].select(F.col("gid").alias("left"), "lang", F.col("phrase").alias("head"))
         last = levels[-1].select(F.col("gid").alias("right"), F.substring_index("phrase", " ", -1).alias("tail"))
-        named = groups.join(first, "left").join(last, "right").select(
-            "lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "a", "left", "right"
+        named = found.filter(once).join(first, "left").join(last, "right").select(
+            "lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "a", "gid", "left", "right"
         )
-        level = stage_table(numbered(named), "frequent-phrases")
-        levels.append(level)
-        found = returned(blocks, level, "left", "right")
+        levels.append(stage_table(named, "frequent-phrases"))
     return totals, levels
 
 
