@@ -1,16 +1,19 @@
 """Splits, training, selection and forecast queries over the test tables."""
 
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from hazeline import tables
 from hazeline.catalog import sql
 from hazeline.catalog.registry import query
 from hazeline.catalog.series import DAY, daily_windows, hourly
-from hazeline.operators import features, fit, model, ranges
+from hazeline.operators import features, fit, model, ranges, trees
 from hazeline.operators.aggregate import daily_local_mean, regression_metrics
 from hazeline.operators.training import train_linear_models
 from hazeline.session import stage_table, work_dir
+from hazeline.sources import versions
 from hazeline.sources.tables import append_log
 
 VAL_START, TEST_START = "2024-01-18", "2024-01-24"
@@ -184,56 +187,99 @@ def fit_ridge(spark, sf_dir):
     return test_metrics(fit.predict_linear(test, weights, FEATURES), "ridge")
 
 
-def tree_metrics(spark, sf_dir, learn, name, **params):
+def tree_metrics(spark, sf_dir, spec, name):
     train, test = train_and_test(daily_features(spark, sf_dir))
-    models = fit.fit_per_station(
-        train, tables.PRIORITIES, lambda rows: learn(rows, FEATURES, "pm25", **params)
-    )
-    result = None
-    for station, trained in models.items():
-        rows = test.filter(F.col("station") == station)
-        part = test_metrics(fit.predict_trees(trained, rows, FEATURES, "pm25"), name)
-        result = part if result is None else result.unionByName(part)
-    return result
+    found, _ = trees.fit_trees(train.withColumn("block", F.lit(0)), FEATURES, "pm25", spec, 0, "date")
+    mine = found.withColumn("depth", F.lit(spec.depths[0]))
+    return test_metrics(trees.score_trees(test, mine, FEATURES, spec, ["station", "pm25"]), name)
 
 
 @query("l6_fit_forest")
 def fit_forest(spark, sf_dir):
-    return tree_metrics(spark, sf_dir, fit.fit_forest, "forest", numTrees=20, maxDepth=5, minInstancesPerNode=4)
+    return tree_metrics(spark, sf_dir, replace(trees.FOREST, depths=(5,)), "forest")
 
 
 @query("l7_fit_gbt")
 def fit_gbt(spark, sf_dir):
-    return tree_metrics(spark, sf_dir, fit.fit_gbt, "boosted", maxIter=10, maxDepth=3, stepSize=0.1)
+    return tree_metrics(spark, sf_dir, replace(trees.BOOSTED, depths=(3,)), "boosted")
+
 
+HOURLY = list(features.HOURLY_FEATURES)
 
-def tree_search(spark, sf_dir, learn, name, options):
+
+def tree_search(spark, sf_dir, spec, name):
     """Full grid of a tree learner over three time folds of each station's training hours.
 
     One row per station and setting; the first rank also has the errors of its refit on the test hours.
     """
     rows = stage_table(split_features(spark, sf_dir), "split-features")
     blocked = stage_table(model.time_folds(rows.filter(F.col("split") == "train"), 3), "folds")
-    stations = [r["station"] for r in blocked.select("station").distinct().orderBy("station").collect()]
-    inputs, target, result = list(features.HOURLY_FEATURES), features.HOURLY_TARGET, None
-    for station in stations:
-        own = F.col("station") == station
-        found, best = fit.time_series_grid_search(blocked.filter(own), inputs, target, learn, options)
-        test = fit.predict_trees(best, rows.filter(own & (F.col("split") == "test")), inputs, target)
-        errors = regression_metrics(test.withColumnRenamed(target, "actual")).withColumn("rank", F.lit(1))
-        part = found.withColumns({"station": F.lit(station), "model": F.lit(name)}).join(errors, ["station", "rank"], "left")
-        result = part if result is None else result.unionByName(part)
-    return result
+    target = features.HOURLY_TARGET
+    found, best = trees.tree_search(blocked, HOURLY, target, spec)
+    tested = trees.score_trees(rows.filter(F.col("split") == "test"), best, HOURLY, spec, ["station", target])
+    errors = regression_metrics(tested.withColumnRenamed(target, "actual")).withColumn("rank", F.lit(1))
+    return found.withColumn("model", F.lit(name)).join(errors, ["station", "rank"], "left")
 
 
 @query("l6_forest_grid_search")
 def forest_grid_search(spark, sf_dir):
-    return tree_search(spark, sf_dir, fit.fit_forest, "forest", fit.HOURLY_FOREST_GRID)
+    return tree_search(spark, sf_dir, trees.FOREST, "forest")
 
 
 @query("l7_gbt_grid_search")
 def gbt_grid_search(spark, sf_dir):
-    return tree_search(spark, sf_dir, fit.fit_gbt, "boosted", fit.HOURLY_BOOST_GRID)
+    return tree_search(spark, sf_dir, trees.BOOSTED, "boosted")
+
+
+def tree_sql(depth, boosted, l2, min_rows):
+    """CTEs that grow one tree by exhaustive cuts between even bins, ending in `cuts`."""
+    listed = ", ".join(f"({i}, {name}::DOUBLE)" for i, name in enumerate(HOURLY))
+    score = lambda g, n: f"({g}) * ({g}) / (({n}) + {l2}::DOUBLE)"
+    parts = [f"""learn AS (SELECT *, row_number() OVER () AS rid FROM split WHERE split = 'train'),
+    based AS (SELECT station, {"avg(pm25_h24)" if boosted else "0.0::DOUBLE"} AS base FROM learn GROUP BY station),
+    long AS (SELECT l.station, rid, pm25_h24 - base AS g, v.f, v.x FROM learn l JOIN based USING (station), LATERAL (VALUES {listed}) v(f, x)),
+    spans AS (SELECT station, f, min(x) AS a, max(x) AS b FROM long GROUP BY ALL),
+    edges AS (SELECT station, f, list_transform(range(1, {trees.BINS}), lambda k: a + (b - a) * (k / {trees.BINS}.0::DOUBLE)) AS e FROM spans),
+    binned AS (SELECT station, rid, g, f, CASE WHEN x IS NULL THEN {trees.BINS - 1} ELSE len(list_filter(e, lambda v: v < x)) END AS bin
+      FROM long JOIN edges USING (station, f)),
+    nodes0 AS (SELECT rid, 1 AS node FROM learn)"""]
+    for level in range(depth):
+        parts.append(f"""cells{level} AS (SELECT station, node, f, bin, sum(g) AS g, count(*) AS n FROM binned JOIN nodes{level} USING (rid) GROUP BY ALL),
+    running{level} AS (SELECT station, node, f, bin, sum(g) OVER r AS left_g, sum(n) OVER r AS left_n, sum(g) OVER t AS g, sum(n) OVER t AS n
+      FROM cells{level} WINDOW t AS (PARTITION BY station, node, f), r AS (PARTITION BY station, node, f ORDER BY bin)),
+    best{level} AS (SELECT *, ({score("left_g", "left_n")} + {score("g - left_g", "n - left_n")})::FLOAT AS gain FROM running{level}
+      WHERE left_n >= {min_rows} AND n - left_n >= {min_rows}
+      QUALIFY row_number() OVER (PARTITION BY station, node ORDER BY gain DESC, f, bin) = 1),
+    cuts{level} AS (SELECT * FROM best{level} WHERE gain > ({score("g", "n")})::FLOAT),
+    nodes{level + 1} AS (SELECT b.rid, 2 * c.node + CASE WHEN b.bin > c.bin THEN 1 ELSE 0 END AS node FROM nodes{level} d
+      JOIN binned b USING (rid) JOIN cuts{level} c ON c.station = b.station AND c.node = d.node AND c.f = b.f)""")
+    union = " UNION ALL ".join(f"SELECT * FROM cuts{level}" for level in range(depth))
+    parts.append(f"""cuts AS (SELECT c.station, c.node, c.f AS feature, round(e[c.bin + 1], 6) AS threshold,
+      round(left_g / (left_n + {l2}::DOUBLE), 6) AS left_value, round((g - left_g) / (n - left_n + {l2}::DOUBLE), 6) AS right_value,
+      round(base, 6) AS base FROM ({union}) c JOIN edges e ON e.station = c.station AND e.f = c.f JOIN based b ON b.station = c.station)""")
+    return ",\n    ".join(parts)
+
+
+def single_tree(spark, sf_dir, spec):
+    """The nodes of one tree between even bins; its twin tries every cut in SQL."""
+    train = stage_table(split_features(spark, sf_dir).filter(F.col("split") == "train"), "train").withColumn("block", F.lit(0))
+    edges = trees.even_edges(train, HOURLY)
+    found, _ = trees.fit_trees(train, HOURLY, features.HOURLY_TARGET, spec, 0, edges=edges)
+    return found.filter(F.col("feature") >= 0).select("station", "node", "feature", "threshold", "left_value", "right_value", "base")
+
+
+ONE_TREE = trees.TreeSpec((3,), rounds=1, boosted=False, l2=0.0, min_rows=4.0)
+ONE_ROUND = trees.TreeSpec((1,), rounds=1)
+
+
+@query("l6_one_tree", f"WITH {sql.HOURLY_WIDE}, {SPLIT}, {tree_sql(3, False, 0.0, 4)} SELECT * FROM cuts")
+def one_tree(spark, sf_dir):
+    return single_tree(spark, sf_dir, ONE_TREE)
+
+
+@query("l7_first_round", f"WITH {sql.HOURLY_WIDE}, {SPLIT}, {tree_sql(1, True, 1.0, 1)} SELECT * FROM cuts")
+def first_round(spark, sf_dir):
+    return single_tree(spark, sf_dir, ONE_ROUND)
 
 
 @query("l8_ridge_grid_search")
@@ -461,9 +507,7 @@ def scheduled_jobs(spark, sf_dir):
     return jobs.select("station", "skip_reason", "target_date")
 
 
-@query(
-    "l17_store_predictions",
-    f"""WITH {JOBS}, old AS (SELECT station, date AS prediction_date, pm25 AS predicted_pm25, 'old' AS model FROM means),
+STORED = f"""WITH {JOBS}, old AS (SELECT station, date AS prediction_date, pm25 AS predicted_pm25, 'old' AS model FROM means),
     fresh AS (SELECT station, target AS prediction_date, predicted AS predicted_pm25, 'blend' AS model, 15 AS history_days,
       target - 15 AS history_start_date, target - 1 AS history_end_date, filled AS filled_history_days, 'manual' AS run_type,
       TIMESTAMP '2024-02-10' AS prediction_generated_at FROM jobs WHERE skip_reason IS NULL),
@@ -471,9 +515,25 @@ def scheduled_jobs(spark, sf_dir):
       SELECT 1 FROM fresh f WHERE f.station = o.station AND f.prediction_date = o.prediction_date))
     SELECT station, CAST(prediction_date AS VARCHAR) AS prediction_date, model, predicted_pm25, CAST(history_days AS INTEGER) AS history_days,
     CAST(history_start_date AS VARCHAR) AS history_start_date, CAST(history_end_date AS VARCHAR) AS history_end_date,
-    filled_history_days, run_type, CAST(prediction_generated_at AS VARCHAR) AS prediction_generated_at FROM stored""",
-)
+    filled_history_days, run_type, CAST(prediction_generated_at AS VARCHAR) AS prediction_generated_at FROM stored"""
+
+
+@query("l17_store_predictions", STORED)
 def store_predictions(spark, sf_dir):
+    return model.store_predictions(*old_and_fresh(spark, sf_dir))
+
+
+@query("l17_store_predictions_table", STORED)
+def store_predictions_table(spark, sf_dir):
+    """The same through the sink by day, the fresh rows twice."""
+    path = work_dir(spark, "predictions")
+    old, fresh = (stage_table(df, "predictions") for df in old_and_fresh(spark, sf_dir))
+    for rows in (old, fresh, fresh):
+        versions.upsert_table(spark, path, rows.select(*old.columns), ["prediction_generated_at"])
+    return versions.read_table(spark, path).drop("day")
+
+
+def old_and_fresh(spark, sf_dir):
     jobs = manual_jobs(spark, sf_dir)
     score = model.linear_score(NEXT_DAY_WEIGHTS)
     fresh = model.job_predictions(jobs, score, "blend", "manual", time("2024-02-10"))
@@ -486,7 +546,7 @@ def store_predictions(spark, sf_dir):
     old = means.select(
         "station", F.col("date").alias("prediction_date"), F.col("pm25").alias("predicted_pm25"), F.lit("old").alias("model")
     ).withColumns(empty)
-    return model.store_predictions(old, fresh)
+    return old, fresh
 
 
 @query(

@@ -7,8 +7,8 @@ from hazeline.catalog import sql
 from hazeline.catalog.registry import query
 from hazeline.functions import parsing, scalar
 from hazeline.operators import aggregate, features, gaps, pairs, upsert, validate
-from hazeline.session import work_dir
-from hazeline.sources import sheets, snapshots
+from hazeline.session import stage_table, work_dir
+from hazeline.sources import sheets, snapshots, versions
 from hazeline.sources import tables as stored
 
 SHEET = sql.DAILY + ", days AS (SELECT DISTINCT date FROM daily)"
@@ -592,11 +592,11 @@ def replace_range_table(spark, sf_dir):
     target, batch = target_and_batch(spark, sf_dir)
     part = batch.filter(PART_OF_DAY).filter(F.hour("ts") % 2 == 0)
     path = work_dir(spark, "readings")
-    stored.write_by_day(target, path)
+    versions.insert_ignore_table(spark, path, target, ["event_id"])
     bounds = [F.lit(t).cast("timestamp_ntz") for t in ("2024-01-12 06:00:00", "2024-01-13 02:00:00")]
-    for run in ("first", "second"):
-        stored.replace_range_table(spark, path, part, *bounds, ["event_id"], work_dir(spark, run), ["click"])
-    return spark.read.parquet(path).drop("day")
+    for _ in range(2):
+        versions.replace_range_table(spark, path, part, *bounds, ["event_id"], ["click"])
+    return versions.read_table(spark, path).drop("day")
 
 
 @query(
@@ -622,6 +622,33 @@ def replace_predictions(spark, sf_dir):
     )
 
 
+@query(
+    "k7_replace_predictions_table",
+    f"""WITH {sql.LOGS}, old AS (
+      SELECT * FROM predictions WHERE date >= DATE '1998-11-01'
+      QUALIFY row_number() OVER (PARTITION BY station, date ORDER BY entry DESC) = 1),
+    newest AS (SELECT station, date, predicted + 1 AS predicted, entry FROM old WHERE date BETWEEN DATE '1999-01-01' AND DATE '1999-02-15'),
+    merged AS (
+      SELECT * FROM newest UNION ALL
+      SELECT * FROM old o WHERE NOT EXISTS (SELECT 1 FROM newest n WHERE n.station = o.station AND n.date = o.date))
+    SELECT station, CAST(date AS VARCHAR) AS prediction_date, round(predicted, 6) AS predicted, entry FROM merged
+    WHERE NOT (date BETWEEN DATE '1999-02-01' AND DATE '1999-03-31' AND station IN ('1-URGENT', '5-LOW'))
+    AND NOT (date BETWEEN DATE '1998-12-01' AND DATE '1998-12-24')""",
+)
+def replace_predictions_table(spark, sf_dir):
+    """The sink by day: rows arrive, some keys are replaced, a range goes for two stations, another
+    for all of them, so that its days disappear."""
+    rows = tables.prediction_log(spark, sf_dir).withColumnRenamed("date", "prediction_date")
+    day, path = F.col("prediction_date"), work_dir(spark, "predictions")
+    kept = stage_table(rows.filter(day >= F.lit("1998-11-01").cast("date")), "kept-log")
+    versions.upsert_table(spark, path, kept, ["entry"])
+    again = kept.filter(day.between(*[F.lit(t).cast("date") for t in ("1999-01-01", "1999-02-15")]))
+    versions.upsert_table(spark, path, again.withColumn("predicted", F.col("predicted") + 1), ["entry"])
+    versions.delete_dates_table(spark, path, "1999-02-01", "1999-03-31", ["1-URGENT", "5-LOW"])
+    versions.delete_dates_table(spark, path, "1998-12-01", "1998-12-24")
+    return versions.read_table(spark, path).drop("day")
+
+
 @query(
     "k8_dedupe_latest",
     f"""WITH {sql.LOGS} SELECT station, CAST(date AS VARCHAR) AS date, round(predicted, 6) AS predicted, entry

@@ -1,4 +1,4 @@
-"""Training (L4-L8): linear and ridge for all stations in one plan, trees by MLlib.
+"""Training (L4, L5, L8): linear and ridge for all stations in one plan.
 
 Linear models need only sums of products. Those sums are built per Arrow batch wherever the rows
 already are, added up by a normal aggregate per (station, time block), and solved per station from
@@ -8,40 +8,19 @@ reads the data once for the sums and once for the fold errors.
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.operators.aggregate import regression_metrics
 from hazeline.plans.series import KEYS
 from hazeline.session import stage_table
 
-# Parameter grids of the daily and the hourly searches, in MLlib's names. An
-# unlimited tree depth becomes 30, the deepest tree MLlib builds.
+# The alphas of the daily and the hourly searches.
 RIDGE_ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0)
 HOURLY_RIDGE_ALPHAS = (0.1, 1.0, 10.0, 100.0)
-FOREST_GRID = {
-    "numTrees": (100, 200, 300, 500),
-    "maxDepth": (5, 10, 15, 20, 30),
-    "minInstancesPerNode": (1, 2, 4),
-}
-HOURLY_FOREST_GRID = {"numTrees": (100,), "maxDepth": (5, 10), "minInstancesPerNode": (4,)}
-BOOST_GRID = {
-    "maxIter": (100, 200, 300),
-    "maxDepth": (3, 5, 7),
-    "stepSize": (0.01, 0.05, 0.1),
-    "subsamplingRate": (0.8, 1.0),
-}
-HOURLY_BOOST_GRID = {"maxIter": (100,), "maxDepth": (3, 5), "stepSize": (0.1,)}
-SEED = 42
 RANK_TOLERANCE = 1e-10
 
 
@@ -186,75 +165,3 @@ def ridge_grid_search(
     )
     refit = fits.filter(F.col("fold") == 0).drop("fold")
     return ranked.join(refit, [*keys, "alpha"])
-
-
-def grid(options: Mapping[str, Sequence]) -> list[dict]:
-    """All combinations of a parameter grid, first option varying slowest."""
-    return [dict(zip(options, values)) for values in itertools.product(*options.values())]
-
-
-def _vectors(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_x")
-    return assembler.transform(df).withColumn("_y", F.col(target).cast("double"))
-
-
-def fit_forest(df: DataFrame, features: Sequence[str], target: str, **params):
-    """One random forest on the rows of `df`, trained by MLlib."""
-    rows = _vectors(df, features, target)
-    return RandomForestRegressor(
-        featuresCol="_x", labelCol="_y", predictionCol="predicted", seed=SEED, **params
-    ).fit(rows)
-
-
-def fit_gbt(df: DataFrame, features: Sequence[str], target: str, **params):
-    """One boosted tree model on the rows of `df`, trained by MLlib."""
-    rows = _vectors(df, features, target)
-    return GBTRegressor(
-        featuresCol="_x", labelCol="_y", predictionCol="predicted", seed=SEED, **params
-    ).fit(rows)
-
-
-def predict_trees(model, df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    return model.transform(_vectors(df, features, target)).drop("_x", "_y")
-
-
-def fit_per_station(
-    df: DataFrame, stations: Sequence[str], fit, parallel: int = 4
-) -> dict[str, PipelineModel]:
-    """MLlib fits for a list of stations; each fit is a distributed job of its own."""
-    with ThreadPoolExecutor(parallel) as pool:
-        jobs = {s: pool.submit(fit, df.filter(F.col("station") == s)) for s in stations}
-        return {s: job.result() for s, job in jobs.items()}
-
-
-def time_series_grid_search(
-    blocked: DataFrame,
-    features: Sequence[str],
-    target: str,
-    fit,
-    options: Mapping[str, Sequence],
-    k: int = 3,
-    parallel: int = 4,
-):
-    """Grid search of an MLlib learner over expanding folds of one station.
-
-    Returns the results (one row per parameter set: `params`, `mean_mae`, `rank`) and the model
-    refitted on all rows with the first best parameters.
-    """
-    spark = blocked.sparkSession
-    combos = grid(options)
-
-    def fold_error(params, fold):
-        model = fit(blocked.filter(F.col("block") < fold), features, target, **params)
-        tested = predict_trees(model, blocked.filter(F.col("block") == fold), features, target)
-        pairs = tested.select(F.col(target).alias("actual"), "predicted")
-        return regression_metrics(pairs, by=[]).first()["mae"]
-
-    with ThreadPoolExecutor(parallel) as pool:
-        cells = [(i, f) for i in range(len(combos)) for f in range(1, k + 1)]
-        errors = list(pool.map(lambda c: fold_error(combos[c[0]], c[1]), cells))
-    means = [float(np.mean(errors[i * k : (i + 1) * k])) for i in range(len(combos))]
-    order = sorted(range(len(combos)), key=lambda i: means[i])
-    rows = [(str(combos[i]), means[i], rank) for rank, i in enumerate(order, start=1)]
-    results = spark.createDataFrame(rows, "params string, mean_mae double, rank int")
-    return results, fit(blocked, features, target, **combos[order[0]])

@@ -1,4 +1,4 @@
-"""Parquet tables: scans, logs, feature hand-off and partition-wise replacement."""
+"""Parquet tables: scans, logs, feature hand-off and the layout by day."""
 
 from __future__ import annotations
 
@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from hazeline.operators.upsert import new_rows, replace_range, replace_range_counts, upsert
-from hazeline.session import stage_table
-
+from pyspark.sql.types import StructType
 # Fixed schemas of the stored tables.
 READINGS_SCHEMA = (
     "station_id int, station_name string, station_name_en string, ts timestamp_ntz, pm25 double, "
@@ -106,68 +103,11 @@ def touched_days(df: DataFrame, order: str = "ts", keys: Sequence[str] = ("stati
     return sorted(row["days"])
 
 
-def insert_ignore_table(
-    spark: SparkSession, path: str, batch: DataFrame, order: Sequence[str], keys: Sequence[str] = ("station", "ts")
-) -> None:
-    """Append the rows whose key is not stored yet; only the days of the batch are read."""
-    days = touched_days(batch, keys=keys)
-    if not days:
-        return
-    target = stored_rows(spark, path, batch).filter(F.col("day").isin(days))
-    write_by_day(new_rows(target, batch, order, keys), path)
-
-
-def stored_rows(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The table at `path`, or no rows of the same shape while it does not exist."""
+def stored_log(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """The table at `path`, or no rows of `schema` while it does not exist."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return like.limit(0).withColumn("day", F.lit(None).cast("date"))
-
-
-def replace_range_table(
-    spark: SparkSession, path: str, batch: DataFrame, start: Column, end: Column, order: Sequence[str], staging: str,
-    stations: Sequence | None = None, keys: Sequence[str] = ("station", "ts"),
-) -> DataFrame:
-    """Delete [start, end) of the stations, insert-ignore the batch; one row of deleted, inserted
-    and duplicate counts. Running it twice gives the same table.
-
-    Only the days of the range and of the batch are read and rewritten; other stations and other
-    hours of those days are kept. The new days are staged first, so a failed job never leaves the
-    table half-read and half-written. Days that end up empty lose their folder last.
-    """
-    stored = stored_rows(spark, path, batch)
-    in_days = (F.col("day") >= start.cast("date")) & (F.col("day") <= end.cast("date"))
-    affected = stored.filter(in_days | F.col("day").isin(touched_days(batch, keys=keys)))
-    counts = stage_table(
-        replace_range_counts(affected.drop("day"), batch, start, end, order, stations, keys), "replace-counts"
-    )
-    before = [r["day"] for r in affected.select("day").distinct().collect()]
-    replace_range(affected.drop("day"), batch, start, end, order, stations, keys).write.mode("overwrite").parquet(staging)
-    content = spark.read.schema(batch.schema).parquet(staging)
-    write_by_day(content, path, mode="overwrite")
-    after = {r["day"] for r in content.select(F.col("ts").cast("date").alias("day")).distinct().collect()}
-    for day in before:
-        if day not in after:
-            drop_day(spark, path, day)
-    return counts
-
-
-def drop_day(spark: SparkSession, path: str, day) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/day={day}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def upsert_table(
-    spark: SparkSession, path: str, batch: DataFrame, order: Sequence[str], staging: str,
-    keys: Sequence[str] = ("prediction_date", "station"), day: str = "prediction_date",
-) -> None:
-    """Batch rows replace stored rows of the same key; only the batch's days are rewritten."""
-    days = touched_days(batch, day, keys)
-    if not days:
-        return
-    target = stored_rows(spark, path, batch).filter(F.col("day").isin(days)).drop("day")
-    upsert(target, batch, order, keys).write.mode("overwrite").parquet(staging)
-    write_by_day(spark.read.schema(batch.schema).parquet(staging), path, mode="overwrite", order=day)
+        return spark.createDataFrame([], schema)

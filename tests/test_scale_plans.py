@@ -196,32 +196,6 @@ def test_ridge_grid_search(training):
         assert list(mine["rank"]) == [1, 2, 3]
 
 
-def test_tree_grid_search(training):
-    df, _ = training
-    blocked = model.time_folds(df.filter("station = 'b'"), 2, "date", every="MONTH")
-    results, best = fit.time_series_grid_search(
-        blocked, FEATURES, "y", fit.fit_forest, {"numTrees": [3], "maxDepth": [1, 4]}, k=2
-    )
-    ranked = results.orderBy("rank").collect()
-    assert [r["rank"] for r in ranked] == [1, 2] and "'maxDepth': 4" in ranked[0]["params"]
-    assert fit.predict_trees(best, blocked, FEATURES, "y").count() == blocked.count()
-
-
-def test_registered_tree_searches(spark, monkeypatch):
-    seen = []
-    monkeypatch.setattr(models, "tree_search", lambda *a: seen.append((a[2], a[3], a[4])) or spark.range(0))
-    for name in ("l6_forest_grid_search", "l7_gbt_grid_search"):
-        registry.QUERIES[name](spark, "")
-    assert [(len(fit.grid(options)), learn) for learn, _, options in seen] == [(2, fit.fit_forest), (2, fit.fit_gbt)]
-    assert seen[0][2]["numTrees"] == seen[1][2]["maxIter"] == (100,)
-    monkeypatch.undo()
-    options = {"numTrees": (2,), "maxDepth": (1, 2)}
-    got = models.tree_search(spark, "/root/testdata/sf0.001", fit.fit_forest, "forest", options).toPandas()
-    ranks = [sorted(rows["rank"]) for _, rows in got.groupby("station")]
-    assert ranks == [[1, 2]] * 5
-    assert (got["mae"].notna() == (got["rank"] == 1)).all() and got["mean_mae"].notna().all()
-
-
 def test_training_run(spark, training):
     """The better of linear and ridge per station, and no small stations."""
     df, frames = training
