@@ -5,9 +5,10 @@ that occur again. The second rule looks across documents: lines are normalised (
 blanks) and hashed; a line's frequency is the number of distinct texts of its host
 that carry it, so exact copies count once. Lines above both limits (a number of texts and a share
 of the host's texts) are boilerplate and are removed; a document of which too small a share of
-words is left is depleted and rejected. Repeated lines count once in that share, and the line of
-one text per line (the smallest digest) is left in place, so that a passage does not vanish with
-its copies; the owner is chosen among all texts, also those that are then rejected. `judged` and
+words is left is depleted and rejected. Repeated lines count once in that share. One text per line, its
+owner, keeps it, so that a passage does not vanish with its copies: the smallest digest among the
+texts that pass the base rules and would have enough left without all their frequent lines, or,
+where a line has no such text, among all that pass the base rules. An owner is never depleted. `judged` and
 `keep_good` give the verdicts, `clean_good` also cuts the lines from the texts that stay. The base
 rules look at the text before the cut.
 
@@ -124,33 +125,49 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
 def frequent_lines(
     occurrences: DataFrame, max_texts: int = MAX_LINE_TEXTS, max_share: float = MAX_LINE_SHARE
 ) -> DataFrame:
-    """(host, line, n_texts, owner) of the lines above both limits."""
+    """(host, line, n_texts) of the lines above both limits."""
     pages = occurrences.groupBy("host", "page").agg(F.lit(1).alias("one")).groupBy("host").agg(
         F.count(F.lit(1)).alias("host_texts")
     )
-    counts = occurrences.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_texts"), F.min("page").alias("owner"))
+    counts = occurrences.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_texts"))
     above = counts.filter(F.col("n_texts") > max_texts).join(pages, "host")
-    return above.filter(F.col("n_texts") > max_share * F.col("host_texts")).select("host", "line", "n_texts", "owner")
+    return above.filter(F.col("n_texts") > max_share * F.col("host_texts")).select("host", "line", "n_texts")
 
 
-def cut_pages(rows: DataFrame, **limits) -> DataFrame:
-    """(host, page, kept_share, gone) of the texts that lose frequent lines; `gone` has the lines' hashes."""
-    lines = rows.select("host", "page", F.explode("lines").alias("l")).select("host", "page", "l.line", "l.words")
-    seen = stage_table(lines.groupBy("host", "line", "page").agg(F.max("words").alias("words")), "line-occurrences")
+def cut_pages(rows: DataFrame, min_left: float = MIN_LEFT_SHARE, **limits) -> DataFrame:
+    """(host, page, kept_share, depleted, gone) of the texts that hold frequent lines; `gone` has the
+    hashes of those that they lose."""
+    lines = rows.select("host", "page", "base_failed", F.explode("lines").alias("l"))
+    seen = lines.select("host", "page", "base_failed", "l.line", "l.words").groupBy("host", "line", "page")
+    seen = stage_table(seen.agg(F.max("words").alias("words"), F.max("base_failed").alias("failed")), "line-occurrences")
     frequent = stage_table(frequent_lines(seen, **limits), "frequent-lines")
-    found = seen.join(frequent, ["host", "line"], "left")
-    gone = F.col("owner").isNotNull() & (F.col("owner") != F.col("page"))
-    left = found.groupBy("host", "page").agg(
-        F.sum("words").alias("all_words"), F.sum(F.when(gone, F.col("words")).otherwise(0)).alias("gone_words"),
-        F.collect_list(F.when(gone, F.col("line"))).alias("gone"),
+    hit = F.when(F.col("n_texts").isNotNull(), F.struct("line", "words"))
+    held = seen.join(frequent, ["host", "line"], "left").groupBy("host", "page").agg(
+        F.sum("words").alias("all_words"), F.max("failed").alias("failed"), F.collect_list(hit).alias("hits")
+    )
+    held = stage_table(held.filter(F.size("hits") > 0), "pages-with-frequent-lines")
+    share = lambda words: 1 - words / F.col("all_words")
+    bare = share(F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["words"]))
+    good = held.filter(~F.col("failed")).select("host", "page", (bare >= min_left).alias("sturdy"), F.explode("hits.line").alias("line"))
+    owners = good.groupBy("host", "line").agg(
+        F.coalesce(F.min(F.when(F.col("sturdy"), F.col("page"))), F.min("page")).alias("owner")
+    )
+    listed = held.select("host", "page", "all_words", F.explode("hits").alias("h")).select("host", "page", "all_words", "h.*")
+    found = listed.join(stage_table(owners, "line-owners"), ["host", "line"], "left")
+    owned = F.coalesce(F.col("owner") == F.col("page"), F.lit(False))
+    left = found.groupBy("host", "page", "all_words").agg(
+        F.sum(F.when(owned, 0).otherwise(F.col("words"))).alias("gone_words"), F.max(owned).alias("owns"),
+        F.collect_list(F.when(~owned, F.col("line"))).alias("gone"),
+    )
+    kept_share = share(F.col("gone_words"))
+    return left.select(
+        "host", "page", kept_share.alias("kept_share"), (~F.col("owns") & (kept_share < min_left)).alias("depleted"), "gone"
     )
-    share = 1 - F.col("gone_words") / F.col("all_words")
-    return left.filter(F.col("gone_words") > 0).select("host", "page", share.alias("kept_share"), "gone")
 
 
-def depleted_pages(rows: DataFrame, min_left: float = MIN_LEFT_SHARE, **limits) -> DataFrame:
+def depleted_pages(rows: DataFrame, **limits) -> DataFrame:
     """(host, page, kept_share) of the texts that removal of frequent lines depletes."""
-    return cut_pages(rows, **limits).filter(F.col("kept_share") < min_left).select("host", "page", "kept_share")
+    return cut_pages(rows, **limits).filter("depleted").select("host", "page", "kept_share")
 
 
 def without_lines(text: Column, gone: Column) -> Column:
@@ -201,21 +218,19 @@ def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text", host: st
 
 
 def clean_good(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
-    min_left: float = MIN_LEFT_SHARE, **limits,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", **limits
 ) -> DataFrame:
     """`docs` without rejected rows and, in the rest, without frequent lines.
 
-    The rows are those of `keep_good`. Texts without frequent lines and the owners of such lines
-    stay as they are; so do all other columns, also lengths that were taken from the whole text.
+    The rows are those of `keep_good`. Texts without frequent lines stay as they are and owners keep
+    the lines that they own; so do all other columns, also lengths that were taken from the whole text.
     """
     rows = stage_table(features(docs, key, text, host), "quality-features")
     none = F.array().cast("array<bigint>")
     failed = rows.filter("base_failed").select("host", "page").distinct()
     failed = failed.select("host", "page", F.lit(True).alias("lost"), none.alias("gone"))
-    depleted = F.col("kept_share") < min_left
     cut = cut_pages(rows, **limits).select(
-        "host", "page", depleted.alias("lost"), F.when(depleted, none).otherwise(F.col("gone")).alias("gone")
+        "host", "page", F.col("depleted").alias("lost"), F.when(F.col("depleted"), none).otherwise(F.col("gone")).alias("gone")
     )
     pages = failed.unionByName(cut).groupBy("host", "page").agg(
         F.max("lost").alias("_lost"), F.flatten(F.collect_list("gone")).alias("_gone")

@@ -136,20 +136,30 @@ WITH docs AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM real_lines GROUP BY doc_id
 ), seen AS (SELECT host, plain, page, max(n) AS n FROM real_lines GROUP BY ALL),
 hosts AS (SELECT host, count(DISTINCT page) AS texts FROM seen GROUP BY host),
-frequent AS (
-  SELECT host, plain, min(page) AS owner FROM seen JOIN hosts USING (host)
-  GROUP BY host, plain, texts
-  HAVING count(*) > {quality_rules.MAX_LINE_TEXTS} AND count(*) > {quality_rules.MAX_LINE_SHARE}::DOUBLE * texts
-), depleted AS (
-  SELECT host, page FROM seen LEFT JOIN frequent USING (host, plain)
-  GROUP BY host, page
-  HAVING 1 - sum(CASE WHEN owner <> page THEN n ELSE 0 END)::DOUBLE / sum(n) < {quality_rules.MIN_LEFT_SHARE}::DOUBLE
-), counted AS (
+counted AS (
   SELECT doc_id, host, page, len(w)::BIGINT AS n_words,
          length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
          (length(text) - length(regexp_replace(text, '[{quality_rules.SYMBOLS}]', '', 'g')))::BIGINT AS n_symbols,
          coalesce(dups.n, 0)::BIGINT AS n_dup_lines, coalesce(repeated.n, 0)::BIGINT AS n_repeat_words
   FROM docs LEFT JOIN dups USING (doc_id) LEFT JOIN repeated USING (doc_id)
+), good AS (
+  SELECT DISTINCT host, page FROM counted
+  WHERE NOT (n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words)
+), frequent AS (
+  SELECT host, plain FROM seen JOIN hosts USING (host) GROUP BY host, plain, texts
+  HAVING count(*) > {quality_rules.MAX_LINE_TEXTS} AND count(*) > {quality_rules.MAX_LINE_SHARE}::DOUBLE * texts
+), held AS (
+  SELECT host, page, plain, n, f.plain IS NOT NULL AS hit, sum(n) OVER p AS total,
+         1 - (sum(CASE WHEN f.plain IS NULL THEN 0 ELSE n END) OVER p)::DOUBLE / (sum(n) OVER p) AS bare
+  FROM seen LEFT JOIN (SELECT host, plain FROM frequent) f USING (host, plain) WINDOW p AS (PARTITION BY host, page)
+), owners AS (
+  SELECT host, plain, coalesce(min(page) FILTER (bare >= {quality_rules.MIN_LEFT_SHARE}::DOUBLE), min(page)) AS owner
+  FROM held JOIN good USING (host, page) WHERE hit GROUP BY host, plain
+), depleted AS (
+  SELECT host, page FROM held LEFT JOIN owners USING (host, plain) WHERE hit
+  GROUP BY host, page, total
+  HAVING NOT coalesce(bool_or(owner = page), false)
+    AND 1 - sum(CASE WHEN owner = page THEN 0 ELSE n END)::DOUBLE / total < {quality_rules.MIN_LEFT_SHARE}::DOUBLE
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words

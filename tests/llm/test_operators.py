@@ -1,6 +1,7 @@
 """Every operator against brute force on rows with nulls, empty and long texts, ties and repeats."""
 
 import collections
+import hashlib
 import re
 import zlib
 
@@ -243,22 +244,65 @@ def test_quality_rules(docs, none):
     assert quality_rules.judged(none).count() == 0 and quality_rules.keep_good(none).count() == 0
 
 
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def plain_lines(text):
+    """{normalised line: words} of the lines with a word."""
+    return {" ".join(words_of(x)).lower(): len(words_of(x)) for x in text.split("\n") if words_of(x)}
+
+
+def brute_lines(rows, max_texts=20, max_share=0.005, min_left=0.2):
+    """(owner of each frequent line, kept (host, text) pairs) for rows of (doc_id, text, host)."""
+    pages = {(host, text or "") for _, text, host in rows}
+    on, texts = collections.defaultdict(list), collections.Counter(h for h, t in pages if plain_lines(t))
+    for host, text in pages:
+        for line in plain_lines(text):
+            on[host, line].append(text)
+    frequent = {k for k, v in on.items() if len(v) > max_texts and len(v) > max_share * texts[k[0]]}
+    good = {p for p in pages if not base_rules(p[1])[-1]}
+
+    def left(host, text, stays=lambda line: False):
+        lines = plain_lines(text)
+        return 1 - sum(n for x, n in lines.items() if (host, x) in frequent and not stays(x)) / sum(lines.values())
+
+    owner = {}
+    for host, line in frequent:
+        able = [t for t in on[host, line] if (host, t) in good]
+        sturdy = [t for t in able if left(host, t) >= min_left]
+        owner[host, line] = min(map(md5, sturdy or able), default=None)
+    owns = lambda host, text: lambda line: owner.get((host, line)) == md5(text)
+    kept = {
+        (h, t) for h, t in good
+        if any(map(owns(h, t), plain_lines(t))) or left(h, t, owns(h, t)) >= min_left
+    }
+    return owner, kept
+
+
 def test_frequent_lines_deplete(spark):
     lines = [f"{sentence(100 + k, 12)}" for k in range(3)]
     rows = [(i, "\n".join(lines[:2] if i % 2 else lines), "a") for i in range(2)]
     rows += [(10 + i, "\n".join([*lines, sentence(200 + i, 8)]), "a") for i in range(8)]
     rows += [(30 + i, "\n".join([lines[0], sentence(300 + i, 40)]), None) for i in range(4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r["doc_id"]: r for r in quality_rules.judged(docs, max_texts=3, max_share=0.5, min_left=0.3).collect()}
-    texts = collections.Counter(x for host, t in {(r[2], r[1]) for r in rows} for x in [(host, l) for l in t.split("\n")])
-    frequent = {k for k, n in texts.items() if n > 3}
-    owner = {k: min(__import__("hashlib").md5(r[1].encode()).hexdigest() for r in rows if r[2] == k[0] and k[1] in r[1].split("\n"))
-             for k in frequent}
-    for doc_id, text, host in rows:
-        page, parts = __import__("hashlib").md5(text.encode()).hexdigest(), text.split("\n")
-        gone = sum(len(p.split()) for p in parts if (host, p) in frequent and owner[host, p] != page)
-        share = 1 - gone / sum(len(p.split()) for p in parts)
-        assert got[doc_id]["kept"] == (share >= 0.3 and len(words_of(text)) >= 20), doc_id
+    limits = {"max_texts": 3, "max_share": 0.5, "min_left": 0.3}
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judged(docs, **limits).collect()}
+    _, kept = brute_lines(rows, **limits)
+    assert got == {i: (h, t) in kept for i, t, h in rows} and 0 < sum(got.values()) < len(got)
+
+
+@pytest.mark.parametrize("bodies", [40, 3])
+def test_a_passage_never_goes_with_its_owner(spark, bodies):
+    """The smallest digests fail the base rules or, with short bodies, every text would be depleted."""
+    passage = sentence(900, 30)
+    rows = [(i, f"{passage}\n{sentence(901 + i, bodies)}", "a") for i in range(60)]
+    rows.sort(key=lambda r: md5(r[1]))
+    rows[:30] = [(i, "\n".join([passage] + [x for x in ["again and again"] for _ in range(40)] + [str(i)]), "a") for i, *_ in rows[:30]]
+    assert all(base_rules(t)[-1] for _, t, _ in rows[:30])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = [r["text"] for r in quality_rules.clean_good(docs).collect()]
+    assert sum(passage in t for t in left) == 1 and len(left) == (30 if bodies == 40 else 1)
 
 
 def test_frequent_lines_are_cut_from_kept_texts(spark, none):
@@ -271,16 +315,11 @@ def test_frequent_lines_are_cut_from_kept_texts(spark, none):
     rows += [(300, "\n".join(sentence(k, 2) for k in range(800, 1100)), "d")]
     rows += [(301 + i, f"{rows[-1][1]}\n{sentence(1200 + i, 900)}", "d") for i in range(25)]  # many frequent lines
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
-    md5 = lambda t: __import__("hashlib").md5(t.encode()).hexdigest()
     plain = lambda line: " ".join(words_of(line)).lower()
-    pages = {(host, text or "") for _, text, host in rows}
-    on = collections.defaultdict(list)
-    for host, text in pages:
-        for line in {plain(x) for x in text.split("\n")} - {""}:
-            on[host, line].append(md5(text))
-    owner = {k: min(v) for k, v in on.items() if len(v) > 20}
+    owner, wanted = brute_lines(rows)
     cut = lambda host, t: "\n".join(x for x in t.split("\n") if owner.get((host, plain(x)), md5(t)) == md5(t))
     kept = {r["doc_id"] for r in quality_rules.keep_good(docs).collect()}
+    assert kept == {i for i, t, h in rows if (h, t or "") in wanted}
     got = quality_rules.clean_good(docs)
     assert got.columns == docs.columns
     assert table_of(got) == sorted([(i, cut(h, t), h) for i, t, h in rows if i in kept], key=repr)
