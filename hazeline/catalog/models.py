@@ -11,7 +11,7 @@ from hazeline.catalog.registry import query
 from hazeline.catalog.series import DAY, daily_windows, hourly
 from hazeline.operators import features, fit, model, ranges, trees
 from hazeline.operators.aggregate import daily_local_mean, regression_metrics
-from hazeline.operators.training import train_linear_models
+from hazeline.operators.training import train_linear_models, training_run
 from hazeline.session import stage_table, work_dir
 from hazeline.sources import versions
 from hazeline.sources.tables import append_log
@@ -191,7 +191,7 @@ def tree_metrics(spark, sf_dir, spec, name):
     train, test = train_and_test(daily_features(spark, sf_dir))
     found, _ = trees.fit_trees(train.withColumn("block", F.lit(0)), FEATURES, "pm25", spec, 0, "date")
     mine = found.withColumn("depth", F.lit(spec.depths[0]))
-    return test_metrics(trees.score_trees(test, mine, FEATURES, spec, ["station", "pm25"]), name)
+    return test_metrics(trees.score_trees(test, mine, FEATURES, ["station", "pm25"]), name)
 
 
 @query("l6_fit_forest")
@@ -216,7 +216,7 @@ def tree_search(spark, sf_dir, spec, name):
     blocked = stage_table(model.time_folds(rows.filter(F.col("split") == "train"), 3), "folds")
     target = features.HOURLY_TARGET
     found, best = trees.tree_search(blocked, HOURLY, target, spec)
-    tested = trees.score_trees(rows.filter(F.col("split") == "test"), best, HOURLY, spec, ["station", target])
+    tested = trees.score_trees(rows.filter(F.col("split") == "test"), best, HOURLY, ["station", target])
     errors = regression_metrics(tested.withColumnRenamed(target, "actual")).withColumn("rank", F.lit(1))
     return found.withColumn("model", F.lit(name)).join(errors, ["station", "rank"], "left")
 
@@ -386,6 +386,64 @@ def train_and_promote(spark, sf_dir):
     return train_linear_models(split, production)[0]
 
 
+# two runs of the training with one input: the second meets the first one's models on its own test rows
+RUNS = f"""{sql.HOURLY_WIDE},
+fits AS (
+  SELECT station, 1 AS version, regr_intercept(pm25_h24, pm25_lag_1) AS intercept, regr_slope(pm25_h24, pm25_lag_1) AS slope,
+    min(ts) AS first, max(ts) AS last FROM features WHERE ts < TIMESTAMP '2024-01-12' GROUP BY station
+  UNION ALL SELECT station, 2, regr_intercept(pm25_h24, pm25_lag_1), regr_slope(pm25_h24, pm25_lag_1), min(ts), max(ts)
+    FROM features WHERE ts < TIMESTAMP '2024-01-24' GROUP BY station),
+tests AS (
+  SELECT station, 1 AS run, ts, pm25_lag_1, pm25_h24 FROM features WHERE ts >= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024-01-18'
+  UNION ALL SELECT station, 2, ts, pm25_lag_1, pm25_h24 FROM features WHERE ts >= TIMESTAMP '2024-01-24'),
+tried AS (
+  SELECT station, run, version, pm25_h24 AS actual, intercept + slope * pm25_lag_1 AS predicted
+  FROM tests JOIN fits USING (station) WHERE version <= run),
+{sql.metrics("tried", "station, run, version")},
+promoted AS (
+  SELECT c.station, 'linear' AS model, c.rmse, c.mae, p.rmse AS old_rmse, round(p.rmse - c.rmse, 4) AS delta_rmse,
+    round(p.mae - c.mae, 4) AS delta_mae, CASE WHEN p.rmse IS NULL OR c.rmse < p.rmse THEN 'DEPLOYED' ELSE 'NOT_DEPLOYED' END AS status
+  FROM metrics c LEFT JOIN metrics p ON p.station = c.station AND p.run = 2 AND p.version = 1
+  WHERE c.run = 2 AND c.version = 2),
+active AS (
+  SELECT f.station, f.version, 'linear' AS model_key, 1 AS n_features, CAST(CAST(f.first AS DATE) AS VARCHAR) AS train_start,
+    CAST(CAST(f.last AS DATE) AS VARCHAR) AS train_end, intercept, slope, m.rmse, m.mae
+  FROM fits f JOIN metrics m ON m.station = f.station AND m.version = f.version AND m.run = f.version
+  WHERE f.version = 1 OR f.station IN (SELECT station FROM promoted WHERE status = 'DEPLOYED')
+  QUALIFY row_number() OVER (PARTITION BY f.station ORDER BY f.version DESC) = 1)"""
+ONE_INPUT = ["pm25_lag_1"]
+
+
+def registry_rounds(spark, sf_dir):
+    """(promoted, active): results of the second run and the registry as it is stored after it."""
+    rows = stage_table(hourly_features(spark, sf_dir), "features")
+    path, active = work_dir(spark, "registry"), None
+    for version, (cut, end) in enumerate((("2024-01-12", "2024-01-18"), ("2024-01-24", "2024-03-01")), start=1):
+        split = model.assign_split(rows.filter(F.col("ts") < time(end)), time(cut), time(cut))
+        promoted, entries = training_run(
+            split, active, version, ONE_INPUT, kinds=["linear"], min_rows={"train": 1, "test": 1}
+        )
+        append_log(entries, path)
+        active = model.active_models(spark.read.schema(entries.schema).parquet(path))
+    return promoted, active
+
+
+@query("l11_training_run", f"WITH {RUNS} SELECT * FROM promoted")
+def two_training_runs(spark, sf_dir):
+    return registry_rounds(spark, sf_dir)[0]
+
+
+@query(
+    "l12_registry_weights",
+    f"""WITH {RUNS} SELECT station, CAST(version AS INTEGER) AS version, model_key, CAST(n_features AS INTEGER) AS n_features, train_start, train_end,
+    round(intercept, 6) AS intercept, round(slope, 6) AS slope, rmse, mae FROM active""",
+)
+def registry_weights(spark, sf_dir):
+    active = registry_rounds(spark, sf_dir)[1]
+    weights = [F.col("weights")[i].alias(n) for i, n in enumerate(("intercept", "slope"))]
+    return active.select("station", "version", "model_key", "n_features", "train_start", "train_end", *weights, "rmse", "mae")
+
+
 @query(
     "o2_leaderboard",
     f"""WITH {CANDIDATES}, overall AS (SELECT model, round(avg(mae), 6) AS mae, round(avg(rmse), 6) AS rmse FROM metrics GROUP BY model)

@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from hazeline import tables
 from hazeline.catalog import sql
+from hazeline.catalog.models import ONE_INPUT, RUNS, registry_rounds
 from hazeline.catalog.registry import query
 from hazeline.catalog.series import hourly, log_pairs
 from hazeline.operators import drift, features, quality
+from hazeline.operators.training import score_models
 from hazeline.session import stage_table
 
 AS_OF = "2024-01-31 00:00:00"
@@ -245,6 +247,29 @@ def forecast_monitor(spark, sf_dir):
     return monitored_forecasts(spark, sf_dir)
 
 
+M9_TWIN = FORECAST_MONITOR.replace(f"{REGISTRY},", "registry AS (SELECT station, model_key, train_end, true AS has_file, 19 AS n_features FROM trained),").replace(
+    "pm25_lag_24 AS predicted, pm25_h24 AS actual FROM features",
+    "intercept + slope * pm25_lag_1 AS predicted, pm25_h24 AS actual FROM features JOIN trained USING (station)",
+)
+
+
+@query(
+    "m9_from_registry",
+    f"WITH trained AS (WITH {RUNS} SELECT * FROM active), {M9_TWIN} SELECT * FROM monitored",
+)
+def monitor_from_registry(spark, sf_dir):
+    """The monitor scores what the training runs stored: the registry's weights, joined by station."""
+    _, active = registry_rounds(spark, sf_dir)
+    active, stations = stage_table(active, "active-models"), tables.event_stations(spark, sf_dir)
+    registry = active.select(
+        "station", "model_key", F.col("train_end").cast("string").alias("train_end"), F.lit(True).alias("has_file"), "n_features"
+    )
+    return drift.forecast_monitor(
+        tables.hourly_readings(spark, sf_dir, since="2024-01-12", until=AS_OF), registry, stations, AS_OF,
+        lambda df: score_models(df, active, ONE_INPUT, ["station", "pm25_h24"], ["linear"]), inputs=ONE_INPUT,
+    )
+
+
 BACKFILL = FORECAST_MONITOR.replace(
     "ts >= TIMESTAMP '2024-01-12'", "ts >= TIMESTAMP '2024-01-09' AND ts < TIMESTAMP '2024-01-28'"
 )

@@ -240,9 +240,12 @@ def forecast_monitor(
     as_of: str,
     score: Callable[[DataFrame], DataFrame],
     config: Mapping[str, float] = HOURLY_MONITOR,
+    inputs: Sequence[str] = HOURLY_FEATURES,
 ) -> DataFrame:
     """Health of the 24-hour models, all stations in one plan.
 
+    `inputs` are the features that a model must have been trained on.
+
     `registry` has (station, model_key, train_end, has_file, n_features); `score` adds `predicted`
     to a feature table. Only the lookback days before `as_of` are read, and nothing after it: pass raw
     readings (or a view that takes the bounds), so that both bounds reach the scan.
@@ -275,7 +278,7 @@ def forecast_monitor(
             "insufficient_data",
         )
         .when(rows < int(config["min_rows"]), "insufficient_window")
-        .when(F.col("n_features") != len(HOURLY_FEATURES), "shape_mismatch")
+        .when(F.col("n_features") != len(inputs), "shape_mismatch")
     )
     rmse_bad = F.col("rmse") > config["rmse"]
     psi_bad = F.col("psi") > config["psi"]

@@ -31,6 +31,11 @@ from hazeline.session import stage_table, work_dir
 BINS = 32
 CHUNK = 1 << 14
 STATE_EVERY = 10
+TREE_COLUMNS = ("depth", "tree", "node", "feature", "threshold", "left_value", "right_value", "base", "share")
+TREE_LIST = (
+    "array<struct<depth:int,tree:int,node:int,feature:int,threshold:double,left_value:double,right_value:double,base:double,"
+    "share:double>>"
+)
 NODE = "round int, model int, node int, feature int, bin int, g double, n double, left_g double, left_n double"
 CHUNKS = "x binary, y binary, block binary, row binary, state binary"
 
@@ -377,9 +382,10 @@ def fit_trees(
     """(trees, errors) for all stations of `blocked`, which has `block` 0..k and is read three times.
 
     `errors` has (station, setting, fold, mae, rows). `trees` has one row per node: (station, setting,
-    fold, tree, node, feature, threshold, left_value, right_value, base); rows up to the threshold go
-    left to node 2 * node, the others to 2 * node + 1, values are those of the two sides. A tree
-    without a cut has one row with feature -1 and its value on both sides. `setting` counts `depths`;
+    fold, tree, node, feature, threshold, left_value, right_value, base, share); rows up to the threshold
+    go left to node 2 * node, the others to 2 * node + 1, values are those of the two sides. A tree
+    without a cut has one row with feature -1 and its value on both sides. A prediction is `base` and
+    `share` times the sum of the trees' values. `setting` counts `depths`;
     a forest's shallower settings are cut from the trees of the deepest one, so its `setting` is null.
     """
     spark, station = blocked.sparkSession, dict(blocked.dtypes)["station"]
@@ -413,20 +419,20 @@ def fit_trees(
         value(F.col("left_g"), F.col("left_n")).alias("left_value"),
         value(F.col("g") - F.col("left_g"), F.col("n") - F.col("left_n")).alias("right_value"),
         F.get("bases", fold).alias("base"),
+        F.lit(spec.rate if spec.boosted else 1 / spec.rounds).alias("share"),
     )
     return stage_table(trees, "trees"), stage_table(job.errors(), "tree-errors")
 
 
 def score_trees(
-    rows: DataFrame, trees: DataFrame, features: Sequence[str], spec: TreeSpec, carry: Sequence[str], name: str = "predicted"
+    rows: DataFrame, trees: DataFrame, features: Sequence[str], carry: Sequence[str], name: str = "predicted"
 ) -> DataFrame:
     """(carry, name): each row scored by its station's trees.
 
-    `trees` has (station, depth, tree, node, feature, threshold, left_value, right_value, base) of one
-    model per station; `depth` ends the walk. Rows are packed into chunks of one station before they
+    `trees` has (station, `TREE_COLUMNS`) of one model per station; `depth` ends the walk. Rows are packed into chunks of one station before they
     meet the trees, so a model is copied once a chunk. Rows of stations without trees are left out.
     """
-    node_names = ["depth", "tree", "node", "feature", "threshold", "left_value", "right_value", "base"]
+    node_names = TREE_COLUMNS
     models = stage_table(
         trees.groupBy(F.col("station").alias("_station")).agg(F.collect_list(F.struct(*node_names)).alias("_trees")), "models"
     )
@@ -462,7 +468,7 @@ def score_trees(
                         right = ~(x[every, np.maximum(asks, 0)] <= cut[place])
                         place = np.where(asks >= 0, 2 * place + right, place)
                     total += value[place]
-                total = field["base"][0] + spec.rate * total if spec.boosted else total / spec.rounds
+                total = field["base"][0] + field["share"][0] * total
                 yield pa.RecordBatch.from_arrays(
                     [*[own.field(f"_k{i}") for i in range(len(carry))], pa.array(total)],
                     names=[*[f"_k{i}" for i in range(len(carry))], name],

@@ -120,7 +120,7 @@ def test_trees_equal_the_plain_version(spark, spec, chunk, monkeypatch):
         assert n == tested.sum() and mae == pytest.approx(np.abs(want - y)[tested].mean(), abs=1e-9)
     for setting, depth in enumerate(spec.depths):
         mine = found.filter(F.coalesce(F.col("setting") == setting, F.lit(True)) & (F.col("fold") == 0))
-        scored = trees.score_trees(df, mine.withColumn("depth", F.lit(depth)), FEATURES, spec, ["station", "ts", "y"])
+        scored = trees.score_trees(df, mine.withColumn("depth", F.lit(depth)), FEATURES, ["station", "ts", "y"])
         rows = sorted(tuple(r) for r in scored.collect())
         for station, (x, y, block, weights) in by_station.items():
             want = plain_predictions(x, y, block, 0, spec, depth, weights)
