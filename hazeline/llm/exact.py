@@ -2,8 +2,11 @@
 
 The index is a table bucketed and sorted by text digest. A delivery is reduced to its distinct
 digests, anti-joined with the index by sort-merge (the index side is read in its buckets and is
-not shuffled) and the survivors are appended to the same buckets. Texts never enter a shuffle;
-only 32-byte digests do.
+not shuffled) and the survivors are appended to the same buckets. The verdicts need only 32-byte
+digests in their shuffles; `drop_copies` also moves whole rows once, to their verdicts.
+
+The number of buckets follows the first delivery (`BUCKET_ROWS` rows each) and is kept with the table.
+Every delivery adds a file per bucket; `compact_index` writes them anew as one sorted file each.
 
 Equal means: the same text after lower-casing A-Z. Null text equals empty text. Inside one
 delivery the row with the largest doc_id stays (null is the smallest); of rows that repeat doc_id
@@ -23,7 +26,8 @@ from pyspark.sql import functions as F
 from hazeline.llm.common import id_text, lower_ascii, text_digest, whole
 from hazeline.session import stage_table, work_dir
 
-BUCKETS = 64
+BUCKET_ROWS = 1 << 20
+LEAST_BUCKETS = 8
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -36,9 +40,14 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     return stage_table(rows, "digests")
 
 
-def open_index(spark: SparkSession, path: str, buckets: int = BUCKETS) -> str:
-    """Name of the index table at `path`; creates it empty where there is none."""
-    name = f"digest_index_{hashlib.md5(path.encode()).hexdigest()}"
+def index_name(path: str) -> str:
+    return f"digest_index_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def open_index(spark: SparkSession, path: str, rows: int = 0) -> str:
+    """Name of the index table at `path`; creates it empty, for deliveries of about `rows`, where there
+    is none."""
+    name, buckets = index_name(path), max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} (digest BINARY, keep_id BIGINT, keep_row BIGINT, delivery STRING) USING parquet "
         f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
@@ -46,25 +55,41 @@ def open_index(spark: SparkSession, path: str, buckets: int = BUCKETS) -> str:
     return name
 
 
-def add_delivery(
-    spark: SparkSession, path: str, rows: DataFrame, buckets: int = BUCKETS, delivery: str = ""
-) -> None:
+def index_buckets(spark: SparkSession, path: str) -> int:
+    listed = spark.sql(f"DESCRIBE TABLE EXTENDED {index_name(path)}").filter("col_name = 'Num Buckets'")
+    return int(listed.first()["data_type"])
+
+
+def append(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """`rows` into the buckets of the index, one sorted file per bucket."""
+    name, buckets = index_name(path), index_buckets(spark, path)
+    rows.repartition(buckets, "digest").write.mode("append").format("parquet").option("path", path).bucketBy(
+        buckets, "digest"
+    ).sortBy("digest").saveAsTable(name)
+    spark.catalog.refreshTable(name)
+
+
+def compact_index(spark: SparkSession, path: str, new_path: str, rows: int | None = None) -> None:
+    """A copy of the index at `new_path` with one sorted file per bucket, in as many buckets as its
+    rows need now; readers move over when it is complete."""
+    old = spark.table(open_index(spark, path))
+    open_index(spark, new_path, old.count() if rows is None else rows)
+    append(spark, new_path, old)
+
+
+def add_delivery(spark: SparkSession, path: str, rows: DataFrame, delivery: str = "") -> None:
     """Append the digests of `rows` (from `digests`) that the index does not hold yet.
 
     Row ids restart in each staged delivery, so `keep_row` holds together with `delivery` only.
     """
-    name = open_index(spark, path, buckets)
+    name = open_index(spark, path, rows.count())
     best = F.max(F.struct("doc_id", "row_id"))
     groups = rows.groupBy("digest").agg(best.alias("best")).select(
         "digest", F.col("best.doc_id").alias("keep_id"), F.col("best.row_id").alias("keep_row"),
         F.lit(delivery).alias("delivery"),
     )
     known = spark.table(name).select("digest").hint("merge")
-    fresh = groups.join(known, "digest", "left_anti").repartition(buckets, "digest")
-    fresh.write.mode("append").format("parquet").option("path", path).bucketBy(buckets, "digest").sortBy(
-        "digest"
-    ).saveAsTable(name)
-    spark.catalog.refreshTable(name)
+    append(spark, path, groups.join(known, "digest", "left_anti"))
 
 
 def resolve(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:

@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.common import whole
+from hazeline.llm.common import text_slices, whole
 from hazeline.session import stage_table
 
 BINS = 1 << 14
+SLICE_BYTES = 1 << 21
 TEXT_TRIGRAMS = 60.0
 STRENGTH = 4.0
 SMOOTH = 0.5
@@ -71,9 +72,9 @@ def profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[l
     names = sorted(r["lang"] for r in sums.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(names) > MAX_LANGUAGES:
         raise ValueError("too many languages")
-    counts = np.zeros((len(names), BINS))
+    counts, place = np.zeros((len(names), BINS)), {name: i for i, name in enumerate(names)}
     for row in sums.toLocalIterator():
-        counts[names.index(row["lang"]), row["bin"]] = row["n"]
+        counts[place[row["lang"]], row["bin"]] = row["n"]
     return names, np.log((counts + SMOOTH) / (counts.sum(axis=1, keepdims=True) + SMOOTH * BINS))
 
 
@@ -97,15 +98,18 @@ def evidence(pages: DataFrame, names: Sequence[str], table: np.ndarray, key: str
 
     def likelihood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [trigrams(t.as_py()) for t in batch.column("text")]
-            logs = np.array([table @ f for f in found]).reshape(len(found), len(names))
-            sizes = np.array([f.sum() for f in found], dtype=float)
-            logs *= np.minimum(1.0, TEXT_TRIGRAMS / np.maximum(sizes, 1.0))[:, None]
-            logs -= logs.max(axis=1, keepdims=True)
-            q = np.exp(logs)
-            q /= q.sum(axis=1, keepdims=True)
-            columns = {n: batch.column(n) for n in ("page_id", "host", "domain", "suffix", "declared")}
-            yield pa.RecordBatch.from_pydict({**columns, "text_log": logs.tolist(), "q": q.tolist()}, schema=schema)
+            for start, texts in text_slices(batch.column("text"), SLICE_BYTES):
+                logs, sizes = np.zeros((len(texts), len(names))), np.zeros(len(texts))
+                for i, text in enumerate(texts):
+                    found = trigrams(text)
+                    logs[i], sizes[i] = table @ found, found.sum()
+                logs *= np.minimum(1.0, TEXT_TRIGRAMS / np.maximum(sizes, 1.0))[:, None]
+                logs -= logs.max(axis=1, keepdims=True)
+                q = np.exp(logs)
+                q /= q.sum(axis=1, keepdims=True)
+                names_ = ("page_id", "host", "domain", "suffix", "declared")
+                columns = {n: batch.column(n).slice(start, len(texts)) for n in names_}
+                yield pa.RecordBatch.from_pydict({**columns, "text_log": logs.tolist(), "q": q.tolist()}, schema=schema)
 
     schema = pa.schema([
         ("page_id", pa.int64()), ("host", pa.string()), ("domain", pa.string()), ("suffix", pa.string()),

@@ -12,7 +12,7 @@ rows are numbered inside segments only.
 
 Sizes are words; null and empty texts have size 0 and may be emitted (they take no words). Sources
 are ordered by code point with null as a source of its own at the end. Ties in size are ordered by
-md5 of the id, then the id, then the text's hash; rows that repeat all of it are interchangeable.
+md5 of id and text, then the id; rows that repeat both are interchangeable.
 An empty table gives an empty result.
 """
 
@@ -97,8 +97,8 @@ def mixed(
         F.col(key).alias("key"),
         F.col(source).cast("string").alias("source"),
         word_count(whole(F.col(text))).alias("size"),
-        F.md5(id_text(F.col(key)).cast("binary")).alias("dice"),
-        F.xxhash64(whole(F.col(text))).alias("text_hash"),
+        # the text keeps rows without an id, or with one repeated id, from meeting in one bucket
+        F.md5(F.concat_ws("|", id_text(F.col(key)), F.md5(whole(F.col(text)).cast("binary"))).cast("binary")).alias("dice"),
     ).select("*", size_class(F.col("size")).alias("class"), F.substring("dice", 1, 2).alias("bucket"))
     segment = ("source", "class", "bucket")
     counts = stage_table(
@@ -118,7 +118,7 @@ def mixed(
         *[located[c].alias(f"s_{c}") for c in segment], "start", "source_size", "target"
     )
     aimed = stage_table(aimed, "mix-starts")
-    place = Window.partitionBy(*segment).orderBy("size", "dice", F.col("key").asc_nulls_first(), "text_hash")
+    place = Window.partitionBy(*segment).orderBy("size", "dice", F.col("key").asc_nulls_first())
     numbered = rows.select("rec", *segment, "size", F.row_number().over(place).alias("place"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     at = F.col("start") + F.col("place")

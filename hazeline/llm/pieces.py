@@ -11,7 +11,7 @@ longer last piece wins. The model file is public and only read.
 
 Null text is empty and encodes to nothing. Decoding gives the text back byte for byte, except that
 a mark sign (U+2581) in a text is read as a blank, as the format has it. Rows are encoded one by
-one, so repeated rows and ids do not matter. Memory of a task is bounded by `BLOCK_CHARS` of text
+one, so repeated rows and ids do not matter. Memory of a task is bounded by `BLOCK_BYTES` of text
 or the longest text, and by the cache of `CACHE_WORDS` words.
 """
 
@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.common import whole
+from hazeline.llm.common import text_slices, whole
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10
-BLOCK_CHARS = 1 << 23
+BLOCK_BYTES = 1 << 23
 CACHE_WORDS = 1_200_000
 UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|\n[^{MARK}\n]*").findall
 
@@ -128,33 +128,20 @@ def coder(path: str) -> PieceCoder:
     return _CODERS[path]
 
 
-def blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about `BLOCK_CHARS` characters each."""
-    start, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= BLOCK_CHARS:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids, n_ids, round_trip) for every row; round_trip: decoding gave the text back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = coder(model)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, stop in blocks(texts):
-                data = codes.encode(texts[start:stop])
+            for start, texts in text_slices(batch.column("text"), BLOCK_BYTES):
+                stop, data = start + len(texts), codes.encode(texts)
                 flat = np.frombuffer(b"".join(data), dtype="<u2")
                 lengths = np.array([len(d) // 2 for d in data], dtype=np.int64)
                 offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 same = [
                     codes.decode(np.frombuffer(d, dtype="<u2").tolist()) == t.replace(MARK, " ").encode()
-                    for d, t in zip(data, texts[start:stop])
+                    for d, t in zip(data, texts)
                 ]
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(

@@ -170,7 +170,8 @@ FROM counted LEFT JOIN depleted USING (host, page)
 
 OP8_SQL = rf"""
 WITH sized AS (
-  SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, 'null')) AS dice FROM documents
+  SELECT doc_id, source, len({_WORDS})::BIGINT AS size, 
+         md5(coalesce(doc_id::VARCHAR, 'null') || '|' || md5(coalesce(text, ''))) AS dice FROM documents
 ), placed AS (
   SELECT *, lpad(length(bin(size))::VARCHAR, 2, '0') || left(bin(size), 3) AS class,
          ('0x' || left(md5('{mixing.SEED}' || coalesce(source, '')), 8))::BIGINT::DOUBLE / 4294967296.0 AS u

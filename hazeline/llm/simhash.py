@@ -157,23 +157,28 @@ def components(edges: DataFrame) -> DataFrame:
     return rooted.unionByName(rooted.select(F.col("root").alias("fp"), "root").distinct())
 
 
-def rooted_nodes(nodes: DataFrame) -> DataFrame:
+def rooted_nodes(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     """`nodes`, a stored table with one row per fp, with the smallest fp of its component as root."""
-    rooted = components(links(nodes.select("fp")))
+    rooted = components(links(nodes.select("fp"), radius))
     placed = nodes.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     return stage_table(placed, "fingerprint-roots")
 
 
-def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_groups(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS
+) -> DataFrame:
     """(doc_id, fp, component_id) for every row; component_id is the smallest doc_id reachable."""
-    rows = stage_table(fingerprints(docs, key=key, text=text), "fingerprints")
-    placed = rooted_nodes(stage_table(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprint-nodes"))
+    rows = stage_table(fingerprints(docs, key=key, text=text, words=words), "fingerprints")
+    nodes = stage_table(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprint-nodes")
+    placed = rooted_nodes(nodes, radius)
     smallest = stage_table(placed.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
     labels = stage_table(placed.join(smallest, "root").select("fp", "component_id"), "fingerprint-labels")
     return rows.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS
+) -> DataFrame:
     """`docs` with one row of each group: the one with the smallest doc_id, then text digest.
 
     Rows are told apart by doc_id and text, so rows without an id, and rows that repeat an id with
@@ -181,8 +186,8 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     group has none. Of rows that repeat both, one stays.
     """
     name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
-    rows = fingerprints(docs, text_digest(whole(F.col(text))).alias("digest"), key=key, text=text)
-    placed = rooted_nodes(stage_table(rows.groupBy("fp").agg(F.min(name).alias("first")), "fingerprint-nodes"))
+    rows = fingerprints(docs, text_digest(whole(F.col(text))).alias("digest"), key=key, text=text, words=words)
+    placed = rooted_nodes(stage_table(rows.groupBy("fp").agg(F.min(name).alias("first")), "fingerprint-nodes"), radius)
     first = placed.groupBy("root").agg(F.min("first").alias("first"))
     row_key = lambda digest, doc_id: F.concat(digest, id_text(doc_id).cast("binary"))
     stays = first.select(row_key(F.col("first.digest"), F.col("first.doc_id")).alias("_kept_key"))

@@ -186,6 +186,10 @@ def test_digest_index_is_persistent(spark, docs):
     assert table_of(spark.table(exact.open_index(spark, path))) == first
     plan = spark.table(exact.open_index(spark, path)).groupBy("digest").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # the buckets replace the shuffle
+    exact.compact_index(spark, path, f"{path}-new", rows=40 * exact.BUCKET_ROWS)
+    again = spark.table(exact.open_index(spark, f"{path}-new"))
+    assert table_of(again) == first and exact.index_buckets(spark, f"{path}-new") == 40
+    assert exact.index_buckets(spark, path) == exact.LEAST_BUCKETS and len(again.inputFiles()) <= 40
 
 
 def test_later_delivery_is_filtered_by_the_index(spark, tmp_path):
@@ -472,6 +476,14 @@ def test_mixing(spark, docs, none):
     assert mixing.mixed(none, ["doc_id"]).count() == 0 and mixing.mix(none).count() == 0
 
 
+def test_mixing_spreads_rows_without_an_id(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("w "), "id").alias("text"), F.lit("s").alias("source"))
+    plan = mixing.mixed(rows, ["text"])
+    assert plan.count() == 3000
+    buckets = rows.select(F.substring(F.md5(F.concat_ws("|", F.lit("null"), F.md5(F.col("text").cast("binary"))).cast("binary")), 1, 2))
+    assert buckets.distinct().count() > 200
+
+
 def test_mixing_comes_near_the_targets(spark):
     rows = [(i, sentence(i, 20 + i * 7 % 90), f"s{i % 4}") for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
