@@ -548,8 +548,13 @@ def prediction_jobs(spark, sf_dir):
 
 
 def manual_jobs(spark, sf_dir):
-    readings, stations = tables.hourly_readings(spark, sf_dir), tables.event_stations(spark, sf_dir)
-    return model.prediction_jobs(readings, stations, "2024-02-10", "2024-01-16", "2024-02-05")
+    return jobs_of(spark, sf_dir, "2024-02-10", "2024-01-16", "2024-02-05")
+
+
+def jobs_of(spark, sf_dir, *days):
+    since, until = model.job_bounds(spark, *days)
+    readings = tables.hourly_readings(spark, sf_dir, since=since, until=until)
+    return model.prediction_jobs(readings, tables.event_stations(spark, sf_dir), *days)
 
 
 @query(
@@ -560,9 +565,7 @@ def manual_jobs(spark, sf_dir):
       UNION ALL SELECT 'offline', 'no_daily_data', NULL)""",
 )
 def scheduled_jobs(spark, sf_dir):
-    readings, stations = tables.hourly_readings(spark, sf_dir), tables.event_stations(spark, sf_dir)
-    jobs = model.prediction_jobs(readings, stations, "2024-02-01")
-    return jobs.select("station", "skip_reason", "target_date")
+    return jobs_of(spark, sf_dir, "2024-02-01").select("station", "skip_reason", "target_date")
 
 
 STORED = f"""WITH {JOBS}, old AS (SELECT station, date AS prediction_date, pm25 AS predicted_pm25, 'old' AS model FROM means),
@@ -595,7 +598,8 @@ def old_and_fresh(spark, sf_dir):
     jobs = manual_jobs(spark, sf_dir)
     score = model.linear_score(NEXT_DAY_WEIGHTS)
     fresh = model.job_predictions(jobs, score, "blend", "manual", time("2024-02-10"))
-    means = daily_local_mean(tables.hourly_readings(spark, sf_dir), "2023-12-25", "2024-02-04")
+    since, until = model.job_bounds(spark, "2024-02-10", "2024-01-16", "2024-02-05")
+    means = daily_local_mean(tables.hourly_readings(spark, sf_dir, since=since, until=until), "2023-12-25", "2024-02-04")
     empty = {
         name: F.lit(None).cast(kind)
         for name, kind in fresh.dtypes

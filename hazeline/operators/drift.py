@@ -206,10 +206,15 @@ def daily_monitor(
 ) -> DataFrame:
     """Latest pairs of the trailing window per station: MAE, PSI and the retrain decision.
 
-    Stations with too few pairs keep null metrics and are never sent to retraining.
+    Stations with too few pairs keep null metrics and are never sent to retraining. The last day with a
+    pair comes from the keys of both logs alone; only the window after its bound is read with all
+    columns, made distinct and joined. Give scans of stored logs.
     """
-    pairs = pair_predictions(predictions, actuals, order)
-    recent = trailing_window(pairs, int(config["window_days"]), "date")
+    days, keys = int(config["window_days"]), ["station", "date"]
+    both = predictions.select(*keys).distinct().join(actuals.select(*keys).distinct(), keys)
+    last = stage_table(both.groupBy("station").agg(F.max("date").alias("_last")), "last-pairs")
+    windowed = lambda log: trailing_window(log, days, "date", last=last)
+    recent = pair_predictions(windowed(predictions), windowed(actuals), order)
     health = window_health(recent, bins=int(config["bins"])).select(
         "station", "n", F.col("mae").alias("_mae"), F.col("psi").alias("_psi")
     )

@@ -211,12 +211,22 @@ def feature_columns(
 
 
 def trailing_window(
-    df: DataFrame, days: int, order: str = "ts", keys: Sequence[str] = KEYS
+    df: DataFrame, days: int, order: str = "ts", keys: Sequence[str] = KEYS, last: DataFrame | None = None, stored: bool = False
 ) -> DataFrame:
-    """Rows from `days` days before a station's last row, both ends included."""
-    last = stage_table(df.groupBy(*keys).agg(F.max(order).alias("_last")), "last")
+    """Rows from `days` days before a station's last row, both ends included.
+
+    The last rows are found first; then the oldest of their bounds goes to the scan as a constant, and
+    each station's own bound is applied by a join. An input that is no stored table is stored once,
+    so that its plan does not run twice. `last` (keys, _last) replaces the first step.
+    """
+    if last is None:
+        df = df if stored else stage_table(df, "window-input")
+        last = stage_table(df.groupBy(*keys).agg(F.max(order).alias("_last")), "last")
     since = F.col("_last") - F.make_dt_interval(days=F.lit(days))
-    return df.join(last, list(keys)).filter(F.col(order) >= since).drop("_last")
+    floor = last.agg(F.min(since.cast("timestamp_ntz")).cast("string").alias("since")).first()["since"]
+    kind = dict(df.dtypes)[order]
+    rows = df if floor is None else df.filter(F.col(order) >= F.lit(floor).cast("timestamp_ntz").cast(kind))
+    return rows.join(last, list(keys)).filter(F.col(order) >= since).drop("_last")
 
 
 def latest(df: DataFrame, n: int, order: str = "ts", keys: Sequence[str] = KEYS, ties: Sequence[str] = ()) -> DataFrame:

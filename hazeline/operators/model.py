@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazeline.functions.parsing import LOCAL_TZ, day_bounds
@@ -191,6 +191,21 @@ def forecast_next_day(
     return rows.select(key, "prediction_date", F.round(score, places).alias("predicted"))
 
 
+def job_days(today: str, start: str | None = None, end: str | None = None) -> tuple[Column, Column]:
+    """The first and last local day that `prediction_jobs` needs."""
+    day = lambda text: F.lit(text).cast("date")
+    if start is not None:
+        return F.date_sub(day(start), HISTORY_DAYS + FILL_LOOKBACK_DAYS), F.date_sub(day(end), 1)
+    return F.date_sub(day(today), HISTORY_DAYS + FILL_LOOKBACK_DAYS + SCHEDULE_BUFFER_DAYS), day(today)
+
+
+def job_bounds(spark: SparkSession, today: str, start: str | None = None, end: str | None = None, tz: str = LOCAL_TZ) -> tuple[str, str]:
+    """The times [since, until) that `prediction_jobs` needs, for a reader that takes them."""
+    since, until = day_bounds(*job_days(today, start, end), tz)
+    row = spark.range(1).select(since.cast("string").alias("since"), until.cast("string").alias("until")).first()
+    return row["since"], row["until"]
+
+
 def prediction_jobs(
     readings: DataFrame,
     stations: DataFrame,
@@ -201,17 +216,12 @@ def prediction_jobs(
 ) -> DataFrame:
     """One row per (station, target date) with its 15-day history, or one with a skip reason.
 
-    With `start` and `end` the run is manual; without them every station gets the day after its
+    Read `readings` with the times of `job_bounds`, so that they reach the scan. With `start` and `end` the run is manual; without them every station gets the day after its
     latest reading.
     """
     manual = start is not None
     day = lambda text: F.lit(text).cast("date")
-    if manual:
-        first = F.date_sub(day(start), HISTORY_DAYS + FILL_LOOKBACK_DAYS)
-        last = F.date_sub(day(end), 1)
-    else:
-        first = F.date_sub(day(today), HISTORY_DAYS + FILL_LOOKBACK_DAYS + SCHEDULE_BUFFER_DAYS)
-        last = day(today)
+    first, last = job_days(today, start, end)
     start_ts, end_ts = day_bounds(first, last, tz)
     means = daily_local_mean(readings.filter((F.col("ts") >= start_ts) & (F.col("ts") < end_ts)), tz=tz)
     # at most one row per station and day of the requested range, so a plain window is bounded

@@ -189,12 +189,28 @@ def test_upserting_rewrites_only_its_days(spark):
 def test_time_bounds_reach_the_event_scan(spark):
     import __spark_entry__ as driver
 
-    for name in ("m9_forecast_monitor", "a2_daily_local_mean"):
+    for name in ("m9_forecast_monitor", "a2_daily_local_mean", "l16_prediction_jobs", "l16_scheduled_jobs", "l17_store_predictions"):
         plan = driver.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         scans = [line for line in plan.splitlines() if "events.parquet" in line and "value" in line and "PushedFilters" in line]
         assert scans and all("GreaterThanOrEqual(ts" in line and "LessThan(ts" in line for line in scans)
 
 
+def test_the_daily_monitor_reads_its_window_only(spark):
+    from hazeline.operators import drift
+
+    path = {n: work_dir(spark, n) for n in ("predictions", "actuals")}
+    for name, value in (("predictions", "predicted"), ("actuals", "actual")):
+        rows = [(s, dt.date(2020, 1, 1) + dt.timedelta(d), float(d), d) for s in "ab" for d in range(400 if s == "a" else 390)]
+        spark.createDataFrame(rows, f"station string, date date, {value} double, entry int").write.parquet(path[name])
+    logs = [spark.read.parquet(p) for p in path.values()]
+    found = drift.daily_monitor(*logs, ["entry"], logs[0].select("station"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    for name in ("predicted", "actual"):
+        scans = [x for x in plan.splitlines() if "FileScan" in x and f"{name}#" in x.split("Batched")[0]]
+        assert scans and all("GreaterThanOrEqual(date,2020-12-25)" in x for x in scans)
+    assert {r["station"]: r["evaluated_pairs"] for r in found.collect()} == {"a": 31, "b": 31}
+
+
 def test_scan_reaches_the_files(spark):
     path = work_dir(spark, "table")
     stored.write_by_day(spark.createDataFrame([("a", at(i * 60), float(i)) for i in range(48)], SCHEMA), path)
