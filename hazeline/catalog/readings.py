@@ -101,6 +101,25 @@ def decode_snapshots(spark, sf_dir):
     return decoded.drop("temp", "rh", "ws", "wd")
 
 
+K = "CAST(regexp_extract(props, '[0-9]+') AS INTEGER)"
+
+
+@query(
+    "s7_decode_many_stations",
+    f"""SELECT CAST(date_trunc('day', ts) AS DATE) - DATE '1970-01-01' AS payload_id, CAST(user_id AS INTEGER) AS station_id,
+    any_value(s_name) AS station_name, any_value(n_name) AS station_name_en, CAST(date_trunc('hour', ts) AS VARCHAR) AS ts,
+    round(max(value), 6) AS pm25, max({K})::DOUBLE AS pm10, min({K})::DOUBLE AS temp, count(*)::DOUBLE AS rh,
+    CASE WHEN min({K}) >= 10 THEN min({K}) END::DOUBLE AS ws, CAST(NULL AS DOUBLE) AS wd
+    FROM events LEFT JOIN (supplier JOIN nation ON s_nationkey = n_nationkey) ON user_id = s_suppkey
+    GROUP BY date_trunc('day', ts), user_id, date_trunc('hour', ts)""",
+)
+def decode_many_stations(spark, sf_dir):
+    """Payloads of a day: many stations, a row per hour, six measures, every alias listed twice."""
+    dim = tables.station_names(spark, sf_dir).withColumn("station_id", F.col("station_id").cast("int"))
+    payloads = stage_table(tables.daily_payloads(spark, sf_dir), "payloads")
+    return snapshots.decode_snapshots(payloads, dim)
+
+
 def raw_stations(spark, sf_dir):
     names = tables.station_names(spark, sf_dir)
     supplier = tables.table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal", "s_nationkey")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.functions.parsing import LOCAL_TZ, coerce_float, parse_buddhist_ts
@@ -16,6 +17,7 @@ PAYLOAD_SCHEMA = (
     "arrData array<map<string,string>>"
 )
 TIME_KEY = "Date_Time"
+PAYLOADS_AT_ONCE = 500
 
 
 def station_dim(
@@ -40,6 +42,23 @@ def resolve_stations(dim: DataFrame, requested: Sequence[int]) -> DataFrame:
     return wanted.join(dim.select("station_id"), "station_id", "left_semi")
 
 
+def cells_by_reading(entries: list | None, cells: list | None, fields: Mapping[str, str]) -> Iterator[tuple[tuple, dict]]:
+    """((station, time), {parameter: text}) of one payload; later entries and cells replace earlier ones."""
+    meaning = {
+        e["Alias"]: (e["MeasIndex"], e["ShortName"]) for e in entries or ()
+        if e is not None and e["Alias"] is not None and e["MeasIndex"] is not None and e["ShortName"] in fields
+    }
+    found: dict[tuple, dict] = {}
+    for row in cells or ():
+        time = next((text for name, text in row or () if name == TIME_KEY), None)
+        if time:
+            for alias, text in row:
+                if alias in meaning:
+                    station, name = meaning[alias]
+                    found.setdefault((station, time.strip(" ")), {})[name] = text
+    yield from found.items()
+
+
 def decode_snapshots(
     payloads: DataFrame,
     dim: DataFrame,
@@ -50,55 +69,40 @@ def decode_snapshots(
 ) -> DataFrame:
     """Typed readings of JSON payloads: (payload_id, station_id, names, ts, six measures).
 
-    Linear in cells: list entries and cells are exploded together, meet by alias inside their
-    payload (one shuffle on payload and alias), and are summed up to readings (one shuffle on
-    payload, station and time). The last entry of an alias counts, and of the cells of a station,
-    time and measure the last one, by row and place. Only the name table is joined (give it as a
+    A payload is one row, and its cells meet its parameter list by alias inside it: one look at every
+    entry and cell, no shuffle. The last entry of an alias counts, and of the cells of a station, time
+    and measure the last one, by row and place. Only the name table is joined (give it as a
     stored table, so Spark knows its size). Rows whose measures are all null are dropped.
     """
-    none = F.lit(None)
-    usable = F.filter(
-        "p.arrParameter",
-        lambda a: a["Alias"].isNotNull() & a["MeasIndex"].isNotNull() & a["ShortName"].isin(*fields),
-    )
-    item = lambda alias, at, entry, time, text: F.struct(
-        alias.alias("alias"), at.alias("at"), entry.alias("entry"), time.alias("time"), text.alias("text")
-    )
-    no_entry = none.cast("struct<at:int,station:int,name:string>")
-    entries = F.transform(usable, lambda a, i: item(
-        a["Alias"], none.cast("struct<row:int,cell:int>"),
-        F.struct(i.alias("at"), a["MeasIndex"].alias("station"), a["ShortName"].alias("name")),
-        none.cast("string"), none.cast("string"),
-    ))
-    cells = F.transform("p.arrData", lambda r, i: F.when(
-        F.coalesce(r[TIME_KEY], F.lit("")) != "",
-        F.transform(F.map_entries(r), lambda c, j: item(
-            c["key"], F.struct(i.alias("row"), j.alias("cell")), no_entry, F.trim(r[TIME_KEY]), c["value"]
-        )),
-    ))
-    items = F.concat(
-        F.coalesce(entries, F.array()), F.coalesce(F.flatten(F.filter(cells, lambda c: c.isNotNull())), F.array())
-    )
-    parsed = payloads.select(
-        F.monotonically_increasing_id().alias("_row"), payload_id, F.from_json("body", PAYLOAD_SCHEMA).alias("p")
-    )
-    listed = parsed.select("_row", payload_id, F.explode(items).alias("_i")).select("_row", payload_id, "_i.*")
-    meaning = F.max("entry").over(Window.partitionBy("_row", "alias"))
-    known = listed.select("_row", payload_id, "time", "at", "text", meaning.alias("m")).filter(
-        F.col("at").isNotNull() & F.col("m").isNotNull()
-    )
-    last = lambda name: F.max_by(
-        F.when(F.col("m.name") == name, F.struct("text")), F.when(F.col("m.name") == name, F.col("at"))
-    )
-    readings = known.groupBy("_row", payload_id, F.col("m.station").alias("station_id"), "time").agg(
-        *[last(name).alias(f"_{field}") for name, field in fields.items()]
-    )
+    kind = dict(payloads.dtypes)[payload_id]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id")
+            for start in range(0, len(ids), PAYLOADS_AT_ONCE):
+                part = batch.slice(start, PAYLOADS_AT_ONCE)
+                rows = [
+                    (at, *key, *[texts.get(name) for name in fields])
+                    for at, (entries, cells) in enumerate(zip(part.column("entries").to_pylist(), part.column("cells").to_pylist()))
+                    for key, texts in cells_by_reading(entries, cells, fields)
+                ]
+                at, station, time, *texts = zip(*rows) if rows else [()] * (3 + len(fields))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(pa.array(at, pa.int64())), pa.array(station, pa.int32()), pa.array(time, pa.string()),
+                     *[pa.array(t, pa.string()) for t in texts]],
+                    names=["id", "station_id", "time", *[f"_{f}" for f in fields.values()]],
+                )
+
     measures = list(fields.values())
-    readings = readings.select(
-        payload_id,
+    parsed = payloads.select(F.col(payload_id).alias("id"), F.from_json("body", PAYLOAD_SCHEMA).alias("p")).select(
+        "id", F.col("p.arrParameter").alias("entries"), F.col("p.arrData").alias("cells")
+    )
+    schema = f"id {kind}, station_id int, time string, " + ", ".join(f"_{f} string" for f in measures)
+    readings = parsed.mapInArrow(meet, schema).select(
+        F.col("id").alias(payload_id),
         "station_id",
         parse_buddhist_ts(F.col("time"), tz).alias("ts"),
-        *[coerce_float(F.col(f"_{f}.text")).alias(f) for f in measures],
+        *[coerce_float(F.col(f"_{f}")).alias(f) for f in measures],
     ).filter(F.coalesce(*measures).isNotNull())
     if stations is not None:
         readings = readings.join(stations.select("station_id"), "station_id", "left_semi")
