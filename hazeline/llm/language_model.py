@@ -32,7 +32,8 @@ from hazeline.session import stage_table
 
 WORDS = 1024
 CLASSES = 32
-ROUNDS = 2
+ROUNDS = 3
+BLOCKS_A_TASK = 2
 BLOCK_BYTES = 1 << 24
 TRAIN_TOKENS = 1 << 22
 CHUNK = 1 << 14
@@ -137,7 +138,9 @@ def encode(blocks: DataFrame, entries: DataFrame, facts: dict) -> DataFrame:
         ("known", pa.list_(pa.int32())), ("base", pa.list_(pa.float64())), ("rare", pa.list_(pa.float64())),
         ("symbols", pa.binary()),
     ])
-    left = blocks.select("block", "doc_ids", "held", "lengths", "codes")
+    # as many tasks as the blocks need, whatever the session's number of shuffle partitions
+    tasks = -(-blocks.count() // BLOCKS_A_TASK) or 1
+    left = blocks.select("block", "doc_ids", "held", "lengths", "codes").repartition(tasks, "block")
     return left.groupBy("block").cogroup(entries.groupBy("of_block")).applyInArrow(join, ENCODED_TYPE)
 
 
