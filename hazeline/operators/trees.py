@@ -2,8 +2,8 @@
 by level.
 
 Features are cut into at most `BINS` bins per station. A level of every tree that is being grown is
-one job: tasks sum the targets of their rows by (station, model, node, feature, bin), one aggregate
-adds the sums up over tasks, and the best cut of a node is read off its running sums. Nodes are rows
+one job: tasks sum the targets of their rows by (station, model, node, feature, bin), the sums of all
+tasks are added up, and the best cut of a node is read off its running sums. Nodes are rows
 of a table; the rows of the data never move after they were packed once into chunks of one station
 (binned features as bytes), so a station with a third of all rows is just many chunks. What meets a
 chunk is one row per station with the nodes since the last stored state, bounded by the rounds
@@ -31,6 +31,7 @@ from hazeline.session import stage_table, work_dir
 BINS = 32
 CHUNK = 1 << 14
 STATE_EVERY = 10
+NODES_AT_ONCE, FAN_IN = 256, 64
 TREE_COLUMNS = ("depth", "tree", "node", "feature", "threshold", "left_value", "right_value", "base", "share")
 TREE_LIST = (
     "array<struct<depth:int,tree:int,node:int,feature:int,threshold:double,left_value:double,right_value:double,base:double,"
@@ -221,92 +222,94 @@ class Rows:
 def level_sums(
     chunks: DataFrame, spec: TreeSpec, round_: int, level: int, width: int, k: int, bins: int, station: str
 ) -> DataFrame:
-    """(station, model, node, feature, g0.., n0..): sums by bin of the rows of each task."""
+    """(station, model, node, lot, part, sums): each task's sums of its rows, by feature and bin.
+
+    `sums` holds, for each feature, the targets by bin and the rows by bin.
+    """
     settings = [s for s, depth in enumerate(spec.depths) if depth > level] if spec.boosted else range(min(spec.together, spec.rounds - round_))
     models = [s * (k + 1) + f for s in settings for f in range(k + 1)]
-    names = [f"g{b}" for b in range(bins)] + [f"n{b}" for b in range(bins)]
-    deepest = max(spec.depths) > level
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         kind, total = None, {}
         for batch in batches:
             kind = batch.schema.field("station").type
             for at in range(batch.num_rows):
                 own, name = Rows(batch, at, width, spec, k), batch.column("station")[at].as_py()
                 state = own.applied(round_) if spec.boosted else None
-                for model in models if deepest else ():
+                for model in models:
                     target = own.y - state[model] if spec.boosted else own.y
                     found = own.sums(round_, level, model, target, bins)
-                    if found is None:
-                        continue
-                    for i, node in enumerate(found[0].tolist()):
-                        rows = slice(i * width, (i + 1) * width)
+                    for i, node in enumerate(found[0].tolist() if found else ()):
+                        rows, key = slice(i * width, (i + 1) * width), (name, model, node)
                         sums = np.concatenate([found[1][rows], found[2][rows]], axis=1)
-                        key = (name, model, node)
                         total[key] = total[key] + sums if key in total else sums
         if total:
-            names_, model, node = zip(*total)
-            data = np.concatenate(list(total.values()))
-            repeat = lambda x: np.repeat(np.array(x), width)
+            names, model, node = (list(x) for x in zip(*total))
+            lot = (np.array(model, dtype=np.int64) * (1 << level) + np.array(node)) // NODES_AT_ONCE
             yield pa.RecordBatch.from_arrays(
-                [pa.array([n for n in names_ for _ in range(width)], kind), pa.array(repeat(model), pa.int32()),
-                 pa.array(repeat(node), pa.int32()), pa.array(np.tile(np.arange(width), len(node)), pa.int32()),
-                 *[pa.array(np.ascontiguousarray(data[:, c])) for c in range(2 * bins)]],
-                names=["station", "model", "node", "feature", *names],
+                [pa.array(names, kind), pa.array(model, pa.int32()), pa.array(node, pa.int32()), pa.array(lot),
+                 pa.array([TaskContext.get().partitionId()] * len(node), pa.int32()),
+                 pa.array([x.tobytes() for x in total.values()], pa.binary())],
+                names=["station", "model", "node", "lot", "part", "sums"],
             )
 
-    schema = f"station {station}, model int, node int, feature int, " + ", ".join(f"{n} double" for n in names)
-    return chunks.mapInArrow(run, schema)
+    return chunks.mapInArrow(run, f"station {station}, model int, node int, lot long, part int, sums binary")
 
 
-def best_cuts(sums: DataFrame, spec: TreeSpec, round_: int, bins: int) -> DataFrame:
+def added(rows: pa.Table, width: int, bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(model, node, sums) with the sums of all parts of a node added up."""
+    model, node = rows.column("model").to_numpy(), rows.column("node").to_numpy()
+    order = np.lexsort((rows.column("part").to_numpy(), node, model))
+    model, node = model[order], node[order]
+    first = np.flatnonzero((np.diff(model, prepend=-1) != 0) | (np.diff(node, prepend=-1) != 0))
+    data = np.frombuffer(b"".join(rows.column("sums").take(pa.array(order)).to_pylist()), dtype=np.float64)
+    sums = np.add.reduceat(data.reshape(len(order), width, 2 * bins), first, axis=0)
+    return model[first], node[first], sums
+
+
+def best_cuts(sums: DataFrame, spec: TreeSpec, round_: int, width: int, bins: int, parts: int, station: str) -> DataFrame:
     """One row per node with its best cut, feature -1 where no cut lowers the squared error.
 
-    Gains are compared in single precision; of equal cuts the lower feature, then the lower bin wins.
+    A group holds up to `NODES_AT_ONCE` nodes from up to `FAN_IN` tasks; sums of more tasks are first added
+    up in steps. Gains are compared in single precision; of equal cuts the lower feature, then the
+    lower bin wins.
     """
-    by_node = ("station", "model", "node")
-    # tasks have summed up their rows, so all parts of a node meet in one shuffle
-    merged = sums.repartition(*by_node).groupBy(*by_node, "feature").agg(
-        *[F.sum(c).alias(c) for c in sums.columns if c not in (*by_node, "feature")]
-    )
-    column = lambda kind: F.array(*[F.col(f"{kind}{b}") for b in range(bins)])
-    add = lambda a, b: a + b
-    totals = merged.select(
-        *by_node, "feature", column("g").alias("gs"), column("n").alias("ns"),
-        F.aggregate(column("g"), F.lit(0.0), add).alias("g"), F.aggregate(column("n"), F.lit(0.0), add).alias("n"),
-    )
-    score = lambda g, n: g * g / (n + spec.l2)
-    zero = F.lit(0.0)
-
-    def step(acc: Column, x: Column) -> Column:
-        left_g, left_n = acc["left_g"] + x["gs"], acc["left_n"] + x["ns"]
-        fits = (left_n >= spec.min_rows) & (F.col("n") - left_n >= spec.min_rows)
-        gain = score(left_g, left_n) + score(F.col("g") - left_g, F.col("n") - left_n)
-        gain = F.when(fits, gain).cast("float")  # sums differ in their last digits from run to run
-        better = gain > acc["gain"]
-        keep = lambda new, name: F.when(better, new).otherwise(acc[name]).alias(name)
-        return F.struct(
-            left_g.alias("left_g"), left_n.alias("left_n"), (acc["at"] + 1).alias("at"), keep(gain, "gain"),
-            keep(acc["at"], "bin"), keep(left_g, "best_g"), keep(left_n, "best_n"),
+
+    def add(rows: pa.Table) -> pa.Table:
+        model, node, total = added(rows, width, bins)
+        same = lambda name: rows.column(name).slice(0, 1).combine_chunks().take(pa.array([0] * len(node)))
+        return pa.Table.from_arrays(
+            [same("station"), pa.array(model), pa.array(node), same("lot"), same("part"), pa.array([x.tobytes() for x in total], pa.binary())],
+            names=["station", "model", "node", "lot", "part", "sums"],
         )
 
-    start = F.struct(
-        zero.alias("left_g"), zero.alias("left_n"), F.lit(0).alias("at"), F.lit(float("-inf")).cast("float").alias("gain"),
-        F.lit(-1).alias("bin"), zero.alias("best_g"), zero.alias("best_n"),
-    )
-    cut = totals.withColumn("cut", F.aggregate(F.arrays_zip("gs", "ns"), start, step))
-    chosen = F.max_by(
-        F.struct("feature", "cut.bin", "g", "n", F.col("cut.best_g").alias("left_g"), F.col("cut.best_n").alias("left_n"),
-                 F.col("cut.gain").alias("gain")),
-        F.struct("cut.gain", -F.col("feature")),
-    )
-    found = cut.groupBy(*by_node).agg(chosen.alias("c"))
-    splits = F.col("c.gain") > score(F.col("c.g"), F.col("c.n")).cast("float")
-    rows = found.select(
-        "station", F.lit(round_).alias("round"), "model", "node", F.when(splits, F.col("c.feature")).otherwise(-1).alias("feature"),
-        "c.bin", "c.g", "c.n", "c.left_g", "c.left_n",
-    )
-    return rows.filter((F.col("feature") >= 0) | (F.col("node") == 1))
+    def cut(rows: pa.Table) -> pa.Table:
+        model, node, total = added(rows, width, bins)
+        left_g, left_n = np.cumsum(total[..., :bins], axis=2), np.cumsum(total[..., bins:], axis=2)
+        g, n = left_g[:, :1, -1:], left_n[:, :1, -1:]
+        score = lambda a, m: a * a / np.where(m + spec.l2 > 0, m + spec.l2, 1.0)
+        gain = (score(left_g, left_n) + score(g - left_g, n - left_n)).astype(np.float32)
+        gain[(left_n < spec.min_rows) | (n - left_n < spec.min_rows)] = -np.inf
+        flat = gain.reshape(len(node), -1)
+        best, every = flat.argmax(axis=1), np.arange(len(node))
+        splits = flat[every, best] > score(g, n)[:, 0, 0].astype(np.float32)
+        keep = np.flatnonzero(splits | (node == 1))
+        feature, bin_ = np.where(splits, best // bins, -1)[keep], (best % bins)[keep]
+        asked, cells = np.maximum(feature, 0), (keep,)
+        name = rows.column("station").slice(0, 1).combine_chunks().take(pa.array([0] * len(keep)))
+        return pa.Table.from_arrays(
+            [name, pa.array([round_] * len(keep), pa.int32()), pa.array(model[keep]), pa.array(node[keep]),
+             pa.array(feature.astype(np.int32)), pa.array(bin_.astype(np.int32)), pa.array(g[keep, 0, 0]), pa.array(n[keep, 0, 0]),
+             pa.array(left_g[(*cells, asked, bin_)]), pa.array(left_n[(*cells, asked, bin_)])],
+            names=["station", *[x.split()[0] for x in NODE.split(", ")]],
+        )
+
+    while parts > FAN_IN:
+        merged = sums.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("station", "lot", "part")
+        sums, parts = merged.applyInArrow(add, sums.schema), -(-parts // FAN_IN)
+    return sums.groupBy("station", "lot").applyInArrow(cut, f"station {station}, {NODE}")
 
 
 class Learner:
@@ -316,6 +319,8 @@ class Learner:
         self.spark, self.chunks, self.station, self.width = spark, chunks, station, width
         self.spec, self.k, self.bins = spec, k, bins
         self.schema, self.stored, self.open = f"station {station}, {NODE}", [], []
+        # tasks that a scan of the chunks, or a join with them, may have
+        self.parts = max(chunks.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def read(self, paths: list[str]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*paths)
@@ -331,7 +336,7 @@ class Learner:
     def grow(self, round_: int, level: int) -> None:
         sums = level_sums(self.ready(), self.spec, round_, level, self.width, self.k, self.bins, self.station)
         path = work_dir(self.spark, "tree-nodes")
-        best_cuts(sums, self.spec, round_, self.bins).write.parquet(path)
+        best_cuts(sums, self.spec, round_, self.width, self.bins, self.parts, self.station).write.parquet(path)
         self.stored.append(path)
         self.open.append(path)
 
