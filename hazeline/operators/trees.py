@@ -9,6 +9,10 @@ of a table; the rows of the data never move after they were packed once into chu
 chunk is one row per station with the nodes since the last stored state, bounded by the rounds
 between two states and the nodes of a tree.
 
+A station whose rows all lie in one chunk needs no sums of other tasks: its task goes through all levels
+with the same steps and only the nodes leave it. The exchange, job by job, is for the stations beyond a
+chunk.
+
 Boosting fits each round to what the rounds before left over; a forest grows all its trees of a
 batch side by side on weights drawn from a hash of (row, tree), which repeats on a rerun and on
 every machine. A forest of less depth is the upper part of a deeper one, so several depths cost one.
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 from hazeline.session import stage_table, work_dir
 
 BINS = 32
-CHUNK = 1 << 14
+CHUNK = 1 << 16
 STATE_EVERY = 10
 NODES_AT_ONCE, FAN_IN = 256, 64
 TREE_COLUMNS = ("depth", "tree", "node", "feature", "threshold", "left_value", "right_value", "base", "share")
@@ -38,7 +42,7 @@ TREE_LIST = (
     "share:double>>"
 )
 NODE = "round int, model int, node int, feature int, bin int, g double, n double, left_g double, left_n double"
-CHUNKS = "x binary, y binary, block binary, row binary, state binary"
+CHUNKS = "whole boolean, x binary, y binary, block binary, row binary, state binary"
 
 
 @dataclass(frozen=True)
@@ -87,44 +91,40 @@ def packed_rows(
     base = F.array(
         F.avg(target), *[F.avg(F.when(F.col("block") < f, F.col(target))) for f in range(1, k + 1)]
     ).alias("base")
-    per_station = stage_table(blocked.groupBy("station").agg(base).join(edges, "station"), "tree-bins")
-    ranged = blocked.repartitionByRange("station", order)
-
+    count = F.count(F.lit(1)).alias("n")
+    per_station = stage_table(blocked.groupBy("station").agg(base, count).join(edges, "station"), "tree-bins")
     def bin_of(i: int, feature: str) -> Column:
         number = F.coalesce(F.col(feature).cast("double"), F.lit(float("nan")))  # beyond every edge
         return F.size(F.filter(F.col("edges")[i], lambda e: e < number))
 
-    rows = ranged.join(per_station, "station").select(
+    number = F.xxhash64(F.col("station").cast("string"), F.col(order).cast("string"))
+    rows = blocked.join(per_station, "station").select(
         "station",
+        F.pmod(number, F.ceil(F.col("n") / CHUNK)).alias("chunk"),
+        (F.col("n") <= CHUNK).alias("whole"),
         F.array(*[bin_of(i, f) for i, f in enumerate(features)]).alias("x"),
         F.col(target).cast("double").alias("y"),
         F.col("block").cast("int").alias("block"),
-        F.xxhash64(F.col("station").cast("string"), F.col(order).cast("string")).alias("row"),
+        number.alias("row"),
         "base",
     )
     width, kinds = len(features), dict(blocked.dtypes)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            stations = batch.column("station")
-            codes = stations.dictionary_encode()
-            for code in range(len(codes.dictionary)):
-                at = np.flatnonzero(codes.indices.to_numpy() == code)
-                for start in range(0, len(at), CHUNK):
-                    own = batch.take(pa.array(at[start : start + CHUNK]))
-                    base = np.array(own.column("base")[0].as_py(), dtype=float)
-                    state = np.tile(np.nan_to_num(base) if spec.boosted else np.zeros(k + 1), spec.settings)
-                    yield pa.RecordBatch.from_arrays(
-                        [own.column("station").slice(0, 1),
-                         pa.array([own.column("x").flatten().to_numpy().astype(np.uint8).reshape(-1, width).tobytes()], pa.binary()),
-                         pa.array([own.column("y").to_numpy().tobytes()], pa.binary()),
-                         pa.array([own.column("block").to_numpy().astype(np.int8).tobytes()], pa.binary()),
-                         pa.array([own.column("row").to_numpy().tobytes()], pa.binary()),
-                         pa.array([np.repeat(state, len(own)).tobytes()], pa.binary())],
-                        names=["station", "x", "y", "block", "row", "state"],
-                    )
-
-    return stage_table(rows.mapInArrow(pack, f"station {kinds['station']}, {CHUNKS}"), "tree-rows")
+    def pack(own: pa.Table) -> pa.Table:
+        base = np.array(own.column("base")[0].as_py(), dtype=float)
+        state = np.tile(np.nan_to_num(base) if spec.boosted else np.zeros(k + 1), spec.settings)
+        flat = own.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        raw = lambda name, kind: pa.array([own.column(name).to_numpy().astype(kind).tobytes()], pa.binary())
+        return pa.Table.from_arrays(
+            [own.column("station").slice(0, 1).combine_chunks(), own.column("whole").slice(0, 1).combine_chunks(),
+             pa.array([flat.astype(np.uint8).reshape(-1, width).tobytes()], pa.binary()), raw("y", np.float64),
+             raw("block", np.int8), raw("row", np.int64), pa.array([np.repeat(state, len(own)).tobytes()], pa.binary())],
+            names=["station", "whole", "x", "y", "block", "row", "state"],
+        )
+
+    # about `CHUNK` rows meet in a group
+    packed = rows.groupBy("station", "chunk").applyInArrow(pack, f"station {kinds['station']}, {CHUNKS}")
+    return stage_table(packed, "tree-rows")
 
 
 class Rows:
@@ -140,14 +140,16 @@ class Rows:
         self.trees: dict[tuple[int, int], tuple[np.ndarray, ...]] = {}
         nodes = batch.column("nodes")[at].values if batch.column("nodes")[at].is_valid else None
         if nodes is not None and len(nodes):
-            field = {n: nodes.field(n).to_numpy(zero_copy_only=False) for n in nodes.type.names}
-            size = 2 << max(spec.depths)
-            order = np.lexsort((field["model"], field["round"]))
-            keys = np.stack([field["round"][order], field["model"][order]], axis=1)
-            firsts = np.flatnonzero(np.any(np.diff(keys, axis=0, prepend=keys[:1] - 1), axis=1))
-            for start, stop in zip(firsts, [*firsts[1:], len(order)]):
-                own = {n: v[order[start:stop]] for n, v in field.items()}
-                self.trees[tuple(keys[start].tolist())] = self._tree(own, size)
+            self.plant({n: nodes.field(n).to_numpy(zero_copy_only=False) for n in nodes.type.names})
+
+    def plant(self, field: dict[str, np.ndarray]) -> None:
+        """Take over nodes; those of a tree come together."""
+        order = np.lexsort((field["model"], field["round"]))
+        keys = np.stack([field["round"][order], field["model"][order]], axis=1)
+        firsts = np.flatnonzero(np.any(np.diff(keys, axis=0, prepend=keys[:1] - 1), axis=1))
+        for start, stop in zip(firsts, [*firsts[1:], len(order)]):
+            own = {n: v[order[start:stop]] for n, v in field.items()}
+            self.trees[tuple(keys[start].tolist())] = self._tree(own, 2 << max(self.spec.depths))
 
     def _tree(self, own: dict[str, np.ndarray], size: int) -> tuple[np.ndarray, ...]:
         feature, cut, value, rows = np.full(size, -1), np.zeros(size, dtype=np.int64), np.zeros(size), np.zeros(size)
@@ -219,6 +221,35 @@ class Rows:
         return nodes, g, n
 
 
+def models_at(spec: TreeSpec, round_: int, level: int, k: int) -> list[int]:
+    """The trees that still grow at a level: one per setting and fold, or per tree of a batch and fold."""
+    settings = [s for s, depth in enumerate(spec.depths) if depth > level] if spec.boosted else range(min(spec.together, spec.rounds - round_))
+    return [s * (k + 1) + f for s in settings for f in range(k + 1)]
+
+
+def choose(model: np.ndarray, node: np.ndarray, total: np.ndarray, spec: TreeSpec, round_: int, bins: int) -> dict[str, np.ndarray]:
+    """Columns of `NODE`: the best cut of each node from its sums (node, feature, targets and rows by bin).
+
+    Gains are compared in single precision; of equal cuts the lower feature, then the lower bin wins.
+    Nodes that no cut improves are left out, but for roots, which get feature -1.
+    """
+    left_g, left_n = np.cumsum(total[..., :bins], axis=2), np.cumsum(total[..., bins:], axis=2)
+    g, n = left_g[:, :1, -1:], left_n[:, :1, -1:]
+    score = lambda a, m: a * a / np.where(m + spec.l2 > 0, m + spec.l2, 1.0)
+    gain = (score(left_g, left_n) + score(g - left_g, n - left_n)).astype(np.float32)
+    gain[(left_n < spec.min_rows) | (n - left_n < spec.min_rows)] = -np.inf
+    flat = gain.reshape(len(node), -1)
+    best = flat.argmax(axis=1)
+    splits = flat[np.arange(len(node)), best] > score(g, n)[:, 0, 0].astype(np.float32)
+    keep = np.flatnonzero(splits | (node == 1))
+    feature, bin_ = np.where(splits, best // bins, -1)[keep], (best % bins)[keep]
+    asked, whole = np.maximum(feature, 0), np.full(len(keep), round_)
+    found = (whole, model[keep], node[keep], feature, bin_, g[keep, 0, 0], n[keep, 0, 0],
+             left_g[keep, asked, bin_], left_n[keep, asked, bin_])
+    names = [x.split() for x in NODE.split(", ")]
+    return {name: x.astype(np.int32 if kind == "int" else np.float64) for (name, kind), x in zip(names, found)}
+
+
 def level_sums(
     chunks: DataFrame, spec: TreeSpec, round_: int, level: int, width: int, k: int, bins: int, station: str
 ) -> DataFrame:
@@ -226,8 +257,7 @@ def level_sums(
 
     `sums` holds, for each feature, the targets by bin and the rows by bin.
     """
-    settings = [s for s, depth in enumerate(spec.depths) if depth > level] if spec.boosted else range(min(spec.together, spec.rounds - round_))
-    models = [s * (k + 1) + f for s in settings for f in range(k + 1)]
+    models = models_at(spec, round_, level, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -235,7 +265,7 @@ def level_sums(
         kind, total = None, {}
         for batch in batches:
             kind = batch.schema.field("station").type
-            for at in range(batch.num_rows):
+            for at in np.flatnonzero(~np.array(batch.column("whole").to_pylist(), dtype=bool)).tolist():
                 own, name = Rows(batch, at, width, spec, k), batch.column("station")[at].as_py()
                 state = own.applied(round_) if spec.boosted else None
                 for model in models:
@@ -273,8 +303,7 @@ def best_cuts(sums: DataFrame, spec: TreeSpec, round_: int, width: int, bins: in
     """One row per node with its best cut, feature -1 where no cut lowers the squared error.
 
     A group holds up to `NODES_AT_ONCE` nodes from up to `FAN_IN` tasks; sums of more tasks are first added
-    up in steps. Gains are compared in single precision; of equal cuts the lower feature, then the
-    lower bin wins.
+    up in steps.
     """
 
     def add(rows: pa.Table) -> pa.Table:
@@ -286,25 +315,9 @@ def best_cuts(sums: DataFrame, spec: TreeSpec, round_: int, width: int, bins: in
         )
 
     def cut(rows: pa.Table) -> pa.Table:
-        model, node, total = added(rows, width, bins)
-        left_g, left_n = np.cumsum(total[..., :bins], axis=2), np.cumsum(total[..., bins:], axis=2)
-        g, n = left_g[:, :1, -1:], left_n[:, :1, -1:]
-        score = lambda a, m: a * a / np.where(m + spec.l2 > 0, m + spec.l2, 1.0)
-        gain = (score(left_g, left_n) + score(g - left_g, n - left_n)).astype(np.float32)
-        gain[(left_n < spec.min_rows) | (n - left_n < spec.min_rows)] = -np.inf
-        flat = gain.reshape(len(node), -1)
-        best, every = flat.argmax(axis=1), np.arange(len(node))
-        splits = flat[every, best] > score(g, n)[:, 0, 0].astype(np.float32)
-        keep = np.flatnonzero(splits | (node == 1))
-        feature, bin_ = np.where(splits, best // bins, -1)[keep], (best % bins)[keep]
-        asked, cells = np.maximum(feature, 0), (keep,)
-        name = rows.column("station").slice(0, 1).combine_chunks().take(pa.array([0] * len(keep)))
-        return pa.Table.from_arrays(
-            [name, pa.array([round_] * len(keep), pa.int32()), pa.array(model[keep]), pa.array(node[keep]),
-             pa.array(feature.astype(np.int32)), pa.array(bin_.astype(np.int32)), pa.array(g[keep, 0, 0]), pa.array(n[keep, 0, 0]),
-             pa.array(left_g[(*cells, asked, bin_)]), pa.array(left_n[(*cells, asked, bin_)])],
-            names=["station", *[x.split()[0] for x in NODE.split(", ")]],
-        )
+        found = choose(*added(rows, width, bins), spec, round_, bins)
+        name = rows.column("station").slice(0, 1).combine_chunks().take(pa.array([0] * len(found["node"])))
+        return pa.Table.from_arrays([name, *map(pa.array, found.values())], names=["station", *found])
 
     while parts > FAN_IN:
         merged = sums.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("station", "lot", "part")
@@ -340,6 +353,40 @@ class Learner:
         self.stored.append(path)
         self.open.append(path)
 
+    def grow_alone(self) -> None:
+        """All rounds of the stations that lie in one chunk."""
+        width, spec, k, bins = self.width, self.spec, self.k, self.bins
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in np.flatnonzero(np.array(batch.column("whole").to_pylist(), dtype=bool)).tolist():
+                    own, name = Rows(batch, at, width, spec, k), batch.column("station").slice(at, 1)
+                    for round_ in range(0, spec.rounds, 1 if spec.boosted else spec.together):
+                        grown = None
+                        for level in range(max(spec.depths)):
+                            sums = [
+                                (model, own.sums(round_, level, model, own.y - own.state[model] if spec.boosted else own.y, bins))
+                                for model in models_at(spec, round_, level, k)
+                            ]
+                            sums = [(model, x) for model, x in sums if x is not None]
+                            if not sums:
+                                break
+                            model = np.repeat([m for m, _ in sums], [len(x[0]) for _, x in sums])
+                            node = np.concatenate([x[0] for _, x in sums])
+                            total = np.concatenate([np.concatenate(x[1:], axis=1) for _, x in sums]).reshape(-1, width, 2 * bins)
+                            found = choose(model, node, total, spec, round_, bins)
+                            grown = found if grown is None else {n: np.concatenate([v, found[n]]) for n, v in grown.items()}
+                            own.plant(grown)
+                        if grown is not None:
+                            names = name.take(pa.array([0] * len(grown["node"])))
+                            yield pa.RecordBatch.from_arrays([names, *map(pa.array, grown.values())], names=["station", *grown])
+                        own.state, own.trees = own.applied(spec.rounds), {}
+
+        path = work_dir(self.spark, "tree-nodes")
+        self.ready().mapInArrow(run, self.schema).write.parquet(path)
+        self.stored.append(path)
+        self.open.append(path)
+
     def store_state(self) -> None:
         """Add the open trees to the state of the rows."""
         width, spec, k = self.width, self.spec, self.k
@@ -347,7 +394,7 @@ class Learner:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 states = [Rows(batch, at, width, spec, k).applied(spec.rounds).tobytes() for at in range(batch.num_rows)]
-                columns = {n: batch.column(n) for n in ("station", "x", "y", "block", "row")}
+                columns = {n: batch.column(n) for n in ("station", "whole", "x", "y", "block", "row")}
                 yield pa.RecordBatch.from_pydict({**columns, "state": pa.array(states, pa.binary())})
 
         self.chunks = stage_table(self.ready().mapInArrow(run, f"station {self.station}, {CHUNKS}"), "tree-rows")
@@ -397,7 +444,10 @@ def fit_trees(
     edges = stage_table(quantile_edges(blocked, features, bins) if edges is None else edges, "tree-edges")
     chunks = packed_rows(blocked, features, target, edges, spec, k, order)
     job = Learner(spark, chunks, station, len(features), spec, k, bins)
-    for round_ in range(0, spec.rounds, 1 if spec.boosted else spec.together):
+    job.grow_alone()
+    job.store_state()
+    large = not chunks.filter(~F.col("whole")).isEmpty()
+    for round_ in range(0, spec.rounds, 1 if spec.boosted else spec.together) if large else ():
         for level in range(max(spec.depths)):
             job.grow(round_, level)
         if not spec.boosted or (round_ + 1) % STATE_EVERY == 0:

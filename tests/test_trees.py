@@ -105,7 +105,7 @@ SPECS = [
 
 
 @pytest.mark.parametrize("spec", SPECS)
-@pytest.mark.parametrize("chunk", [1 << 14, 16])
+@pytest.mark.parametrize("chunk", [1 << 16, 60, 16])
 def test_trees_equal_the_plain_version(spark, spec, chunk, monkeypatch):
     monkeypatch.setattr(trees, "CHUNK", chunk)
     monkeypatch.setattr(trees, "STATE_EVERY", 5)
