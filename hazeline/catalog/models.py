@@ -187,6 +187,43 @@ def fit_ridge(spark, sf_dir):
     return test_metrics(fit.predict_linear(test, weights, FEATURES), "ridge")
 
 
+BALANCED = f"""SELECT station, feature, true AS balanced FROM (SELECT DISTINCT o_orderpriority AS station FROM orders),
+    (VALUES ('intercept'), {", ".join(f"('{f}')" for f in FEATURES)}) v(feature)"""
+
+
+def normal_equations(spark, sf_dir, alpha):
+    """(station, feature, balanced): whether the fit on all features meets its normal equation, the sum
+    of feature times residual being alpha times the weight, to 1e-8 of the sum of its absolute terms."""
+    train, _ = train_and_test(daily_features(spark, sf_dir))
+    sums = fit.product_sums(train.withColumn("block", F.lit(0)), FEATURES, "pm25")
+    weights = stage_table(fit.fit_ridge(sums, len(FEATURES), [alpha]).select("station", "weights"), "weights")
+    rest = F.col("pm25") - F.col("predicted")
+    rows = fit.predict_linear(train, weights, FEATURES).withColumn("rest", rest).withColumn("one", F.lit(1.0))
+    names = {"intercept": "one", **{f: f for f in FEATURES}}
+    checks = [
+        F.struct(
+            F.lit(name).alias("feature"), F.lit(i).alias("at"), F.sum(F.col(c) * F.col("rest")).alias("gap"),
+            F.sum(F.abs(F.col(c) * F.col("pm25"))).alias("scale"),
+        )
+        for i, (name, c) in enumerate(names.items())
+    ]
+    found = rows.groupBy("station").agg(F.array(*checks).alias("c")).select("station", F.explode("c").alias("c")).select("station", "c.*")
+    penalty = F.when(F.col("at") > 0, alpha * F.get("weights", F.col("at"))).otherwise(0.0)
+    return found.join(weights, "station").select(
+        "station", "feature", (F.abs(F.col("gap") - penalty) <= 1e-8 * (F.col("scale") + 1)).alias("balanced")
+    )
+
+
+@query("l4_normal_equations", BALANCED)
+def linear_normal_equations(spark, sf_dir):
+    return normal_equations(spark, sf_dir, 0.0)
+
+
+@query("l5_normal_equations", BALANCED)
+def ridge_normal_equations(spark, sf_dir):
+    return normal_equations(spark, sf_dir, 10.0)
+
+
 def tree_metrics(spark, sf_dir, spec, name):
     train, test = train_and_test(daily_features(spark, sf_dir))
     found, _ = trees.fit_trees(train.withColumn("block", F.lit(0)), FEATURES, "pm25", spec, 0, "date")
