@@ -32,7 +32,7 @@ from hazeline.session import stage_table
 
 WORDS = 1024
 CLASSES = 32
-ROUNDS = 3
+ROUNDS = 2
 BLOCKS_A_TASK = 2
 BLOCK_BYTES = 1 << 24
 TRAIN_TOKENS = 1 << 22
