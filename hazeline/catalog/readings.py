@@ -116,7 +116,7 @@ K = "CAST(regexp_extract(props, '[0-9]+') AS INTEGER)"
 def decode_many_stations(spark, sf_dir):
     """Payloads of a day: many stations, a row per hour, six measures, every alias listed twice."""
     dim = tables.station_names(spark, sf_dir).withColumn("station_id", F.col("station_id").cast("int"))
-    payloads = stage_table(tables.daily_payloads(spark, sf_dir), "payloads")
+    payloads = stage_table(tables.daily_payloads(spark, sf_dir), "payloads", **snapshots.LARGE_PAYLOADS)
     return snapshots.decode_snapshots(payloads, dim)
 
 

@@ -186,7 +186,10 @@ def snapshot_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(payload_id, body): one payload per day with a row per hour, all stations that reported and six
-    measures each. Every alias is first listed for another station and measure."""
+    measures each. Every alias is first listed for another station and measure.
+
+    A body is put together from texts: those of a station's hour, then an hour's, then the day's.
+    """
     events = table(spark, sf_dir, "events")
     hour = hour_floor(F.col("ts"))
     k = F.get_json_object("props", "$.k").cast("int")
@@ -195,32 +198,30 @@ def daily_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         "h": F.count(F.lit(1)).cast("string"), "s": F.when(F.min(k) >= 10, F.min(k).cast("string")).otherwise("-"), "d": F.lit(""),
     }
     hours = events.groupBy("user_id", hour.alias("at")).agg(*[c.alias(n) for n, c in sums.items()])
-    alias = lambda n: F.concat(F.lit(n), F.col("user_id"))
-    cells = hours.groupBy("at").agg(
-        F.flatten(F.collect_list(F.array(*[F.struct(alias(n).alias("a"), F.col(n).alias("v")) for n in sums]))).alias("cells"),
-        F.collect_set("user_id").alias("users"),
-    )
+    day = F.unix_date(F.col("at").cast("date")).cast("bigint").alias("payload_id")
+    inside = lambda text: F.substring(text, F.lit(2), F.length(text) - 2)
+    cells = F.create_map(*[c for n in sums for c in (F.concat(F.lit(n), "user_id"), F.col(n))])
+    listed = hours.select("at", inside(F.to_json(cells)).alias("cells"))
     local = F.col("at") + F.make_dt_interval(hours=F.lit(7))
     time = F.format_string("%02d/%02d/%d %02d:00", F.dayofmonth(local), F.month(local), F.year(local) + 543, F.hour(local))
-    dated = F.array(F.struct(F.lit("Date_Time").alias("a"), time.alias("v")))
-    rows = cells.select(
-        F.unix_date(F.col("at").cast("date")).cast("bigint").alias("payload_id"), "users",
-        F.map_from_entries(F.concat(dated, "cells")).alias("row"),
+    rows = listed.groupBy("at").agg(F.array_join(F.collect_list("cells"), ",").alias("cells")).select(
+        day, F.concat(F.lit('{"Date_Time":"'), time, F.lit('",'), "cells", F.lit("}")).alias("row"), F.lit(None).cast("bigint").alias("user")
     )
+    users = hours.select(day, F.lit(None).cast("string").alias("row"), F.col("user_id").alias("user")).distinct()
     names = {"p": "PM2.5", "q": "PM10", "t": "Temp", "h": "RH", "s": "WS", "d": "WD"}
     entry = lambda n, user, name: F.struct(
         F.concat(F.lit(n), user).alias("Alias"), user.cast("int").alias("MeasIndex"), F.lit(name).alias("ShortName")
     )
-    listed = lambda users, wrong: F.flatten(F.transform(users, lambda u: F.array(*[
+    entries = lambda wrong: F.array_join(F.transform("users", lambda u: inside(F.to_json(F.array(*[
         entry(n, u, "PM10" if n == "p" else "PM2.5") if wrong else entry(n, u, name) for n, name in names.items()
-    ])))
-    days = rows.groupBy("payload_id").agg(
-        F.collect_list("row").alias("rows"), F.array_distinct(F.flatten(F.collect_list("users"))).alias("users")
-    )
-    body = F.struct(
-        F.concat(listed(F.col("users"), True), listed(F.col("users"), False)).alias("arrParameter"), F.col("rows").alias("arrData")
-    )
-    return days.select("payload_id", F.to_json(body).alias("body"))
+    ])))), ",")
+    days = rows.unionAll(users).groupBy("payload_id").agg(
+        F.collect_list("row").alias("rows"), F.collect_list("user").alias("users")
+    )
+    return days.select("payload_id", F.concat(
+        F.lit('{"arrParameter":['), entries(True), F.lit(","), entries(False),
+        F.lit('],"arrData":['), F.array_join("rows", ","), F.lit("]}"),
+    ).alias("body"))
 
 
 def history_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

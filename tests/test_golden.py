@@ -1,13 +1,18 @@
 """Small literal cases with known results."""
 
 import datetime as dt
+import json
+import random
+from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from hazeline.functions import parsing, scalar
 from hazeline.operators import aggregate, drift, features, gaps, model, upsert, validate
 from hazeline.plans.series import hour_index, hour_start
+from hazeline.session import stage_table
 from hazeline.sources import sheets, snapshots
 
 DAY = dt.date(2024, 1, 1)
@@ -237,6 +242,76 @@ def test_snapshot_with_repeated_aliases(spark):
     assert rows[1]["station_name"] is None
 
 
+def plain_readings(body):
+    """{(station, time): {parameter: text}} of one payload, entry by entry and cell by cell."""
+    parsed, found = json.loads(body), {}
+    meaning = {
+        e["Alias"]: (e["MeasIndex"], e["ShortName"]) for e in parsed.get("arrParameter") or ()
+        if e and e.get("Alias") is not None and e.get("MeasIndex") is not None and e.get("ShortName") in sheets.PARAMETER_FIELDS
+    }
+    for row in parsed.get("arrData") or ():
+        if row and row.get("Date_Time"):
+            for alias, text in row.items():
+                if alias in meaning:
+                    station, name = meaning[alias]
+                    found.setdefault((station, row["Date_Time"].strip(" ")), {})[name] = text
+    return found
+
+
+def random_payload(rng):
+    names = [*sheets.PARAMETER_FIELDS, "CO", None]
+    entries = [
+        rng.choice([None, {"Alias": rng.choice(["a", "b", "c", "d", None]), "MeasIndex": rng.choice([1, 2, 3, None]), "ShortName": n}, *[
+            {"Alias": a, "MeasIndex": rng.randint(1, 3), "ShortName": n} for a in "abcdef"]])
+        for n in rng.choices(names, k=rng.randint(0, 14))
+    ]
+    times = ["01/01/2567 00:00", " 01/01/2567 00:00", "01/01/2567 01:00", "01/01/2567 02:00 ", "", None]
+    cells = [
+        rng.choice([None] + 6 * [{"Date_Time": rng.choice(times), **{a: rng.choice(["1", "2.5", "-", None]) for a in rng.sample("abcdefg", 4)}}])
+        for _ in range(rng.randint(0, 9))
+    ]
+    return rng.choice([{"arrParameter": entries, "arrData": cells}] * 8 + [{"arrData": cells}, {"arrParameter": entries, "arrData": None}])
+
+
+def test_snapshots_in_pieces_as_plain_decoding(spark, monkeypatch):
+    rng = random.Random(5)
+    bodies = [json.dumps(random_payload(rng)) for _ in range(120)]
+    payloads = spark.createDataFrame([(i % 50 if i % 50 else None, b) for i, b in enumerate(bodies)], "payload_id int, body string").coalesce(1)
+    pieces = snapshots.payload_pieces(payloads.select(F.col("payload_id").alias("id"), F.monotonically_increasing_id().alias("payload"), "body"))
+    batches = pieces.toArrow().combine_chunks().to_batches()[0]
+    wanted = Counter(
+        (i % 50 if i % 50 else None, *key, *[texts.get(n) for n in sheets.PARAMETER_FIELDS])
+        for i, b in enumerate(bodies) for key, texts in plain_readings(b).items()
+    )
+    for size, most in ((7, 1), (7, 100), (1000, 40), (1000, 100_000)):
+        monkeypatch.setattr(snapshots, "CELLS_AT_ONCE", most)
+        parts = [batches.slice(at, size) for at in range(0, len(batches), size)]
+        groups = list(snapshots.whole_payloads(parts))
+        assert sum(len(g) for g in groups) == len(batches)
+        found = [tuple(r.values()) for g in groups for r in snapshots.cells_by_reading(g, sheets.PARAMETER_FIELDS).to_pylist()]
+        assert Counter(found) == wanted
+        if most == 1:
+            assert all(len(set(g.column("payload").to_pylist())) <= 2 for g in groups)
+
+
+def test_large_payload_leaves_the_parser_in_elements(spark):
+    body = json.dumps({
+        "arrParameter": [{"Alias": f"a{i}", "MeasIndex": i, "ShortName": "PM2.5"} for i in range(300)],
+        "arrData": [{"Date_Time": f"01/01/2567 {h:02d}:00", **{f"a{i}": str(i) for i in range(300)}} for h in range(5)],
+    })
+    payloads = spark.createDataFrame([(1, 1, body)], "id int, payload bigint, body string")
+    rows = snapshots.payload_pieces(payloads).collect()
+    assert len(rows) == 300 and sorted(len(r["cells"]) for r in rows[:5]) == [301] * 5
+    assert all(r["cells"] == [] for r in rows[5:])
+
+
+def test_large_payloads_have_row_groups_of_their_own(spark):
+    payloads = spark.range(5).select(F.col("id").alias("payload_id"), F.lit("{}").alias("body")).coalesce(1)
+    stored = stage_table(payloads, "payloads", **snapshots.LARGE_PAYLOADS)
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in stored.inputFiles()]
+    assert sum(f.num_row_groups for f in files) == 5
+
+
 def test_fold_sizes(spark):
     df = daily(spark, [1.0] * 103)
     folds = model.fold_sizes(model.time_folds(df, 3, "date"), 3, "date").collect()
